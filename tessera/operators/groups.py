@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from tessera.session import (SKEW_MIN_ROWS, SKEW_SALTS, SKEW_TOP_KEYS, conf_int)
 
-_ROWS = "__grp_rows"
+ROWS = _ROWS = "__grp_rows"
 _HOT = "__grp_hot"
 _SALT = "__grp_salt"
 

@@ -26,5 +26,5 @@ def query(name: str):
 
 def load_all() -> dict[str, QueryFn]:
     # importing the modules registers their queries
-    from tessera.plans import (q_core, q_features, q_ml)  # noqa: F401
+    from tessera.plans import (q_core, q_groups, q_features, q_ml)  # noqa: F401
     return dict(QUERIES)
