@@ -29,3 +29,12 @@ def lookup_with_default(df: DataFrame, table: DataFrame, key: str, value: str,
             .withColumn(out, F.coalesce(F.col("__lk_v"), default))
             .withColumn(flag, F.coalesce(F.col("__lk_hit"), F.lit(0)))
             .drop("__lk_v", "__lk_hit"))
+
+
+def join_checked(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left",
+                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """Join a derived lookup table: measured first (one count over the
+    already-aggregated table), broadcast only when within the bound, else a
+    shuffle join."""
+    small = table.count() <= max_broadcast_rows
+    return df.join(F.broadcast(table) if small else table, list(keys), how)

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import SKEW_MIN_ROWS, SKEW_TOP_KEYS, conf_int
+
 _PID = "__rk_pid"
 _W = "__rk_w"
 _LOCAL = "__rk_local"
@@ -56,12 +58,14 @@ def cumulative_rank(df: DataFrame, order_cols: Sequence[str], part_cols: Sequenc
                 yield pdf.assign(**{_LOCAL: pd.Series([], dtype="int64")})
                 continue
             if part_cols:
-                key = pdf[part_cols].astype(str).agg("\x1f".join, axis=1)
-                group = (key != key.shift()).cumsum()
+                keys = pdf[part_cols].astype(object).where(pdf[part_cols].notna(), "\x00null")
+                new = keys.ne(keys.shift()).any(axis=1)
+                group = new.cumsum()
                 local = pdf[_W].groupby(group).cumsum()
-                same = (key == last_key) & (group == 1)
-                local = local + same.astype("int64") * carry
-                last_key = key.iloc[-1]
+                first_key = tuple(keys.iloc[0])
+                if last_key is not None and first_key == last_key:
+                    local = local + (group == 1).astype("int64") * carry
+                last_key = tuple(keys.iloc[-1])
                 carry = int(local.iloc[-1])
             else:
                 local = pdf[_W].cumsum() + carry
@@ -89,9 +93,30 @@ def cumulative_rank(df: DataFrame, order_cols: Sequence[str], part_cols: Sequenc
             .drop(_PID, _W, _LOCAL, _OFF))
 
 
+def _big_rows(df: DataFrame) -> int:
+    return conf_int(df.sparkSession, SKEW_MIN_ROWS, 1_000_000)
+
+
+def _top_keys(df: DataFrame) -> int:
+    return conf_int(df.sparkSession, SKEW_TOP_KEYS, 64)
+
+
 def row_number(df: DataFrame, order_cols: Sequence[str], part_cols: Sequence[str] = (),
                name: str = "row_no") -> DataFrame:
-    """1-based row number in a total order, optionally per partition key."""
+    """1-based row number in a total order, optionally per partition key.
+
+    Windows are used when the largest partition (the whole table when
+    ``part_cols`` is empty) is below ``spark.tessera.skew.minRows``; above it the
+    range-partitioned ``cumulative_rank`` takes over, so no task ever sorts a
+    big group alone.  The size check is one aggregate returning one row."""
+    part_cols = list(part_cols)
+    if part_cols:
+        biggest = df.groupBy(*part_cols).count().agg(F.max("count")).first()[0] or 0
+    else:
+        biggest = df.count()
+    if biggest < _big_rows(df):
+        w = Window.partitionBy(*part_cols).orderBy(*order_cols)
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     return cumulative_rank(df, order_cols, part_cols, None, name)
 
 
@@ -127,28 +152,55 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
     """Exact linear-interpolation percentiles of ``value`` (nulls ignored),
     one row per ``by`` key (one row in total when ``by`` is empty).
 
-    Values are first folded to (key, value, count), ranked with
-    ``cumulative_rank`` and the two order statistics around each position are
-    picked by an aggregate; no task holds a whole group."""
+    Groups below ``spark.tessera.skew.minRows`` rows use Spark's exact
+    ``percentile`` aggregate (its buffer holds the group's distinct values, so
+    it is bounded by that size).  The few larger groups - at most
+    ``spark.tessera.skew.topKeys`` of them, found by one bounded top-k - are
+    folded to (key, value, count), ranked with ``cumulative_rank`` across many
+    tasks, and the two order statistics around each position are picked by an
+    aggregate; no task holds a whole big group."""
     by = list(by)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
-    counts = (df.select(*by, F.col(value).cast("double").alias("__v"))
-              .filter(F.col("__v").isNotNull())
-              .groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c")))
-    ranked = cumulative_rank(counts, ["__v"], by, "__c", "__cum")
+    vals = df.select(*by, F.col(value).cast("double").alias("__ep_v")).filter(F.col("__ep_v").isNotNull())
+    big = _big_rows(df)
+    if by:
+        hot = (vals.groupBy(*by).agg(F.count(F.lit(1)).alias("__ep_n"))
+               .filter(F.col("__ep_n") >= big).orderBy(F.col("__ep_n").desc())
+               .limit(_top_keys(df)).drop("__ep_n").collect())
+    else:
+        hot = [()] if vals.count() >= big else []
+    if not hot:
+        return _percentile_agg(vals, by, probs, names)
+    if not by:
+        return _percentile_ranked(vals, by, probs, names)
+    hot_df = F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in hot], vals.select(*by).schema))
+    small = _percentile_agg(vals.join(hot_df, by, "left_anti"), by, probs, names)
+    large = _percentile_ranked(vals.join(hot_df, by, "left_semi"), by, probs, names)
+    return small.unionByName(large)
+
+
+def _percentile_agg(vals: DataFrame, by: list[str], probs: Sequence[float], names: list[str]) -> DataFrame:
+    arr = F.percentile(F.col("__ep_v"), F.array(*[F.lit(float(p)) for p in probs]))
+    got = vals.groupBy(*by).agg(arr.alias("__ep_p"))
+    return got.select(*by, *[F.col("__ep_p")[i].alias(nm) for i, nm in enumerate(names)])
+
+
+def _percentile_ranked(vals: DataFrame, by: list[str], probs: Sequence[float], names: list[str]) -> DataFrame:
+    counts = vals.groupBy(*by, "__ep_v").agg(F.count(F.lit(1)).alias("__ep_c"))
+    ranked = cumulative_rank(counts, ["__ep_v"], by, "__ep_c", "__ep_cum")
     if by:
         from tessera.operators.groups import group_stats, join_back
-        sized = join_back(ranked, group_stats(ranked, by, F.sum("__c").alias("__n")), by)
+        sized = join_back(ranked, group_stats(ranked, by, F.sum("__ep_c").alias("__ep_n")), by)
     else:
-        sizes = counts.agg(F.sum("__c").alias("__n"))
+        sizes = counts.agg(F.sum("__ep_c").alias("__ep_n"))
         sized = ranked.crossJoin(F.broadcast(sizes))  # one row
-    prev = F.col("__cum") - F.col("__c")
+    prev = F.col("__ep_cum") - F.col("__ep_c")
     aggs = []
     for i, p in enumerate(probs):
-        h = (F.col("__n") - 1) * F.lit(float(p))
+        h = (F.col("__ep_n") - 1) * F.lit(float(p))
         lo, hi = F.floor(h), F.ceil(h)
-        aggs += [F.max(F.when((prev <= lo) & (lo < F.col("__cum")), F.col("__v"))).alias(f"__lo{i}"),
-                 F.max(F.when((prev <= hi) & (hi < F.col("__cum")), F.col("__v"))).alias(f"__hi{i}"),
+        aggs += [F.max(F.when((prev <= lo) & (lo < F.col("__ep_cum")), F.col("__ep_v"))).alias(f"__lo{i}"),
+                 F.max(F.when((prev <= hi) & (hi < F.col("__ep_cum")), F.col("__ep_v"))).alias(f"__hi{i}"),
                  F.max(h - lo).alias(f"__fr{i}")]
     picked = sized.groupBy(*by).agg(*aggs)
     outs = [(F.col(f"__lo{i}") + F.col(f"__fr{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(nm)
