@@ -137,3 +137,42 @@ SELECT row_id, COALESCE(f.m, 'Not Applicable') AS is_mother_survived,
        COALESCE(f.fa, 'Not Applicable') AS is_father_survived, COALESCE(f.c, 'Not Applicable') AS is_child_survived
 FROM r6 LEFT JOIN f USING (ticket_num)
 """)
+
+# ---- nearest neighbours (brute force in the oracle) -------------------------------------------
+_PREFIX = r"COALESCE(NULLIF(regexp_extract(ticket, '(.*) \d+$', 1), ''), 'M')"
+
+
+def _knn_sql(base, cols, label, k, weighted, select):
+    codes = ",\n".join(
+        f"c_{c} AS (SELECT v AS {c}, CAST(row_number() OVER (ORDER BY v) - 1 AS DOUBLE) AS k_{c} "
+        f"FROM (SELECT DISTINCT {c} AS v FROM b WHERE {c} IS NOT NULL))" for c in cols)
+    xs = ", ".join(f"COALESCE(k_{c} / nullif((SELECT max(k_{c}) FROM c_{c}), 0), 0.0) AS x_{c}" for c in cols)
+    joins = " ".join(f"JOIN c_{c} USING ({c})" for c in cols)
+    d2 = " + ".join(f"(q.x_{c} - p.x_{c}) * (q.x_{c} - p.x_{c})" for c in cols)
+    pcols = ", ".join(f"x_{c}" for c in cols)
+    weight = ("CASE WHEN hz = 1 THEN (CASE WHEN d2 = 0 THEN 1.0 ELSE 0.0 END) ELSE 1.0 / sqrt(d2) END"
+              if weighted else "1.0")
+    return f"""
+b AS ({base}),
+{codes},
+s AS (SELECT b.*, {xs} FROM b {joins}),
+pts AS (SELECT {pcols}, {label} AS lab, count(*) AS c FROM s WHERE {{train}} GROUP BY ALL),
+q AS (SELECT * FROM s WHERE {{query}}),
+pairs AS (SELECT q.row_id, p.lab, p.c, {d2} AS d2 FROM q CROSS JOIN pts p),
+r AS (SELECT *, sum(c) OVER (PARTITION BY row_id ORDER BY d2, lab ROWS UNBOUNDED PRECEDING) AS cum FROM pairs),
+t AS (SELECT row_id, lab, d2, least(c, {k} - (cum - c)) AS take FROM r WHERE cum - c < {k}),
+z AS (SELECT *, max(CASE WHEN d2 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY row_id) AS hz FROM t),
+v AS (SELECT row_id, lab, sum(take * {weight}) AS v FROM z GROUP BY ALL),
+best AS (SELECT row_id, lab FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY v DESC, lab) AS rn
+                                   FROM v) WHERE rn = 1)
+{select}"""
+
+
+sql("impute_knn", _knn_sql(
+    f"SELECT row_id, cls, port, {_PREFIX} AS tp, {_NUM} AS tn FROM manifest", ["cls", "tp", "tn"], "port", 3, True,
+    "SELECT m.row_id, COALESCE(m.port, best.lab) AS port FROM manifest m LEFT JOIN best USING (row_id)"
+).replace("{train}", "port IS NOT NULL").replace("{query}", "port IS NULL").strip())
+sql("clf_knn", _knn_sql(
+    "SELECT row_id, split, label, cls, sibs, parch FROM manifest", ["cls", "sibs", "parch"], "label", 5, False,
+    "SELECT row_id, lab AS prediction FROM best"
+).replace("{train}", "split = 'train'").replace("{query}", "split = 'test'").strip())

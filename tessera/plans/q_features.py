@@ -165,3 +165,40 @@ def q_role_guardian_rate(spark, sf):
 @query("role_member_outcome")
 def q_role_member_outcome(spark, sf):
     return _roles(spark, sf).select("row_id", "is_mother_survived", "is_father_survived", "is_child_survived")
+
+
+# ---- nearest neighbours ---------------------------------------------------------------------
+
+def _scaled_codes(df, cols):
+    """Label-encode each column (sorted distinct values) and min-max scale
+    the codes to [0, 1]."""
+    for c in cols:
+        df = E.label_encode(df, c, f"__code_{c}")
+        top = df.agg(F.max(f"__code_{c}").alias(f"__max_{c}"))
+        df = (df.crossJoin(F.broadcast(top))  # one row
+              .withColumn(f"x_{c}", F.coalesce(F.try_divide(F.col(f"__code_{c}").cast("double"),
+                                                            F.col(f"__max_{c}").cast("double")), F.lit(0.0)))
+              .drop(f"__code_{c}", f"__max_{c}"))
+    return df
+
+
+@query("impute_knn")
+def q_impute_knn(spark, sf):
+    from tessera.operators.knn import knn_classify
+    m = _m(spark, sf).select("row_id", "cls", "port", S.prefix_before_number("ticket").alias("tp"),
+                             S.trailing_number("ticket").alias("tn"))
+    s = _scaled_codes(m, ["cls", "tp", "tn"])
+    feats = ["x_cls", "x_tp", "x_tn"]
+    pred = knn_classify(s.filter(F.col("port").isNotNull()), s.filter(F.col("port").isNull()),
+                        feats, "port", "row_id", k=3, weights="distance", out="__pred")
+    return s.join(pred, "row_id", "left").select("row_id", F.coalesce("port", "__pred").alias("port"))
+
+
+@query("clf_knn")
+def q_clf_knn(spark, sf):
+    from tessera.operators.knn import knn_classify
+    s = _scaled_codes(_m(spark, sf).select("row_id", "split", "label", "cls", "sibs", "parch"),
+                      ["cls", "sibs", "parch"])
+    feats = ["x_cls", "x_sibs", "x_parch"]
+    return knn_classify(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test"),
+                        feats, "label", "row_id", k=5, weights="uniform")
