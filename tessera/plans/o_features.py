@@ -176,3 +176,19 @@ sql("clf_knn", _knn_sql(
     "SELECT row_id, split, label, cls, sibs, parch FROM manifest", ["cls", "sibs", "parch"], "label", 5, False,
     "SELECT row_id, lab AS prediction FROM best"
 ).replace("{train}", "split = 'train'").replace("{query}", "split = 'test'").strip())
+
+# ---- splits and folds ----------------------------------------------------------------------------
+sql("train_test_split", """
+SELECT row_id, CASE WHEN CAST(('0x' || substr(md5('7:' || CAST(row_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0
+                         < 0.2 THEN 'test' ELSE 'train' END AS part
+FROM manifest WHERE split = 'train'
+""")
+sql("kfold_assign", """
+SELECT row_id, CAST(ntile(5) OVER (ORDER BY row_id) - 1 AS INTEGER) AS fold,
+       CAST(CAST(('0x' || substr(md5('7:' || CAST(row_id AS VARCHAR)), 1, 8)) AS BIGINT) % 5 AS INTEGER) AS fold_shuffled
+FROM manifest WHERE split = 'train'
+""")
+sql("stratified_kfold", """
+SELECT row_id, label, CAST(ntile(5) OVER (PARTITION BY label ORDER BY row_id) - 1 AS INTEGER) AS fold
+FROM manifest WHERE split = 'train'
+""")

@@ -1,3 +1,154 @@
-"""Model evaluation queries (no SQL oracle)."""
+"""Model evaluation queries.  Fold assignment and splits have SQL oracles;
+fitted-model outputs (predictions, scores) are checked by row count and by
+the invariants in tests/."""
 
-from tessera.plans.catalog import query  # noqa: F401
+from __future__ import annotations
+
+import uuid
+
+from pyspark import StorageLevel
+
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import functions as F
+
+from tessera.functions.draws import draw_u32
+from tessera.models import evaluate as EV
+from tessera.models import stacking as ST
+from tessera.models.classifiers import make
+from tessera.models.features import ml_frame
+from tessera.plans.catalog import query
+from tessera.session import ensure_checkpoint_dir
+from tessera.sources import files
+from tessera.sources.manifest import manifest
+
+
+def R(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def _frame(spark, sf):
+    # iterative fits read the frame many times: keep it (spilling to disk)
+    return ml_frame(manifest(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _labelled(spark, sf, k=5, seed=7):
+    return (_frame(spark, sf).filter(F.col("label").isNotNull())
+            .withColumn("fold", EV.shuffled_folds("row_id", k, seed)))
+
+
+# ---- splits and folds (SQL-checkable) -----------------------------------------------------
+
+@query("train_test_split")
+def q_train_test_split(spark, sf):
+    m = manifest(spark, sf).filter(F.col("split") == "train")
+    return m.select("row_id", EV.holdout_split(m, "row_id", 0.2, 7).alias("part"))
+
+
+@query("kfold_assign")
+def q_kfold_assign(spark, sf):
+    m = manifest(spark, sf).filter(F.col("split") == "train").select("row_id")
+    folded = EV.contiguous_folds(m, 5, "row_id", "fold")
+    return folded.select("row_id", "fold", EV.shuffled_folds("row_id", 5, 7).alias("fold_shuffled"))
+
+
+@query("stratified_kfold")
+def q_stratified_kfold(spark, sf):
+    m = manifest(spark, sf).filter(F.col("split") == "train").select("row_id", "label")
+    return EV.stratified_folds(m, 5, "row_id", "label", "fold").select("row_id", "label", "fold")
+
+
+# ---- fitted models ---------------------------------------------------------------------------
+
+@query("accuracy")
+def q_accuracy(spark, sf):
+    data = _frame(spark, sf).filter(F.col("label").isNotNull()).withColumn(
+        "part", EV.holdout_split(None, "row_id", 0.2, 7))
+    model = make("logistic").fit(data.filter(F.col("part") == "train"))
+    test = model.transform(data.filter(F.col("part") == "test"))
+    return test.agg(F.lit("logistic").alias("model"), R(EV.accuracy(test)).alias("accuracy"),
+                    F.count(F.lit(1)).alias("n_test"))
+
+
+CV_MODELS = ["logistic", "lda", "tree", "gaussian_nb", "rbf_svm"]
+
+
+@query("cross_val_accuracy")
+def q_cross_val_accuracy(spark, sf):
+    scores = EV.cross_validate(spark, _labelled(spark, sf, 10), CV_MODELS, k=10)
+    return scores.groupBy("model").agg(R(F.avg("test_accuracy")).alias("mean_accuracy"),
+                                       R(F.stddev_pop("test_accuracy")).alias("std_accuracy"),
+                                       F.count(F.lit(1)).alias("n_folds"))
+
+
+LEADERBOARD = ["logistic", "logistic_cv", "ridge", "lda", "qda", "tree", "gaussian_nb", "bernoulli_nb",
+               "linear_svm", "rbf_svm", "random_forest", "extra_trees", "bagging", "gbt", "adaboost",
+               "boosted_meta"]
+
+
+@query("model_leaderboard")
+def q_model_leaderboard(spark, sf):
+    scores = EV.cross_validate(spark, _labelled(spark, sf), LEADERBOARD, k=5)
+    return EV.summarize(scores)
+
+
+@query("grid_search")
+def q_grid_search(spark, sf):
+    rf = RandomForestClassifier(seed=7)
+    grid = ParamGridBuilder().addGrid(rf.numTrees, [10, 30]).addGrid(rf.maxDepth, [3, 5]).build()
+    return EV.grid_search(spark, _labelled(spark, sf), rf, grid)
+
+
+def _clf_query(name, model_name):
+    @query(name)
+    def q(spark, sf):
+        data = _frame(spark, sf)
+        model = make(model_name).fit(data.filter(F.col("label").isNotNull()))
+        return model.transform(data.filter(F.col("label").isNull())).select(
+            "row_id", F.col("prediction").cast("int").alias("prediction"))
+    return q
+
+
+for _q, _m in [("clf_logistic", "logistic_cv"), ("clf_ridge", "ridge"), ("clf_lda_qda", "qda"),
+               ("clf_tree", "tree"), ("clf_nb", "gaussian_nb"), ("clf_linear_svm", "linear_svm"),
+               ("clf_rbf_svm", "rbf_svm"), ("clf_random_forest", "random_forest"),
+               ("clf_extra_trees", "extra_trees"), ("clf_bagging", "bagging"), ("clf_gbt", "gbt"),
+               ("clf_adaboost", "adaboost"), ("clf_boosted_meta", "boosted_meta")]:
+    _clf_query(_q, _m)
+
+
+@query("prediction_export")
+def q_prediction_export(spark, sf):
+    data = _frame(spark, sf)
+    model = make("gbt").fit(data.filter(F.col("label").isNotNull()))
+    scored = model.transform(data.filter(F.col("label").isNull()))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
+    out = files.export_predictions(scored, "row_id", "prediction", path)
+    return files.read_csv_typed(spark, path, out.schema)
+
+
+STACK_BASE = ["random_forest", "extra_trees", "adaboost", "gbt", "linear_svm"]
+
+
+def _stack(spark, sf):
+    data = _frame(spark, sf).withColumn("fold", EV.shuffled_folds("row_id", 5, 0))
+    return data, ST.stack_oof(spark, data, STACK_BASE, k=5)
+
+
+@query("stack_oof")
+def q_stack_oof(spark, sf):
+    _, (oof, _) = _stack(spark, sf)
+    return oof.select("row_id", "model", R("value").alias("value"))
+
+
+@query("stack_meta")
+def q_stack_meta(spark, sf):
+    data, (oof, _) = _stack(spark, sf)
+    return ST.stack_meta(oof, data.select("row_id", "label"), STACK_BASE)
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    _, (_, imps) = _stack(spark, sf)
+    tree_models = [m for m in STACK_BASE if m in ("random_forest", "extra_trees", "gbt")]
+    return ST.importance_table(imps, tree_models)
