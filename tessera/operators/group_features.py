@@ -15,17 +15,21 @@ def group_rate_by_size(df: DataFrame, group: str = "ticket", label: str = "label
     mean of the member rows' group rate; the ``top`` best sizes per class.
 
     Rows are first folded to (group, class) partial counts, so the shuffle
-    carries aggregates, never member rows, and a hot group is one row.
-    The row-level mean is rebuilt exactly as sum(rate * rows) / rows-with-rate.
+    carries aggregates, never member rows, and a hot group is one row per
+    class.  Group totals are a window over that folded table (at most one row
+    per class in a window partition), so the input is scanned once and no
+    join is needed.  The row-level mean is rebuilt exactly as
+    sum(rate * rows) / rows-with-rate.
     """
     part = df.groupBy(group, cls).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(label).alias("s"),
         F.count(label).alias("c"))
-    per_group = part.groupBy(group).agg(
-        F.sum("n").alias("team_size"),
-        (rate(F.sum("s"), F.sum("c")) * 100).alias("rate"))
-    by_size = (part.join(per_group, group)
+    g = Window.partitionBy(group)
+    per_group = part.select(
+        cls, "n", F.sum("n").over(g).alias("team_size"),
+        (rate(F.sum("s").over(g), F.sum("c").over(g)) * 100).alias("rate"))
+    by_size = (per_group
                .groupBy(cls, "team_size")
                .agg(rate(F.sum(F.col("rate") * F.col("n")),
                          F.sum(F.when(F.col("rate").isNotNull(), F.col("n")))).alias("mean_rate")))

@@ -17,7 +17,7 @@ pass per step, and no group is ever gathered in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.strings import trailing_number
@@ -57,15 +57,17 @@ def household_roles(df: DataFrame, group: str = "ticket", key: str = "row_id",
         F.min(key).alias("__first"),
         F.min_by(F.col(label), F.col(key)).alias("__first_label"))
 
-    child_sibs = compact.groupBy(group).agg(
-        F.max(F.when(F.col("__is_child"), F.col("sibs")).otherwise(0)).alias("child_sibs"))
-    c2 = compact.join(child_sibs, group)
+    # group steps as windows over the compact table: a window partition holds
+    # one row per distinct (is_child, sex, sibs, family size) of the group -
+    # bounded by the attribute domains, not by the group's size
+    g = Window.partitionBy(group)
+    c2 = compact.withColumn(
+        "child_sibs", F.max(F.when(F.col("__is_child"), F.col("sibs")).otherwise(0)).over(g))
     base = F.when(F.col("__is_child"), "Child").when(F.col("sex") == "female", "Woman").otherwise("Man")
     r2 = F.when((base != "Child") & (F.col("sibs") != 0) & (F.col("sibs") == F.col("child_sibs")),
                 "olderChild").otherwise(base)
-    child_fam = c2.groupBy(group).agg(
-        F.max(F.when(r2.isin(CHILD_ROLES), F.col("__fam")).otherwise(0)).alias("child_family_size"))
-    c3 = (c2.join(child_fam, group)
+    c3 = (c2.withColumn("child_family_size",
+                        F.max(F.when(r2.isin(CHILD_ROLES), F.col("__fam")).otherwise(0)).over(g))
           .withColumn("__role", _roles(F.col("__is_child"), F.col("sex"), F.col("sibs"), F.col("__fam"),
                                        F.col("child_sibs"), F.col("child_family_size"))))
 
