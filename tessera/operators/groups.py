@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +66,8 @@ def join_back(df: DataFrame, stats: DataFrame, keys: str | Sequence[str],
     salts = conf_int(spark, SKEW_SALTS, 64)
     if _ROWS not in stats.columns:
         raise ValueError("stats must come from group_stats (needs the row count)")
+    # read twice (hot-key top-k and the join): aggregate once, keep it
+    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
 
     hot = F.broadcast(
         stats.filter(F.col(_ROWS) >= min_rows)

@@ -20,6 +20,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,11 +39,14 @@ def knn_classify(train: DataFrame, query: DataFrame, features: Sequence[str], la
     spark = train.sparkSession
     features = list(features)
     d = len(features)
+    # both sides are read once per round: keep them (spilling to disk)
     pts = (train.filter(F.col(label).isNotNull())
-           .groupBy(*features, label).agg(F.count(F.lit(1)).alias("__c")))
+           .groupBy(*features, label).agg(F.count(F.lit(1)).alias("__c"))
+           .persist(StorageLevel.MEMORY_AND_DISK))
     n = max(pts.count(), 1)
     h = min(1.0, (k / n) ** (1.0 / d) * 2)
-    pending = query.select(qid, *[F.col(f).alias(f"__q_{f}") for f in features])
+    pending = (query.select(qid, *[F.col(f).alias(f"__q_{f}") for f in features])
+               .persist(StorageLevel.MEMORY_AND_DISK))
     offs = F.broadcast(_offsets(spark, d))  # 3^d rows
     taken_parts = []
     rounds = 0
@@ -63,14 +67,15 @@ def knn_classify(train: DataFrame, query: DataFrame, features: Sequence[str], la
         taken = (ranked.withColumn("__prev", F.col("__cum") - F.col("__c"))
                  .filter(F.col("__prev") < k)
                  .withColumn("__take", F.least(F.col("__c"), F.lit(k) - F.col("__prev")))
-                 .select(qid, label, "__d2", "__take"))
+                 .select(qid, label, "__d2", "__take")
+                 .persist(StorageLevel.MEMORY_AND_DISK))
         status = taken.groupBy(qid).agg(F.sum("__take").alias("__got"), F.max("__d2").alias("__dk"))
         done = status if final else status.filter((F.col("__got") >= k) & (F.col("__dk") <= h * h))
         done = cut_lineage(done.select(qid)) if rounds >= 2 else done.select(qid).cache()
         taken_parts.append(taken.join(done, qid, "left_semi"))
         if final:
             break
-        pending = pending.join(done, qid, "left_anti")
+        pending = pending.join(done, qid, "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
         if pending.limit(1).count() == 0:
             break
         h = min(1.0, h * 2)

@@ -17,6 +17,7 @@ pass per step, and no group is ever gathered in one task.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,7 +70,8 @@ def household_roles(df: DataFrame, group: str = "ticket", key: str = "row_id",
     c3 = (c2.withColumn("child_family_size",
                         F.max(F.when(r2.isin(CHILD_ROLES), F.col("__fam")).otherwise(0)).over(g))
           .withColumn("__role", _roles(F.col("__is_child"), F.col("sex"), F.col("sibs"), F.col("__fam"),
-                                       F.col("child_sibs"), F.col("child_family_size"))))
+                                       F.col("child_sibs"), F.col("child_family_size")))
+          .persist(StorageLevel.MEMORY_AND_DISK))   # read by the group stats and the outcome table
 
     per_group = c3.groupBy(group).agg(
         F.first("child_sibs").alias("child_sibs"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -91,7 +92,8 @@ def _target_rates(spark, sf):
     m = _m(spark, sf).withColumn("family", S.surname_clean("name")).withColumn(
         "family_size", F.col("sibs") + F.col("parch") + 1)
     freq = m.groupBy("ticket").agg(F.count(F.lit(1)).alias("ticket_freq"))
-    m = m.join(freq, "ticket")
+    # read by both encodings and both parts: keep it (spilling to disk)
+    m = m.join(freq, "ticket").persist(StorageLevel.MEMORY_AND_DISK)
     is_train = F.col("split") == "train"
     m = target_rate_encode(m, is_train, "family", "label", "family_size", "family_rate", "family_hit")
     return target_rate_encode(m, is_train, "ticket", "label", "ticket_freq", "ticket_rate", "ticket_hit")
@@ -187,7 +189,7 @@ def q_impute_knn(spark, sf):
     from tessera.operators.knn import knn_classify
     m = _m(spark, sf).select("row_id", "cls", "port", S.prefix_before_number("ticket").alias("tp"),
                              S.trailing_number("ticket").alias("tn"))
-    s = _scaled_codes(m, ["cls", "tp", "tn"])
+    s = _scaled_codes(m, ["cls", "tp", "tn"]).persist(StorageLevel.MEMORY_AND_DISK)
     feats = ["x_cls", "x_tp", "x_tn"]
     pred = knn_classify(s.filter(F.col("port").isNotNull()), s.filter(F.col("port").isNull()),
                         feats, "port", "row_id", k=3, weights="distance", out="__pred")
@@ -198,7 +200,7 @@ def q_impute_knn(spark, sf):
 def q_clf_knn(spark, sf):
     from tessera.operators.knn import knn_classify
     s = _scaled_codes(_m(spark, sf).select("row_id", "split", "label", "cls", "sibs", "parch"),
-                      ["cls", "sibs", "parch"])
+                      ["cls", "sibs", "parch"]).persist(StorageLevel.MEMORY_AND_DISK)
     feats = ["x_cls", "x_sibs", "x_parch"]
     return knn_classify(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test"),
                         feats, "label", "row_id", k=5, weights="uniform")

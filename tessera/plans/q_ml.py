@@ -12,7 +12,6 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from tessera.functions.draws import draw_u32
 from tessera.models import evaluate as EV
 from tessera.models import stacking as ST
 from tessera.models.classifiers import make
@@ -32,9 +31,13 @@ def _frame(spark, sf):
     return ml_frame(manifest(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _labelled(spark, sf, k=5, seed=7):
-    return (_frame(spark, sf).filter(F.col("label").isNotNull())
-            .withColumn("fold", EV.shuffled_folds("row_id", k, seed)))
+def _labelled(spark, sf, k=5, how="contiguous"):
+    """Labelled rows with a fold column: 'contiguous' (KFold without
+    shuffling) or 'stratified' (integer cv on a classifier)."""
+    data = _frame(spark, sf).filter(F.col("label").isNotNull())
+    if how == "stratified":
+        return EV.stratified_folds(data, k, "row_id", "label")
+    return EV.contiguous_folds(data, k, "row_id")
 
 
 # ---- splits and folds (SQL-checkable) -----------------------------------------------------
@@ -88,7 +91,7 @@ LEADERBOARD = ["logistic", "logistic_cv", "ridge", "lda", "qda", "tree", "gaussi
 
 @query("model_leaderboard")
 def q_model_leaderboard(spark, sf):
-    scores = EV.cross_validate(spark, _labelled(spark, sf), LEADERBOARD, k=5)
+    scores = EV.cross_validate(spark, _labelled(spark, sf, 5, "stratified"), LEADERBOARD, k=5)
     return EV.summarize(scores)
 
 
@@ -96,7 +99,7 @@ def q_model_leaderboard(spark, sf):
 def q_grid_search(spark, sf):
     rf = RandomForestClassifier(seed=7)
     grid = ParamGridBuilder().addGrid(rf.numTrees, [10, 30]).addGrid(rf.maxDepth, [3, 5]).build()
-    return EV.grid_search(spark, _labelled(spark, sf), rf, grid)
+    return EV.grid_search(spark, _labelled(spark, sf, 10), rf, grid, k=10)
 
 
 def _clf_query(name, model_name):
