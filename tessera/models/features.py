@@ -4,6 +4,7 @@ labelled part and applied to both parts (no leakage from unlabelled rows)."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tessera.functions import conditional as C
 from tessera.functions import strings as S
 from tessera.operators import impute as I
+from tessera.operators.encode import fit_categories
 
 FEATURES = ["cls", "is_male", "age", "sibs", "parch", "fare", "port_code", "title_code",
             "family_size", "is_alone"]
@@ -23,6 +25,8 @@ RARE_TITLES = ["Lady", "Countess", "Capt", "Col", "Don", "Dr", "Major", "Rev", "
 def ml_frame(m: DataFrame, features_col: str = "features") -> DataFrame:
     """row_id, split, label (double, null when unlabelled), the FEATURES
     columns (double) and ``features_col``."""
+    # several fitted statistics read the same input: keep it (spilling to disk)
+    m = m.persist(StorageLevel.MEMORY_AND_DISK)
     train = m.filter(F.col("split") == "train")
     df = I.fill_group_median(m, "age", ["sex", "cls"], train)
     df = I.fill_global_median(df, "fare", train)
@@ -30,7 +34,7 @@ def ml_frame(m: DataFrame, features_col: str = "features") -> DataFrame:
     title = C.collapse(C.collapse(S.title_by_regex("name"), {"Rare": RARE_TITLES}),
                        {"Miss": ["Mlle", "Ms"], "Mrs": ["Mme"]})
     fam = F.col("sibs") + F.col("parch") + 1
-    ports = sorted(["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"])
+    ports = fit_categories(train, ["port"])["port"]   # sorted, size-checked
     out = df.select(
         "row_id", "split", F.col("label").cast("double").alias("label"),
         F.col("cls").cast("double").alias("cls"),

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import join_checked
 from tessera.operators.ordering import dense_codes
 
 UNKNOWN_ERROR = "error"
@@ -26,9 +26,26 @@ def label_encode(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """0..n-1 code of each value in sorted order (nulls stay null).  The code
     table is computed distributed and joined back; broadcast only when its
     measured size allows."""
-    name = name or f"{col}_code"
-    codes = dense_codes(df, col, name)
-    return join_checked(df, codes, [col], "left")
+    return label_encode_many(df, [col], {col: name or f"{col}_code"})
+
+
+def label_encode_many(df: DataFrame, cols: Sequence[str], names: Mapping[str, str] | None = None,
+                      scaled: bool = False, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """Label-encode several columns; all code tables are computed from the
+    same (persisted) input, then joined.  ``scaled=True`` also min-max scales
+    each code to [0, 1] (code / (n - 1), 0 when n = 1), as LabelEncoder
+    followed by MinMaxScaler."""
+    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = base
+    for c in cols:
+        name = (names or {}).get(c, f"{c}_code")
+        codes = dense_codes(base, c, name).persist(StorageLevel.MEMORY_AND_DISK)
+        n = codes.count()   # one measurement: broadcast check and scale
+        if scaled:
+            codes = codes.select(c, F.coalesce(F.try_divide(F.col(name).cast("double"), F.lit(float(n - 1))),
+                                               F.lit(0.0)).alias(name))
+        out = out.join(F.broadcast(codes) if n <= max_broadcast_rows else codes, c, "left")
+    return out
 
 
 def minmax_scale(df: DataFrame, col: str, name: str, fit: DataFrame | None = None) -> DataFrame:

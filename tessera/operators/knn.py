@@ -18,6 +18,7 @@ Order among equal distances: label ascending.  Vote: ``'distance'`` weights
 from __future__ import annotations
 
 import itertools
+import logging
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage
 
+log = logging.getLogger(__name__)
+
 
 def _offsets(spark, d: int) -> DataFrame:
     rows = list(itertools.product([-1, 0, 1], repeat=d))
@@ -76,7 +79,9 @@ def knn_classify(train: DataFrame, query: DataFrame, features: Sequence[str], la
         if final:
             break
         pending = pending.join(done, qid, "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
-        if pending.limit(1).count() == 0:
+        left = pending.count()
+        log.debug("knn round %d: h=%.4f, %d queries left", rounds, h, left)
+        if left == 0:
             break
         h = min(1.0, h * 2)
         rounds += 1

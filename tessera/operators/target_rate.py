@@ -19,9 +19,12 @@ from tessera.operators.ordering import exact_percentiles
 def key_rates(train: DataFrame, test: DataFrame, key: str, label: str, size: str) -> DataFrame:
     both = train.select(key).intersect(test.select(key))
     t = train.join(both, key, "left_semi")
-    med = exact_percentiles(t, label, [0.5], [key], ["__rate"])
-    sz = exact_percentiles(t, size, [0.5], [key], ["__size"])
-    return med.join(sz, key).filter(F.col("__size") > 1).select(key, "__rate")
+    # both medians (label and group size) in one grouped percentile pass
+    long = t.select(key, F.col(label).cast("double").alias("rate"), F.col(size).cast("double").alias("size")) \
+        .unpivot([key], ["rate", "size"], "__which", "__v")
+    med = exact_percentiles(long, "__v", [0.5], [key, "__which"], ["__med"])
+    wide = med.groupBy(key).pivot("__which", ["rate", "size"]).agg(F.first("__med"))
+    return wide.filter(F.col("size") > 1).select(key, F.col("rate").alias("__rate"))
 
 
 def target_rate_encode(df: DataFrame, is_train: Column, key: str, label: str, size: str,

@@ -32,9 +32,7 @@ def _train(spark, sf):
 @query("label_encode")
 def q_label_encode(spark, sf):
     m = _m(spark, sf).select("row_id", "port", "sex", "cabin")
-    for c in ["port", "sex", "cabin"]:
-        m = E.label_encode(m, c)
-    return m.select("row_id", "port_code", "sex_code", "cabin_code")
+    return E.label_encode_many(m, ["port", "sex", "cabin"]).select("row_id", "port_code", "sex_code", "cabin_code")
 
 
 @query("minmax_scale")
@@ -115,7 +113,8 @@ def q_target_rate_combine(spark, sf):
 
 @query("pipeline_num_cat")
 def q_pipeline_num_cat(spark, sf):
-    m = _m(spark, sf)
+    # every pipeline stage is fitted on the output of the previous ones: keep the input
+    m = _m(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
     model = num_cat_pipeline(["age", "fare"], ["port", "sex"]).fit(m.filter(F.col("split") == "train"))
     arr = vector_to_array(F.col("features"))
     return model.transform(m).select("row_id", *[R(arr[i]).alias(f"f{i}") for i in range(9)])
@@ -173,15 +172,8 @@ def q_role_member_outcome(spark, sf):
 
 def _scaled_codes(df, cols):
     """Label-encode each column (sorted distinct values) and min-max scale
-    the codes to [0, 1]."""
-    for c in cols:
-        df = E.label_encode(df, c, f"__code_{c}")
-        top = df.agg(F.max(f"__code_{c}").alias(f"__max_{c}"))
-        df = (df.crossJoin(F.broadcast(top))  # one row
-              .withColumn(f"x_{c}", F.coalesce(F.try_divide(F.col(f"__code_{c}").cast("double"),
-                                                            F.col(f"__max_{c}").cast("double")), F.lit(0.0)))
-              .drop(f"__code_{c}", f"__max_{c}"))
-    return df
+    the codes to [0, 1] -> x_<col>."""
+    return E.label_encode_many(df, cols, {c: f"x_{c}" for c in cols}, scaled=True)
 
 
 @query("impute_knn")
