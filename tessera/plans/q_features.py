@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions import strings as S
 from tessera.operators import encode as E
 from tessera.operators import roles as RL
+from tessera.operators.groups import broadcast_to_rows
 from tessera.operators.preprocess import num_cat_pipeline
 from tessera.operators.target_rate import target_rate_encode
 from tessera.plans.catalog import query
@@ -87,11 +88,12 @@ def q_encode_given_categories(spark, sf):
 
 
 def _target_rates(spark, sf):
-    m = _m(spark, sf).withColumn("family", S.surname_clean("name")).withColumn(
-        "family_size", F.col("sibs") + F.col("parch") + 1)
-    freq = m.groupBy("ticket").agg(F.count(F.lit(1)).alias("ticket_freq"))
-    # read by both encodings and both parts: keep it (spilling to disk)
-    m = m.join(freq, "ticket").persist(StorageLevel.MEMORY_AND_DISK)
+    # only the needed columns (a persisted frame is not pruned below the cache)
+    m = _m(spark, sf).select("row_id", "split", "label", "ticket", S.surname_clean("name").alias("family"),
+                             (F.col("sibs") + F.col("parch") + 1).alias("family_size"))
+    # group size on each row (skew-safe join back); read by both encodings and
+    # both parts: keep it (spilling to disk)
+    m = broadcast_to_rows(m, "ticket", ticket_freq=F.count(F.lit(1))).persist(StorageLevel.MEMORY_AND_DISK)
     is_train = F.col("split") == "train"
     m = target_rate_encode(m, is_train, "family", "label", "family_size", "family_rate", "family_hit")
     return target_rate_encode(m, is_train, "ticket", "label", "ticket_freq", "ticket_rate", "ticket_hit")
