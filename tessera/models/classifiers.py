@@ -54,6 +54,45 @@ class RidgeClassifier(Estimator):
         return RidgeClassifierModel(cv.fit(data).bestModel, self.prediction_col)
 
 
+class KNNClassifierModel(Model):
+    def __init__(self, train, cols, lo, span, k, weights, key, prediction_col):
+        super().__init__()
+        self.train, self.cols, self.lo, self.span = train, cols, lo, span
+        self.k, self.weights, self.key, self.prediction_col = k, weights, key, prediction_col
+
+    def _scaled(self, df):
+        return df.withColumns({f"__s_{c}": F.least(F.greatest((F.col(c) - self.lo[c]) / self.span[c], F.lit(0.0)),
+                                                   F.lit(1.0)) for c in self.cols})
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        from tessera.operators.knn import knn_classify
+        q = self._scaled(df)
+        pred = knn_classify(self.train, q, [f"__s_{c}" for c in self.cols], "label", self.key, k=self.k,
+                            weights=self.weights, out="__knn")
+        return (df.join(pred, self.key, "left")
+                .withColumn(self.prediction_col, F.col("__knn").cast("double")).drop("__knn"))
+
+
+class KNNClassifier(Estimator):
+    """k nearest neighbours (exact, ``operators.knn``) on min-max scaled
+    feature columns; ``key`` identifies rows to predict."""
+
+    def __init__(self, cols=FEATURES, k: int = 5, weights: str = "uniform", key: str = "row_id",
+                 prediction_col: str = "prediction"):
+        super().__init__()
+        self.cols, self.k, self.weights, self.key, self.prediction_col = list(cols), k, weights, key, prediction_col
+
+    def _fit(self, df: DataFrame) -> KNNClassifierModel:
+        data = df.filter(F.col("label").isNotNull())
+        st = data.agg(*[F.min(c).alias(f"lo_{c}") for c in self.cols],
+                      *[F.max(c).alias(f"hi_{c}") for c in self.cols]).first()
+        lo = {c: float(st[f"lo_{c}"]) for c in self.cols}
+        span = {c: (float(st[f"hi_{c}"]) - lo[c]) or 1.0 for c in self.cols}
+        model = KNNClassifierModel(None, self.cols, lo, span, self.k, self.weights, self.key, self.prediction_col)
+        model.train = model._scaled(data)
+        return model
+
+
 def _logistic_cv():
     lr = LogisticRegression(maxIter=50)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.1]).build()
@@ -78,6 +117,7 @@ FACTORIES = {
     "ridge": lambda: RidgeClassifier(),
     "lda": lambda: DiscriminantAnalysis(FEATURES, kind="linear"),
     "qda": lambda: DiscriminantAnalysis(FEATURES, kind="quadratic"),
+    "knn": lambda: KNNClassifier(k=5),
     "tree": lambda: DecisionTreeClassifier(maxDepth=5, seed=7),
     "gaussian_nb": _gaussian_nb,
     "bernoulli_nb": _bernoulli_nb,

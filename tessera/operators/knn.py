@@ -21,7 +21,6 @@ import itertools
 import logging
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,28 +36,39 @@ def _offsets(spark, d: int) -> DataFrame:
 
 def knn_classify(train: DataFrame, query: DataFrame, features: Sequence[str], label: str,
                  qid: str, k: int = 3, weights: str = "distance",
-                 out: str = "prediction") -> DataFrame:
-    """(qid, out) for every query row."""
+                 out: str = "prediction", max_grid_dims: int = 3) -> DataFrame:
+    """(qid, out) for every query row.
+
+    With more than ``max_grid_dims`` features the grid is laid over the
+    ``max_grid_dims`` highest-variance ones only (3^m neighbour cells per
+    query instead of 3^d); distances still use every feature.  Exactness is
+    kept: a point within full distance h is within h on any subset of the
+    coordinates, so it is in a neighbouring cell."""
     spark = train.sparkSession
     features = list(features)
-    d = len(features)
-    # both sides are read once per round: keep them (spilling to disk)
-    pts = (train.filter(F.col(label).isNotNull())
-           .groupBy(*features, label).agg(F.count(F.lit(1)).alias("__c"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    # both sides are read in every round: write them once to the checkpoint
+    # folder, so each round plans over a plain scan, not the upstream lineage
+    pts = cut_lineage(train.filter(F.col(label).isNotNull())
+                      .groupBy(*features, label).agg(F.count(F.lit(1)).alias("__c")))
     n = max(pts.count(), 1)
-    h = min(1.0, (k / n) ** (1.0 / d) * 2)
-    pending = (query.select(qid, *[F.col(f).alias(f"__q_{f}") for f in features])
-               .persist(StorageLevel.MEMORY_AND_DISK))
+    if len(features) > max_grid_dims:
+        var = pts.agg(*[F.var_pop(f).alias(f) for f in features]).first()
+        grid_feats = sorted(features, key=lambda f: -(var[f] or 0.0))[:max_grid_dims]
+    else:
+        grid_feats = features
+    d = len(grid_feats)
+    # expected k-th neighbour distance scales with the full dimension
+    h = min(1.0, (k / n) ** (1.0 / len(features)) * 2)
+    pending = cut_lineage(query.select(qid, *[F.col(f).alias(f"__q_{f}") for f in features]))
     offs = F.broadcast(_offsets(spark, d))  # 3^d rows
     taken_parts = []
     rounds = 0
     while True:
         final = h >= 1.0
-        grid = pts.withColumns({f"__g{i}": F.floor(F.col(f) / h).cast("bigint") for i, f in enumerate(features)})
+        grid = pts.withColumns({f"__g{i}": F.floor(F.col(f) / h).cast("bigint") for i, f in enumerate(grid_feats)})
         probe = pending.crossJoin(offs).withColumns({
             f"__g{i}": (F.floor(F.col(f"__q_{f}") / h) + F.col(f"__o{i}")).cast("bigint")
-            for i, f in enumerate(features)})
+            for i, f in enumerate(grid_feats)})
         cand = probe.join(grid, [f"__g{i}" for i in range(d)])
         dist2 = None
         for f in features:
@@ -70,15 +80,15 @@ def knn_classify(train: DataFrame, query: DataFrame, features: Sequence[str], la
         taken = (ranked.withColumn("__prev", F.col("__cum") - F.col("__c"))
                  .filter(F.col("__prev") < k)
                  .withColumn("__take", F.least(F.col("__c"), F.lit(k) - F.col("__prev")))
-                 .select(qid, label, "__d2", "__take")
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+                 .select(qid, label, "__d2", "__take"))
+        taken = cut_lineage(taken)
         status = taken.groupBy(qid).agg(F.sum("__take").alias("__got"), F.max("__d2").alias("__dk"))
         done = status if final else status.filter((F.col("__got") >= k) & (F.col("__dk") <= h * h))
-        done = cut_lineage(done.select(qid)) if rounds >= 2 else done.select(qid).cache()
+        done = cut_lineage(done.select(qid))
         taken_parts.append(taken.join(done, qid, "left_semi"))
         if final:
             break
-        pending = pending.join(done, qid, "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
+        pending = cut_lineage(pending.join(done, qid, "left_anti"))
         left = pending.count()
         log.debug("knn round %d: h=%.4f, %d queries left", rounds, h, left)
         if left == 0:

@@ -6,8 +6,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
-
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
@@ -17,7 +15,7 @@ from tessera.models import stacking as ST
 from tessera.models.classifiers import make
 from tessera.models.features import ml_frame
 from tessera.plans.catalog import query
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import cut_lineage, ensure_checkpoint_dir
 from tessera.sources import files
 from tessera.sources.manifest import manifest
 
@@ -27,8 +25,9 @@ def R(c):
 
 
 def _frame(spark, sf):
-    # iterative fits read the frame many times: keep it (spilling to disk)
-    return ml_frame(manifest(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
+    # iterative fits plan and read the frame many times: materialise it once in
+    # the checkpoint folder, so every fit starts from a plain scan
+    return cut_lineage(ml_frame(manifest(spark, sf)))
 
 
 def _labelled(spark, sf, k=5, how="contiguous"):
@@ -73,7 +72,7 @@ def q_accuracy(spark, sf):
                     F.count(F.lit(1)).alias("n_test"))
 
 
-CV_MODELS = ["logistic", "lda", "tree", "gaussian_nb", "rbf_svm"]
+CV_MODELS = ["logistic", "lda", "knn", "tree", "gaussian_nb", "rbf_svm"]
 
 
 @query("cross_val_accuracy")
@@ -84,7 +83,7 @@ def q_cross_val_accuracy(spark, sf):
                                        F.count(F.lit(1)).alias("n_folds"))
 
 
-LEADERBOARD = ["logistic", "logistic_cv", "ridge", "lda", "qda", "tree", "gaussian_nb", "bernoulli_nb",
+LEADERBOARD = ["logistic", "logistic_cv", "ridge", "lda", "qda", "knn", "tree", "gaussian_nb", "bernoulli_nb",
                "linear_svm", "rbf_svm", "random_forest", "extra_trees", "bagging", "gbt", "adaboost",
                "boosted_meta"]
 
