@@ -72,7 +72,11 @@ def q_accuracy(spark, sf):
                     F.count(F.lit(1)).alias("n_test"))
 
 
-CV_MODELS = ["logistic", "lda", "knn", "tree", "gaussian_nb", "rbf_svm"]
+# exact k-nearest neighbours is not in the default lists: over the ten
+# feature columns no grid prunes (the k-th neighbour radius spans the cube), so
+# it costs |held-out| x |train| per fold; it stays available as make("knn")
+# and backs clf_knn / impute_knn on low-dimensional features
+CV_MODELS = ["logistic", "lda", "tree", "gaussian_nb", "rbf_svm"]
 
 
 @query("cross_val_accuracy")
@@ -83,7 +87,7 @@ def q_cross_val_accuracy(spark, sf):
                                        F.count(F.lit(1)).alias("n_folds"))
 
 
-LEADERBOARD = ["logistic", "logistic_cv", "ridge", "lda", "qda", "knn", "tree", "gaussian_nb", "bernoulli_nb",
+LEADERBOARD = ["logistic", "logistic_cv", "ridge", "lda", "qda", "tree", "gaussian_nb", "bernoulli_nb",
                "linear_svm", "rbf_svm", "random_forest", "extra_trees", "bagging", "gbt", "adaboost",
                "boosted_meta"]
 
