@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,10 +22,17 @@ def patch_rows(df: DataFrame, patches: DataFrame, key: str, cols: Sequence[str],
 
 
 def lookup_with_default(df: DataFrame, table: DataFrame, key: str, value: str,
-                        default: Column, out: str, flag: str) -> DataFrame:
+                        default: Column, out: str, flag: str,
+                        max_broadcast_rows: int | None = None) -> DataFrame:
     """Look ``key`` up in ``table`` (key, value): hit -> value and flag 1,
-    miss -> ``default`` (a column, e.g. a one-row broadcast scalar) and 0."""
+    miss -> ``default`` (a column, e.g. a one-row broadcast scalar) and 0.
+    With ``max_broadcast_rows`` the (persisted) table is measured and
+    broadcast when within the bound, else joined by shuffle."""
     t = table.select(key, F.col(value).alias("__lk_v"), F.lit(1).alias("__lk_hit"))
+    if max_broadcast_rows is not None:
+        t = t.persist(StorageLevel.MEMORY_AND_DISK)
+        if t.count() <= max_broadcast_rows:
+            t = F.broadcast(t)
     return (df.join(t, key, "left")
             .withColumn(out, F.coalesce(F.col("__lk_v"), default))
             .withColumn(flag, F.coalesce(F.col("__lk_hit"), F.lit(0)))
