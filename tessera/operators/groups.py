@@ -12,13 +12,14 @@ keys:
   from the aggregate itself (``orderBy(desc).limit``: a bounded, distributed
   top-k, at most ``topKeys`` rows, so broadcasting it is size-checked by
   construction);
-* member rows of a hot key get a deterministic salt ``xxhash64(row) % salts``;
-  the aggregate row of a hot key is replicated ``salts`` times;
+* member rows of a hot key get a salt ``hash(row key) % salts`` (or of the
+  per-row id); the aggregate row of a hot key is replicated ``salts`` times;
 * the join is on (key, salt), so a hot key is spread over ``salts`` tasks
   instead of one.  Every other key has salt 0 and joins as usual.
 
-The salt is a hash of the row's own values, so a recomputed partition (after
-an executor loss) sends each row to the same place again.
+Salt values never change the result: the aggregate row exists under every
+salt, so whichever salt a row gets - also after a partition is recomputed
+when an executor is lost - it meets exactly one copy of its group's row.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.session import (SKEW_MIN_ROWS, SKEW_SALTS, SKEW_TOP_KEYS, conf_int)
 
@@ -36,18 +36,17 @@ ROWS = _ROWS = "__grp_rows"
 _HOT = "__grp_hot"
 _SALT = "__grp_salt"
 
-_ATOMIC = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
-           T.BinaryType)
-
-
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
 def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    cols = list(columns) if columns else [
-        f.name for f in df.schema.fields if isinstance(f.dataType, _ATOMIC)]
-    return F.xxhash64(*[F.col(c) for c in cols])
+    """Spreading hash of a row: of ``columns`` (e.g. the row key) when given,
+    else of the per-row id - never of every column, which would force the
+    scan to read columns the query does not need."""
+    if columns:
+        return F.xxhash64(*[F.col(c) for c in columns])
+    return F.xxhash64(F.monotonically_increasing_id())
 
 
 def group_stats(df: DataFrame, keys: str | Sequence[str], *aggs: Column) -> DataFrame:
