@@ -15,7 +15,9 @@ keys:
 * member rows of a hot key get a salt ``hash(row key) % salts`` (or of the
   per-row id); the aggregate row of a hot key is replicated ``salts`` times;
 * the join is on (key, salt), so a hot key is spread over ``salts`` tasks
-  instead of one.  Every other key has salt 0 and joins as usual.
+  instead of one.  Every other key has salt 0 and joins as usual (a big key
+  beyond the top-k is still split by AQE's skew-join handling of the
+  sort-merge join).
 
 Salt values never change the result: the aggregate row exists under every
 salt, so whichever salt a row gets - also after a partition is recomputed
@@ -36,6 +38,7 @@ ROWS = _ROWS = "__grp_rows"
 _HOT = "__grp_hot"
 _SALT = "__grp_salt"
 
+
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 

@@ -30,6 +30,9 @@ _W = "__rk_w"
 _LOCAL = "__rk_local"
 _OFF = "__rk_off"
 
+# Largest list of big-group keys sent to every task as a broadcast.
+HOT_LIST_MAX = 10_000
+
 
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -154,24 +157,25 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
 
     Groups below ``spark.tessera.skew.minRows`` rows use Spark's exact
     ``percentile`` aggregate (its buffer holds the group's distinct values, so
-    it is bounded by that size).  The few larger groups - at most
-    ``spark.tessera.skew.topKeys`` of them, found by one bounded top-k - are
-    folded to (key, value, count), ranked with ``cumulative_rank`` across many
-    tasks, and the two order statistics around each position are picked by an
-    aggregate; no task holds a whole big group."""
+    it is bounded by that size).  Every larger group is folded to (key, value,
+    count), ranked with ``cumulative_rank`` across many tasks, and the two
+    order statistics around each position are picked by an aggregate; no task
+    holds a whole big group.  The big keys travel as a broadcast list of at
+    most ``HOT_LIST_MAX`` keys; with more big groups than that, every group
+    takes the ranked path."""
     by = list(by)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
     vals = df.select(*by, F.col(value).cast("double").alias("__ep_v")).filter(F.col("__ep_v").isNotNull())
     big = _big_rows(df)
-    if by:
-        hot = (vals.groupBy(*by).agg(F.count(F.lit(1)).alias("__ep_n"))
-               .filter(F.col("__ep_n") >= big).orderBy(F.col("__ep_n").desc())
-               .limit(_top_keys(df)).drop("__ep_n").collect())
-    else:
-        hot = [()] if vals.count() >= big else []
+    if not by:
+        return (_percentile_ranked(vals, by, probs, names) if vals.count() >= big
+                else _percentile_agg(vals, by, probs, names))
+    hot = (vals.groupBy(*by).agg(F.count(F.lit(1)).alias("__ep_n"))
+           .filter(F.col("__ep_n") >= big).drop("__ep_n")
+           .limit(HOT_LIST_MAX + 1).collect())
     if not hot:
         return _percentile_agg(vals, by, probs, names)
-    if not by:
+    if len(hot) > HOT_LIST_MAX:
         return _percentile_ranked(vals, by, probs, names)
     hot_df = F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in hot], vals.select(*by).schema))
     small = _percentile_agg(vals.join(hot_df, by, "left_anti"), by, probs, names)

@@ -55,3 +55,11 @@ def test_two_phase_top_n(spark):
     got = top_n_per_group(df, ["k"], [F.col("v").desc(), F.col("id")], 3, salts=8).toPandas()
     exp = pdf.sort_values(["k", "v", "id"], ascending=[True, False, True]).groupby("k").head(3)
     assert sorted(got.id) == sorted(exp.id)
+
+
+def test_ranked_percentiles_when_too_many_big_groups(spark, skew_low, monkeypatch):
+    monkeypatch.setattr(O, "HOT_LIST_MAX", 1)   # more big groups than the list may hold
+    pdf, df = _frame(spark)
+    got = O.exact_percentiles(df, "v", [0.25, 0.75], ["k"], ["a", "b"]).toPandas().sort_values("k")
+    exp = pdf.groupby("k").v.quantile([0.25, 0.75]).unstack()
+    assert np.allclose(got[["a", "b"]].values, exp.values)
