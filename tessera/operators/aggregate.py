@@ -32,15 +32,15 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 def mode_table(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Most frequent non-null ``value`` per key (ties: smallest value), with its
-    count.  Counts are partial aggregates; the pick is two more aggregates, no
-    window over a whole group."""
+    count.  Two aggregations, both partial: counts per (key, value), then per
+    key ``min_by(value, (-count, value))`` - no join or window that would put
+    all values of one key (say, every distinct name) into one task."""
     keys = list(keys)
     counts = (df.filter(F.col(value).isNotNull())
               .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__m_cnt")))
-    best = counts.groupBy(*keys).agg(F.max("__m_cnt").alias("__m_max"))
-    joined = counts.join(best, keys) if keys else counts.crossJoin(F.broadcast(best))
-    return (joined.filter(F.col("__m_cnt") == F.col("__m_max"))
-            .groupBy(*keys).agg(F.min(value).alias("mode"), F.first("__m_max").alias("freq")))
+    order = F.struct((-F.col("__m_cnt")).alias("c"), F.col(value).alias("v"))
+    return counts.groupBy(*keys).agg(F.min_by(F.col(value), order).alias("mode"),
+                                     F.max("__m_cnt").alias("freq"))
 
 
 def value_counts(df: DataFrame, col: str, name: str = "count") -> DataFrame:
