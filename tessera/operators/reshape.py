@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,19 +12,23 @@ from tessera.functions.nulls import rate
 
 
 def complete_grid(values: DataFrame, domains: Mapping[str, DataFrame | Sequence],
-                  fill: Mapping[str, object]) -> DataFrame:
+                  fill: Mapping[str, object], max_cells: int = 10_000_000) -> DataFrame:
     """Every combination of the key domains, with ``values`` where present and
     ``fill`` elsewhere (pandas' categorical group-by with empty bins).
 
     Domains are low-cardinality key sets (class, sex, bin number); the grid is
-    the product of those small tables, never a product of data rows."""
+    the product of those small tables, never a product of data rows.  The
+    domains are measured first and the grid is refused above ``max_cells``."""
     spark = values.sparkSession
-    grid = None
+    grid, cells = None, 1
     for name, dom in domains.items():
         if not isinstance(dom, DataFrame):
             dtype = values.schema[name].dataType
             dom = spark.createDataFrame([(v,) for v in dom], f"{name} {dtype.simpleString()}")
-        dom = dom.select(name).distinct()
+        dom = dom.select(name).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        cells *= dom.count()
+        if cells > max_cells:
+            raise ValueError(f"grid of {cells} cells exceeds max_cells={max_cells}")
         grid = dom if grid is None else grid.crossJoin(F.broadcast(dom))
     keys = list(domains)
     return grid.join(values, keys, "left").fillna(dict(fill))
