@@ -121,3 +121,17 @@ def test_discriminants_match_numpy(spark):
             scores.append(s)
         exp = np.where(scores[1] > scores[0], 1.0, 0.0)
         assert (got == exp).mean() > 0.99
+
+
+def test_mode_ties_take_smallest_value(spark):
+    from tessera.operators.aggregate import mode_table
+    df = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", "y"), ("a", "x"), ("a", None), ("b", "z")],
+                               "k string, v string")
+    got = sorted(tuple(r) for r in mode_table(df, ["k"], "v").collect())
+    assert got == [("a", "x", 2), ("b", "z", 1)]
+
+
+def test_grid_refuses_oversized_product(spark):
+    vals = spark.createDataFrame([(1, 1, 1)], "a int, b int, n long")
+    with pytest.raises(ValueError, match="max_cells"):
+        RS.complete_grid(vals, {"a": list(range(50)), "b": list(range(50))}, {"n": 0}, max_cells=100)
