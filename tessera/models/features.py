@@ -4,7 +4,6 @@ labelled part and applied to both parts (no leakage from unlabelled rows)."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from tessera.functions import conditional as C
 from tessera.functions import strings as S
 from tessera.operators import impute as I
 from tessera.operators.encode import fit_categories
+from tessera.session import keep
 
 FEATURES = ["cls", "is_male", "age", "sibs", "parch", "fare", "port_code", "title_code",
             "family_size", "is_alone"]
@@ -26,7 +26,7 @@ def ml_frame(m: DataFrame, features_col: str = "features") -> DataFrame:
     """row_id, split, label (double, null when unlabelled), the FEATURES
     columns (double) and ``features_col``."""
     # several fitted statistics read the same input: keep it (spilling to disk)
-    m = m.persist(StorageLevel.MEMORY_AND_DISK)
+    m = keep(m)
     train = m.filter(F.col("split") == "train")
     df = I.fill_group_median(m, "age", ["sex", "cls"], train)
     df = I.fill_global_median(df, "fare", train)

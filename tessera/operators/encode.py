@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.ordering import dense_codes
+from tessera.session import keep
 
 UNKNOWN_ERROR = "error"
 UNKNOWN_IGNORE = "ignore"
@@ -35,11 +35,11 @@ def label_encode_many(df: DataFrame, cols: Sequence[str], names: Mapping[str, st
     same (persisted) input, then joined.  ``scaled=True`` also min-max scales
     each code to [0, 1] (code / (n - 1), 0 when n = 1), as LabelEncoder
     followed by MinMaxScaler."""
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    base = keep(df)
     out = base
     for c in cols:
         name = (names or {}).get(c, f"{c}_code")
-        codes = dense_codes(base, c, name).persist(StorageLevel.MEMORY_AND_DISK)
+        codes = keep(dense_codes(base, c, name))
         n = codes.count()   # one measurement: broadcast check and scale
         if scaled:
             codes = codes.select(c, F.coalesce(F.try_divide(F.col(name).cast("double"), F.lit(float(n - 1))),

@@ -28,11 +28,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import (SKEW_MIN_ROWS, SKEW_SALTS, SKEW_TOP_KEYS, conf_int)
+from tessera.session import SKEW_MIN_ROWS, SKEW_SALTS, SKEW_TOP_KEYS, conf_int, keep
 
 ROWS = _ROWS = "__grp_rows"
 _HOT = "__grp_hot"
@@ -69,7 +68,7 @@ def join_back(df: DataFrame, stats: DataFrame, keys: str | Sequence[str],
     if _ROWS not in stats.columns:
         raise ValueError("stats must come from group_stats (needs the row count)")
     # read twice (hot-key top-k and the join): aggregate once, keep it
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+    stats = keep(stats)
 
     hot = F.broadcast(
         stats.filter(F.col(_ROWS) >= min_rows)

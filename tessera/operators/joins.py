@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tessera.session import keep
 
 
 def patch_rows(df: DataFrame, patches: DataFrame, key: str, cols: Sequence[str],
@@ -30,7 +30,7 @@ def lookup_with_default(df: DataFrame, table: DataFrame, key: str, value: str,
     broadcast when within the bound, else joined by shuffle."""
     t = table.select(key, F.col(value).alias("__lk_v"), F.lit(1).alias("__lk_hit"))
     if max_broadcast_rows is not None:
-        t = t.persist(StorageLevel.MEMORY_AND_DISK)
+        t = keep(t)
         if t.count() <= max_broadcast_rows:
             t = F.broadcast(t)
     return (df.join(t, key, "left")

@@ -18,12 +18,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import SKEW_MIN_ROWS, SKEW_TOP_KEYS, conf_int
+from tessera.session import SKEW_MIN_ROWS, SKEW_TOP_KEYS, conf_int, cut_lineage
 
 _PID = "__rk_pid"
 _W = "__rk_w"
@@ -75,7 +74,10 @@ def cumulative_rank(df: DataFrame, order_cols: Sequence[str], part_cols: Sequenc
                 carry = int(local.iloc[-1])
             yield pdf.assign(**{_LOCAL: local.astype("int64")})
 
-    local = keyed.mapInPandas(prefix_sums, out_schema).persist(StorageLevel.MEMORY_AND_DISK)
+    # the offsets below are collected from this materialisation, so it must
+    # never be recomputed (a new range sampling could move partition bounds):
+    # a reliable checkpoint, not a cache
+    local = cut_lineage(keyed.mapInPandas(prefix_sums, out_schema))
     totals = local.groupBy(_PID, *part_cols).agg(F.max(_LOCAL).alias("__rk_tot"))
     if part_cols:
         spanning = (totals.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("__rk_np"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.nulls import rate
+from tessera.session import keep
 
 
 def complete_grid(values: DataFrame, domains: Mapping[str, DataFrame | Sequence],
@@ -25,7 +25,7 @@ def complete_grid(values: DataFrame, domains: Mapping[str, DataFrame | Sequence]
         if not isinstance(dom, DataFrame):
             dtype = values.schema[name].dataType
             dom = spark.createDataFrame([(v,) for v in dom], f"{name} {dtype.simpleString()}")
-        dom = dom.select(name).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        dom = keep(dom.select(name).distinct())
         cells *= dom.count()
         if cells > max_cells:
             raise ValueError(f"grid of {cells} cells exceeds max_cells={max_cells}")

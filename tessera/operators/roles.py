@@ -17,12 +17,12 @@ pass per step, and no group is ever gathered in one task.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.strings import trailing_number
 from tessera.operators.groups import ROWS, join_back
+from tessera.session import keep
 
 CHILD_ROLES = ["Child", "olderChild"]
 
@@ -67,11 +67,11 @@ def household_roles(df: DataFrame, group: str = "ticket", key: str = "row_id",
     base = F.when(F.col("__is_child"), "Child").when(F.col("sex") == "female", "Woman").otherwise("Man")
     r2 = F.when((base != "Child") & (F.col("sibs") != 0) & (F.col("sibs") == F.col("child_sibs")),
                 "olderChild").otherwise(base)
-    c3 = (c2.withColumn("child_family_size",
-                        F.max(F.when(r2.isin(CHILD_ROLES), F.col("__fam")).otherwise(0)).over(g))
-          .withColumn("__role", _roles(F.col("__is_child"), F.col("sex"), F.col("sibs"), F.col("__fam"),
-                                       F.col("child_sibs"), F.col("child_family_size")))
-          .persist(StorageLevel.MEMORY_AND_DISK))   # read by the group stats and the outcome table
+    # read by the group stats and the outcome table
+    c3 = keep(c2.withColumn("child_family_size",
+                            F.max(F.when(r2.isin(CHILD_ROLES), F.col("__fam")).otherwise(0)).over(g))
+              .withColumn("__role", _roles(F.col("__is_child"), F.col("sex"), F.col("sibs"), F.col("__fam"),
+                                           F.col("child_sibs"), F.col("child_family_size"))))
 
     per_group = c3.groupBy(group).agg(
         F.first("child_sibs").alias("child_sibs"),

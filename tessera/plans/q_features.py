@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from tessera.operators.preprocess import num_cat_pipeline
 from tessera.operators.target_rate import target_rate_encode
 from tessera.plans.catalog import query
 from tessera.sources.manifest import manifest
+from tessera.session import keep
 
 
 def R(c):
@@ -93,7 +93,7 @@ def _target_rates(spark, sf):
                              (F.col("sibs") + F.col("parch") + 1).alias("family_size"))
     # group size on each row (skew-safe join back); read by both encodings and
     # both parts: keep it (spilling to disk)
-    m = broadcast_to_rows(m, "ticket", ticket_freq=F.count(F.lit(1))).persist(StorageLevel.MEMORY_AND_DISK)
+    m = keep(broadcast_to_rows(m, "ticket", ticket_freq=F.count(F.lit(1))))
     is_train = F.col("split") == "train"
     m = target_rate_encode(m, is_train, "family", "label", "family_size", "family_rate", "family_hit")
     return target_rate_encode(m, is_train, "ticket", "label", "ticket_freq", "ticket_rate", "ticket_hit")
@@ -116,7 +116,7 @@ def q_target_rate_combine(spark, sf):
 @query("pipeline_num_cat")
 def q_pipeline_num_cat(spark, sf):
     # every pipeline stage is fitted on the output of the previous ones: keep the input
-    m = _m(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    m = keep(_m(spark, sf))
     model = num_cat_pipeline(["age", "fare"], ["port", "sex"]).fit(m.filter(F.col("split") == "train"))
     arr = vector_to_array(F.col("features"))
     return model.transform(m).select("row_id", *[R(arr[i]).alias(f"f{i}") for i in range(9)])
@@ -183,7 +183,7 @@ def q_impute_knn(spark, sf):
     from tessera.operators.knn import knn_classify
     m = _m(spark, sf).select("row_id", "cls", "port", S.prefix_before_number("ticket").alias("tp"),
                              S.trailing_number("ticket").alias("tn"))
-    s = _scaled_codes(m, ["cls", "tp", "tn"]).persist(StorageLevel.MEMORY_AND_DISK)
+    s = keep(_scaled_codes(m, ["cls", "tp", "tn"]))
     feats = ["x_cls", "x_tp", "x_tn"]
     pred = knn_classify(s.filter(F.col("port").isNotNull()), s.filter(F.col("port").isNull()),
                         feats, "port", "row_id", k=3, weights="distance", out="__pred")
@@ -193,8 +193,8 @@ def q_impute_knn(spark, sf):
 @query("clf_knn")
 def q_clf_knn(spark, sf):
     from tessera.operators.knn import knn_classify
-    s = _scaled_codes(_m(spark, sf).select("row_id", "split", "label", "cls", "sibs", "parch"),
-                      ["cls", "sibs", "parch"]).persist(StorageLevel.MEMORY_AND_DISK)
+    s = keep(_scaled_codes(_m(spark, sf).select("row_id", "split", "label", "cls", "sibs", "parch"),
+                           ["cls", "sibs", "parch"]))
     feats = ["x_cls", "x_sibs", "x_parch"]
     return knn_classify(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test"),
                         feats, "label", "row_id", k=5, weights="uniform")

@@ -10,6 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 
+import threading
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Conf keys read by the skew-aware join helpers (see operators/groups.py).
@@ -61,3 +64,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     value = spark.conf.get(key, None)
     return int(value) if value not in (None, "") else default
+
+
+_KEPT: list[DataFrame] = []
+_KEPT_LOCK = threading.Lock()
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist an intermediate read by several branches of one query
+    (memory, spilling to disk) and remember it, so ``release`` can free it
+    once the query's result has been consumed."""
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    with _KEPT_LOCK:
+        _KEPT.append(out)
+    return out
+
+
+def release() -> None:
+    """Unpersist every intermediate kept so far.  Always safe: a cache is
+    only an optimisation, and anything still referenced recomputes from
+    its lineage (checkpointed lineage cuts are files and stay)."""
+    with _KEPT_LOCK:
+        kept = list(_KEPT)
+        _KEPT.clear()
+    for df in kept:
+        df.unpersist(blocking=False)
+
