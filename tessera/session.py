@@ -7,14 +7,15 @@ the benchmark and the smoke entry point.
 
 from __future__ import annotations
 
-import os
 import tempfile
-
 import threading
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+_KEPT: list[DataFrame] = []
+_KEPT_LOCK = threading.Lock()
+
 # Conf keys read by the skew-aware join helpers (see operators/groups.py).
 SKEW_MIN_ROWS = "spark.tessera.skew.minRows"
 SKEW_TOP_KEYS = "spark.tessera.skew.topKeys"
@@ -37,21 +38,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "16g")
     )
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    sc = spark.sparkContext
+    sc.setLogLevel("ERROR")
+    if not sc.getCheckpointDir() and not sc.getConf().get("spark.checkpoint.dir", None):
+        # one local JVM (tests, bench): driver and executor share this folder
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    """The session's reliable checkpoint folder.
+
+    A folder the caller has set (``setCheckpointDir``, or the cluster's
+    ``spark.checkpoint.dir``) is used as it is.  The library never picks a
+    machine-local folder itself: without one it raises, because a checkpoint
+    that other executors cannot read is lost with the machine that wrote it.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+        raise RuntimeError(
+            "no checkpoint folder: set spark.checkpoint.dir (a folder that the driver and all "
+            "executors share) or call SparkContext.setCheckpointDir first")
+    with _KEPT_LOCK:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(path)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -66,10 +81,6 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
     return int(value) if value not in (None, "") else default
 
 
-_KEPT: list[DataFrame] = []
-_KEPT_LOCK = threading.Lock()
-
-
 def keep(df: DataFrame) -> DataFrame:
     """Persist an intermediate read by several branches of one query
     (memory, spilling to disk) and remember it, so ``release`` can free it
