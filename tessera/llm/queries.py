@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe
+from tessera.llm import bpe, quality, token_counts
 from tessera.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,18 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    return quality.quality_rules(docs, read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+
+
 @query
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
