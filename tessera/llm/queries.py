@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, langid, quality, token_counts
+from tessera.llm import bpe, langid, quality, secrets, token_counts
 from tessera.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
 
 
+@query
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 @query
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
