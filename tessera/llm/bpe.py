@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tessera.llm.columns import RunFn, free_name, struct_of
 from tessera.llm.pretokens import IdCache, joined, pieces_of, split
 
-NONE = np.int64(1) << 40
+NONE = np.int32(1 << 30)
 #: Longer pre-tokens go through the heap.
 MATRIX_BYTES = 256
 MATRIX_CELLS = 1 << 21
@@ -43,7 +43,7 @@ class PairTable:
         self.shift = np.uint64(64 - bits)
         self.mask = (1 << bits) - 1
         self.key = np.full(1 << bits, -1, np.int64)
-        self.rank = np.full(1 << bits, NONE, np.int64)
+        self.rank = np.full(1 << bits, NONE, np.int32)
         self.merged = np.zeros(1 << bits, np.int32)
         key = left.astype(np.int64) << 32 | right.astype(np.int64)
         slot = self._slot(key)
@@ -91,27 +91,35 @@ class Vocabulary:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of each pre-token: (flat ids, lengths)."""
-        out: list[np.ndarray | None] = [None] * len(texts)
-        buckets: dict[int, list[int]] = {}
-        for row, text in enumerate(texts):
-            number = self.whole.get(text)
-            if number is not None:
-                out[row] = np.array([number], np.uint32)
-            elif len(text) > MATRIX_BYTES:
-                out[row] = self._by_heap(text)
-            else:
-                buckets.setdefault(len(text), []).append(row)
-        for n, rows in buckets.items():
-            step = max(1, MATRIX_CELLS // max(1, n))
-            for at in range(0, len(rows), step):
-                self._by_matrix([texts[r] for r in rows[at:at + step]], rows[at:at + step], n, out)
-        lengths = np.fromiter(map(len, out), np.int64, len(out))
-        return (np.concatenate(out) if out else np.zeros(0, np.uint32)), lengths
-
-    def _by_matrix(self, texts: list[bytes], rows: list[int], n: int, out: list) -> None:
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        lengths = np.zeros(len(texts), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []  # rows, their ids (as wide each)
+        if self.whole:
+            number = np.fromiter((self.whole.get(t, -1) for t in texts), np.int64, len(texts))
+            rows = np.flatnonzero(number >= 0)
+            parts.append((rows, number[rows, None].astype(np.uint32)))
+            size[rows] = -1
+        for n in np.unique(size[size > 0]).tolist():
+            rows = np.flatnonzero(size == n)
+            if n > MATRIX_BYTES:
+                parts += [(np.array([r]), self._by_heap(texts[r])[None, :]) for r in rows.tolist()]
+                continue
+            step = max(1, MATRIX_CELLS // n)
+            for at in range(0, rows.size, step):
+                some = rows[at:at + step]
+                parts += self._by_matrix([texts[r] for r in some.tolist()], some, n)
+        for rows, ids in parts:
+            lengths[rows] = ids.shape[1]
+        before = np.cumsum(lengths) - lengths
+        out = np.empty(int(lengths.sum()), np.uint32)
+        for rows, ids in parts:
+            out[before[rows][:, None] + np.arange(ids.shape[1])] = ids
+        return out, lengths
+
+    def _by_matrix(self, texts: list[bytes], row: np.ndarray, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        parts = []
         ids = self.byte_id[np.frombuffer(b"".join(texts), np.uint8).reshape(len(texts), n)]
-        row = np.array(rows, np.int64)
-        rank = np.full((len(texts), max(n - 1, 0)), NONE, np.int64)
+        rank = np.full((len(texts), max(n - 1, 0)), NONE, np.int32)
         merged = np.zeros(rank.shape, np.int32)
         if n > 1:
             slot = self.pairs.find(ids[:, :-1], ids[:, 1:])
@@ -120,25 +128,22 @@ class Vocabulary:
             width = ids.shape[1]
             at = rank.argmin(axis=1) if width > 1 else np.zeros(len(ids), np.int64)
             on = rank[np.arange(len(ids)), at] < NONE if width > 1 else np.zeros(len(ids), bool)
-            done = np.flatnonzero(~on)
-            if done.size:
-                finished = ids[done].astype(np.uint32)
-                for k, r in enumerate(row[done].tolist()):
-                    out[r] = finished[k]
+            if not on.all():
+                parts.append((row[~on], ids[~on].astype(np.uint32)))
                 ids, rank, merged, row, at = ids[on], rank[on], merged[on], row[on], at[on]
             if not len(ids):
-                return
+                return parts
             each = np.arange(len(ids))
             token = merged[each, at]
-            take = np.arange(width - 1)
-            take = take + (take > at[:, None])
-            ids = np.take_along_axis(ids, take, 1)
+            # what stands right of the pair moves one column to the left
+            after = np.arange(width - 1) > at[:, None]
+            ids = np.where(after, ids[:, 1:], ids[:, :-1])
             ids[each, at] = token
             if width > 2:
                 # the pair at the merge goes; its neighbours are looked up anew
-                take = np.arange(width - 2)
-                take = take + (take >= at[:, None])
-                rank, merged = np.take_along_axis(rank, take, 1), np.take_along_axis(merged, take, 1)
+                after = np.arange(width - 2) >= at[:, None]
+                rank = np.where(after, rank[:, 1:], rank[:, :-1])
+                merged = np.where(after, merged[:, 1:], merged[:, :-1])
                 for side in (at - 1, at):
                     ok = np.flatnonzero((side >= 0) & (side < width - 2))
                     s = side[ok]
