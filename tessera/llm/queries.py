@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, langid, packing, quality, secrets, token_counts
+from tessera.llm import bpe, langid, packing, quality, secrets, simhash, token_counts
 from tessera.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
 
 
+@query
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), width=3, limit=2)
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
