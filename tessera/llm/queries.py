@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, langid, packing, quality, secrets, simhash, token_counts
+from tessera.llm import bpe, langid, packing, quality, secrets, sharding, simhash, token_counts
 from tessera.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,33 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+#: Bytes of a shard.
+SHARD_BYTES = 1 << 20
+
+
+@query
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), SHARD_BYTES)
+
+
+ORACLE["op7_sharding"] = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+  FROM documents),
+n AS (
+  SELECT depth, h >> (60 - depth) AS prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS shard_docs
+  FROM d, range(0, 61) r(depth) GROUP BY ALL),
+f AS (SELECT * FROM n WHERE shard_bytes <= {SHARD_BYTES} OR shard_docs = 1),
+s AS (
+  SELECT d.doc_id, d.n_bytes, d.h, min(f.depth) AS depth
+  FROM d, f WHERE d.h >> (60 - f.depth) = f.prefix GROUP BY ALL)
+SELECT s.doc_id, s.n_bytes,
+       substr(lpad(printf('%s', bin(s.h)), 60, '0'), 1, s.depth::INT) AS shard,
+       s.depth::INT AS depth, f.shard_bytes, f.shard_docs, f.shard_bytes > {SHARD_BYTES} AS oversize
+FROM s JOIN f ON f.depth = s.depth AND f.prefix = s.h >> (60 - s.depth)"""
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
