@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, langid, packing, quality, secrets, sharding, simhash, token_counts
+from tessera.llm import bpe, langid, packing, quality, secrets, sharding, simhash, token_counts, url_filter
 from tessera.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,37 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
 
 
+#: Rules of the URL filter: host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+_RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+
+@query
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {_RULE_VALUES} AS r(host, path, verdict)")
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages", ["page_id", "url"]), rules)
+
+
+ORACLE["op3_url_filters"] = f"""
+WITH r(rule_host, rule_path, verdict) AS (VALUES {_RULE_VALUES}),
+u AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                            '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u),
+m AS (
+  SELECT p.page_id, max(struct_pack(n := length(rule_host || rule_path), h := length(rule_host),
+                                    rule := rule_host || rule_path, verdict := verdict)) AS best
+  FROM p JOIN r ON (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, rule_path)
+  GROUP BY p.page_id)
+SELECT p.page_id, p.host, p.path, m.best.rule AS rule, coalesce(m.best.verdict, '{url_filter.DEFAULT}') AS verdict
+FROM p LEFT JOIN m USING (page_id)"""
+
+
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), width=3, limit=2)

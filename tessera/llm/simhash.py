@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.llm.columns import RunFn, free_name, struct_of
+from tessera.llm.skew import HOT_ROWS, join_salted
 from tessera.session import cut_lineage
 
 SEED = 42
@@ -46,8 +47,6 @@ FAN_OUT = 16
 SLICE_QUERIES = 1 << 18
 #: Pairs of query and node looked at together.
 FRONTIER = 1 << 20
-#: Rows of a hot fingerprint above which its rows are salted, and the salts.
-HOT_ROWS, SALTS = 100_000, 64
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -341,17 +340,8 @@ def component_ids(rows: DataFrame, limit: int, hot_rows: int = HOT_ROWS, block:
         "root", F.coalesce("root", "fp"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     known = cut_lineage(rooted.join(ids, "root").select("fp", "component_id", "root", "n"))
-    # a fingerprint may stand in a third of all rows: its rows are dealt over salts
-    hot = known.where(F.col("n") > hot_rows).select("fp")
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    one = F.array(F.lit(0))
-    table = known.select("fp", "component_id", "root",
-                         F.explode(F.when(F.col("n") > hot_rows, salts).otherwise(one)).alias("salt"))
-    hot = F.broadcast(hot) if hot.count() <= 100_000 else hot
-    salted = rows.join(hot.withColumn("hot", F.lit(True)), "fp", "left").withColumn(
-        "salt", F.when(F.col("hot"), F.floor(F.rand(SEED) * SALTS).cast("int"))
-        .otherwise(F.lit(0))).drop("hot")
-    return salted.join(table, ["fp", "salt"]).drop("salt")
+    # a fingerprint may stand in a third of all rows
+    return join_salted(rows, known, ["fp"], "n", hot_rows)
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, limit: int = 2, doc_id: str = "doc_id",
