@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, langid, packing, quality, secrets, sharding, simhash, token_counts, url_filter
+from tessera.llm import bpe, fingerprints, langid, packing, quality, secrets, sharding, simhash, token_counts, url_filter
 from tessera.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,11 @@ SELECT p.page_id, p.host, p.path, m.best.rule AS rule, coalesce(m.best.verdict,
 FROM p LEFT JOIN m USING (page_id)"""
 
 
+@query
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_fingerprints(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), width=3, limit=2)
