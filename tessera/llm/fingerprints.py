@@ -50,10 +50,10 @@ def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit("check")).bitwiseAND(F.lit((1 << 32) - 1))
 
 
-def _place(key: Column, table: int, width: int) -> Column:
+def _place(key: Column, table: int, width: Column) -> Column:
     """The cell of a digest in one of the tables."""
-    h = F.xxhash64(key, F.lit(width))
-    return F.shiftrightunsigned(h, 20 * table).bitwiseAND(F.lit(width - 1))
+    h = F.xxhash64(key, width)
+    return F.shiftrightunsigned(h, 20 * table).bitwiseAND(width - 1)
 
 
 def _cell(n: Column, key: Column, check: Column) -> Column:
@@ -64,14 +64,15 @@ def _zero() -> Column:
     return _cell(F.lit(0), F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def sketch(keys: Column, width: int) -> Column:
-    """The cells of a set of digests: ``TABLES`` tables one after another."""
+def sketch(keys: Column, width: Column) -> Column:
+    """The cells of a set of digests: ``TABLES`` tables of ``width`` cells
+    (a bigint), one after another."""
     def tables(entries: Column) -> Column:
         def cell(table: int) -> Callable[[Column], Column]:
             return lambda i: F.aggregate(
                 F.filter(entries, lambda e: e[f"at{table}"] == i), _zero(),
                 lambda c, e: _cell(c["n"] + 1, c["key"].bitwiseXOR(e["key"]), c["check"].bitwiseXOR(e["check"])))
-        every = F.sequence(F.lit(0).cast("bigint"), F.lit(width - 1).cast("bigint"))
+        every = F.sequence(F.lit(0).cast("bigint"), width - 1)
         return F.concat(*[F.transform(every, cell(t)) for t in range(TABLES)])
 
     entries = F.transform(keys, lambda d: F.struct(
@@ -84,7 +85,7 @@ def subtract(a: Column, b: Column) -> Column:
         x["n"] - y["n"], x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"])))
 
 
-def peel(cells: Column, width: int) -> Column:
+def peel(cells: Column, width: Column) -> Column:
     """The digests left in subtracted cells, as an array of (key, n): n is 1
     for the first version's, -1 for the second's; null if some stay hidden."""
     none = F.array().cast("array<struct<key:bigint,n:bigint>>")
@@ -98,14 +99,17 @@ def peel(cells: Column, width: int) -> Column:
         def take(p: Column) -> Column:
             placed = F.transform(p, lambda x: F.struct(
                 x["key"].alias("key"), x["n"].alias("n"), _check(x["key"]).alias("check"),
-                *[(_place(x["key"], t, width) + t * width).alias(f"at{t}") for t in range(TABLES)]))
+                *[_place(x["key"], t, width).alias(f"at{t}") for t in range(TABLES)]))
 
-            def without(q: Column) -> Column:
-                return F.transform(s["cells"], lambda c, i: F.aggregate(
-                    F.filter(q, lambda x: (x["at0"] == i) | (x["at1"] == i) | (x["at2"] == i)), c,
+            def table(q: Column, t: int) -> Column:
+                return F.transform(F.slice(s["cells"], (t * width + 1).cast("int"), width.cast("int")), lambda c, i: F.aggregate(
+                    F.filter(q, lambda x: x[f"at{t}"] == i), c,
                     lambda left, x: _cell(left["n"] - x["n"], left["key"].bitwiseXOR(x["key"]),
                                           left["check"].bitwiseXOR(x["check"]))))
 
+            def without(q: Column) -> Column:
+                return F.concat(*[table(q, t) for t in range(TABLES)])
+
             return F.struct(_let(placed, without).alias("cells"), F.concat(s["found"], p).alias("found"),
                             (F.size(p) == 0).alias("over"))
 
@@ -139,14 +143,24 @@ def _again(a: Column, b: Column) -> Column:
     power = lambda n: F.pow(F.lit(2.0), n).cast("bigint")
     first, second = power(F.floor(bits / 2)), power(bits - F.floor(bits / 2))
     pairs = F.arrays_zip(_dealt(a, first, second).alias("a"), _dealt(b, first, second).alias("b"))
-    return F.flatten(F.transform(pairs, lambda p: F.coalesce(
-        *[peel(subtract(sketch(p["a"], w), sketch(p["b"], w)), w) for w in LARGER], _exact(p["a"], p["b"]))))
+    found = "array<struct<key:bigint,n:bigint>>"
+
+    def bucket(p: Column) -> Column:
+        tried = F.aggregate(F.array(*[F.lit(w).cast("bigint") for w in LARGER]), F.lit(None).cast(found), lambda got, w: F.coalesce(
+            got, peel(subtract(sketch(p["a"], w), sketch(p["b"], w)), w)))
+        return F.coalesce(tried, _exact(p["a"], p["b"]))
+
+    return F.flatten(F.transform(pairs, bucket))
+
+
+def _first() -> Column:
+    return F.lit(WIDTH).cast("bigint")
 
 
 def differing(cells_a: Column, cells_b: Column, keys_a: Column, keys_b: Column) -> Column:
     """The digests in which two versions differ (as ``peel`` gives them), from
     their sketches, or from larger ones if those do not peel."""
-    return F.coalesce(peel(subtract(cells_a, cells_b), WIDTH), _again(keys_a, keys_b))
+    return F.coalesce(peel(subtract(cells_a, cells_b), _first()), _again(keys_a, keys_b))
 
 
 def likeness(found: Column, keys_a: Column, keys_b: Column) -> Column:
@@ -170,7 +184,7 @@ def paragraph_differences(df: DataFrame, a: str, b: str, out: str = "differences
     names = [free_name(df, n) for n in ("keys_a", "keys_b")]
     keyed = df.withColumns({n: digests(F.coalesce(F.col(c), F.lit(""))) for n, c in zip(names, (a, b))})
     ka, kb = map(F.col, names)
-    return keyed.withColumn(out, differing(sketch(ka, WIDTH), sketch(kb, WIDTH), ka, kb)).drop(*names)
+    return keyed.withColumn(out, differing(sketch(ka, _first()), sketch(kb, _first()), ka, kb)).drop(*names)
 
 
 def _search(cuts: list[Column], value: Column) -> Column:
@@ -233,20 +247,23 @@ def edit_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
     keyed = (rows.withColumn("keys", digests(F.col("text")))
-             .withColumn("cells", sketch(F.col("keys"), WIDTH)))
+             .withColumn("cells", sketch(F.col("keys"), _first())))
     paired = with_next(keyed, ["doc_id", "hash"], ["text", "keys", "cells"])
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.char_length("text") - half),
                       F.substring("next.text", F.lit(1), half))
     out = (paired.withColumn("edited", edited)
            .withColumn("edited_keys", digests(F.col("edited")))
-           .withColumn("edited_cells", sketch(F.col("edited_keys"), WIDTH)))
+           .withColumn("edited_cells", sketch(F.col("edited_keys"), _first())))
     c = F.col
+    versions = F.array(F.struct(c("edited_keys").alias("keys"), c("edited_cells").alias("cells")),
+                       F.struct(c("next.keys").alias("keys"), c("next.cells").alias("cells")))
+    near = F.transform(versions, lambda v: likeness(
+        differing(c("cells"), v["cells"], c("keys"), v["keys"]), c("keys"), v["keys"]))
     return out.select(
         "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         as_text(c("text"), c("keys"), c("cells")).alias("fingerprint"),
         as_text(c("edited"), c("edited_keys"), c("edited_cells")).alias("edited_fingerprint"),
-        likeness(differing(c("cells"), c("edited_cells"), c("keys"), c("edited_keys")), c("keys"), c("edited_keys"))
-        .alias("near_edited"),
-        likeness(differing(c("cells"), c("next.cells"), c("keys"), c("next.keys")), c("keys"), c("next.keys"))
-        .alias("near_next"))
+        near.alias("near")).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        F.col("near")[0].alias("near_edited"), F.col("near")[1].alias("near_next"))
