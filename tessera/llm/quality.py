@@ -187,7 +187,7 @@ def choose_cutoffs(stats: DataFrame, labels: DataFrame, s: str, doc_id: str = "d
              .groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").alias("good"), F.max("quality").alias("__most"))
              .where(F.col("good") == F.col("__most")).drop("__most"))
     m = measures(s)
-    #: the bin of a value: how many cutoffs it lies beyond
+    # the bin of a value is how many cutoffs it lies beyond; a cutoff's step is the least bin beyond it
     bins = F.array(*[F.struct(
         F.lit(rule).alias("rule"),
         sum(F.when(m[rule] > c, 1).otherwise(0) for c in cutoffs[rule]).alias("bin")) for rule in cutoffs])
@@ -198,8 +198,8 @@ def choose_cutoffs(stats: DataFrame, labels: DataFrame, s: str, doc_id: str = "d
             .agg(F.sum("good").cast("bigint").alias("good"), F.sum(1 - F.col("good")).cast("bigint").alias("bad")))
     # from here on a row is a stratum, rule and cutoff: counts, not documents
     group = Window.partitionBy("stratum", "rule")
-    steps = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(k + 1).alias("step"), F.lit(float(c)).alias("cutoff"))
-                      for rule in cutoffs for k, c in enumerate(cutoffs[rule])])
+    steps = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(len(cutoffs[rule]) - k).alias("step"),
+                               F.lit(float(c)).alias("cutoff")) for rule in cutoffs for k, c in enumerate(cutoffs[rule])])
     grid = (held.groupBy("stratum").agg(F.lit(1).alias("__one")).select("stratum", F.explode(steps).alias("g"))
             .select("stratum", "g.rule", "g.step", "g.cutoff"))
     both = (grid.withColumnRenamed("step", "bin")
@@ -220,12 +220,12 @@ def choose_cutoffs(stats: DataFrame, labels: DataFrame, s: str, doc_id: str = "d
         return pd.Series([binomial_cdf(int(a), int(b), share) if b > 0 else 1.0 for a, b in zip(k, n)])
 
     tested = (counts.withColumn("p", chance("k", "n"))
-              .withColumn("worst", F.max("p").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("worst", F.max("p").over(group.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)))
               .where(F.col("worst") <= level)
               .withColumn("gain", F.col("k_bad") / F.greatest("n_bad", F.lit(1)) - F.col("k") / F.col("n"))
               .where("gain > 0"))
     return (tested.groupBy("stratum").pivot("rule", list(cutoffs))
-            .agg(F.max_by("cutoff", F.struct("gain", -F.col("bin")))))
+            .agg(F.max_by("cutoff", F.struct("gain", "bin"))))
 
 
 def verdicts(rows: DataFrame, cutoffs: DataFrame, s: str, stratum: str = "lang") -> DataFrame:

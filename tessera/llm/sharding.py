@@ -103,6 +103,7 @@ def assign_shards(docs: DataFrame, limit: int, doc_id: str = "doc_id", text: str
 
 
 def write_shards(docs: DataFrame, shards: DataFrame, path: str, doc_id: str = "doc_id") -> None:
-    """Writes ``docs`` (unique ids) as Parquet, a folder per shard."""
-    (docs.join(shards.select(F.col("doc_id").alias(doc_id), "shard"), doc_id)
+    """Writes ``docs`` (unique ids) as Parquet, a folder per shard, named ``b``
+    and its bits (so they are read back as text)."""
+    (docs.join(shards.select(F.col("doc_id").alias(doc_id), F.concat(F.lit("b"), "shard").alias("shard")), doc_id)
      .repartition("shard").write.partitionBy("shard").parquet(path))
