@@ -48,10 +48,14 @@ def cut_explicit(df: DataFrame, col: str, edges: Sequence[float], name: str) ->
 
 def cut_equal_width(df: DataFrame, col: str, bins: int, name: str) -> DataFrame:
     """``cut(x, n)``: ``n`` equal-width bins over [min, max], right-closed,
-    the lowest edge widened (so the minimum falls in bin 0)."""
-    rng = df.agg(F.min(col).alias("__ew_min"), F.max(col).alias("__ew_max"))
+    the lowest edge widened (so the minimum falls in bin 0).  A constant column
+    gets the range widened by 0.1 % of its value to both sides (0.001 for 0)."""
+    rng = df.agg(F.min(col).cast("double").alias("__ew_lo"), F.max(col).cast("double").alias("__ew_hi"))
+    pad = F.when(F.col("__ew_lo") == F.col("__ew_hi"), F.when(F.col("__ew_lo") == 0, F.lit(0.001)).otherwise(
+        F.abs("__ew_lo") * 0.001)).otherwise(F.lit(0.0))
+    rng = rng.select((F.col("__ew_lo") - pad).alias("__ew_min"), (F.col("__ew_hi") + pad).alias("__ew_max"))
     width = (F.col("__ew_max") - F.col("__ew_min")) / bins
-    raw = F.ceil((F.col(col) - F.col("__ew_min")) / width)
+    raw = F.ceil(F.try_divide(F.col(col) - F.col("__ew_min"), width))
     idx = F.when(F.col(col).isNull(), None).otherwise(
         F.least(F.greatest(raw, F.lit(1)), F.lit(bins)) - 1)
     return (df.crossJoin(F.broadcast(rng))  # one row
@@ -66,8 +70,15 @@ def quantile_edges(df: DataFrame, col: str, q: int, by: Sequence[str] = ()) -> D
 
 def cut_quantile(df: DataFrame, col: str, q: int, name: str) -> DataFrame:
     """``qcut(x, q)``: bin = number of inner edges strictly below x
-    (right-closed bins, the minimum in bin 0); null stays null."""
+    (right-closed bins, the minimum in bin 0); null stays null.  Equal edges are
+    an error."""
     edges = quantile_edges(df, col, q)
+    same = F.lit(False)
+    for i in range(q):
+        same = same | (F.col(f"__qe{i}") == F.col(f"__qe{i + 1}"))
+    found = edges.select("*", same.alias("__qe_same")).first()
+    if found and found["__qe_same"]:
+        raise ValueError(f"bin edges of {col} are not unique: {[found[f'__qe{i}'] for i in range(q + 1)]}")
     idx = sum((F.col(col) > F.col(f"__qe{i}")).cast("int") for i in range(1, q))
     return (df.crossJoin(F.broadcast(edges))  # one row
             .withColumn(name, F.when(F.col(col).isNotNull(), idx))

@@ -1,127 +1,77 @@
 """Order statistics that never put a whole table (or a whole group) in one task.
 
 ``cumulative_rank`` is the primitive: a running (weighted) count in a total
-order, optionally restarted per partition key.  It range-partitions on
+order, optionally restarted per partition key.  Rows are range-partitioned on
 (partition key, order key) - so even a single hot key is spread over many
-tasks by its order values - takes prefix sums inside each task, and adds the
-totals of earlier tasks.  Only keys that straddle a task boundary need such an
-offset; there are fewer of those than tasks, so the offset table is bounded by
-twice the partition count and is broadcast with that proven bound.
-
-On top of it: exact percentiles (linear interpolation, as pandas / Spark
-``percentile``) globally or per group, contiguous ``ntile`` folds and dense
-ranks of distinct values (label encoding).
+tasks by its order values - summed up within each range by a window, and
+shifted by the totals of the key's earlier ranges.  Null keys are a key like
+any other.  There is one path, whatever the size, so results cannot depend on
+it.
+
+On top of it: row numbers, exact percentiles (linear interpolation, as pandas /
+Spark ``percentile``) globally or per group, contiguous ``ntile`` folds and
+dense ranks of distinct values (label encoding).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.session import SKEW_MIN_ROWS, SKEW_TOP_KEYS, conf_int, cut_lineage
+from tessera.session import cut_lineage
 
 _PID = "__rk_pid"
 _W = "__rk_w"
-_LOCAL = "__rk_local"
 _OFF = "__rk_off"
 
-# Largest list of big-group keys sent to every task as a broadcast.
-HOT_LIST_MAX = 10_000
-
 
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equal keys, null being equal to null; the right side's keys are
+    dropped."""
+    renamed = right.withColumnsRenamed({k: f"__ns_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & left[k].eqNullSafe(renamed[f"__ns_{k}"])
+    return left.join(renamed, on, how).drop(*[f"__ns_{k}" for k in keys])
+
+
 def cumulative_rank(df: DataFrame, order_cols: Sequence[str], part_cols: Sequence[str] = (),
                     weight: str | None = None, name: str = "cum",
                     partitions: int | None = None) -> DataFrame:
     """``df`` plus ``name`` = running sum of ``weight`` (1 per row when None)
     within ``part_cols``, in ``order_cols`` order (inclusive of the row).
     ``order_cols`` should make the order total, or ties get an arbitrary but
-    stable-per-run order."""
+    fixed order."""
     part_cols, order_cols = list(part_cols), list(order_cols)
     n = partitions or _partitions(df)
     wcol = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    keyed = (df.withColumn(_W, wcol)
-             .repartitionByRange(n, *part_cols, *order_cols)
-             .sortWithinPartitions(*part_cols, *order_cols)
-             .withColumn(_PID, F.spark_partition_id()))
-    out_schema = T.StructType(keyed.schema.fields + [T.StructField(_LOCAL, T.LongType())])
-
-    def prefix_sums(batches):
-        last_key, carry = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{_LOCAL: pd.Series([], dtype="int64")})
-                continue
-            if part_cols:
-                keys = pdf[part_cols].astype(object).where(pdf[part_cols].notna(), "\x00null")
-                new = keys.ne(keys.shift()).any(axis=1)
-                group = new.cumsum()
-                local = pdf[_W].groupby(group).cumsum()
-                first_key = tuple(keys.iloc[0])
-                if last_key is not None and first_key == last_key:
-                    local = local + (group == 1).astype("int64") * carry
-                last_key = tuple(keys.iloc[-1])
-                carry = int(local.iloc[-1])
-            else:
-                local = pdf[_W].cumsum() + carry
-                carry = int(local.iloc[-1])
-            yield pdf.assign(**{_LOCAL: local.astype("int64")})
-
-    # the offsets below are collected from this materialisation, so it must
-    # never be recomputed (a new range sampling could move partition bounds):
-    # a reliable checkpoint, not a cache
-    local = cut_lineage(keyed.mapInPandas(prefix_sums, out_schema))
-    totals = local.groupBy(_PID, *part_cols).agg(F.max(_LOCAL).alias("__rk_tot"))
-    if part_cols:
-        spanning = (totals.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("__rk_np"))
-                    .filter(F.col("__rk_np") > 1).drop("__rk_np"))
-        totals = totals.join(spanning, part_cols, "left_semi")
-    w = Window.partitionBy(*part_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn(_OFF, F.coalesce(F.sum("__rk_tot").over(w), F.lit(0)))
-    # bounded: at most (partitions - 1) spanning keys, each in <= partitions tasks,
-    # but together they cover at most 2 * partitions (task, key) pairs
-    rows = offsets.select(_PID, *part_cols, _OFF).collect()
-    if len(rows) > 4 * n + 4:
-        raise RuntimeError("offset table larger than its proven bound")
-    off_schema = T.StructType([local.schema[_PID]] + [local.schema[c] for c in part_cols]
-                              + [T.StructField(_OFF, T.LongType())])
-    off_df = df.sparkSession.createDataFrame([tuple(r) for r in rows], off_schema)
-    return (local.join(F.broadcast(off_df), [_PID, *part_cols], "left")
-            .withColumn(name, F.col(_LOCAL) + F.coalesce(F.col(_OFF), F.lit(0)))
-            .drop(_PID, _W, _LOCAL, _OFF))
-
-
-def _big_rows(df: DataFrame) -> int:
-    return conf_int(df.sparkSession, SKEW_MIN_ROWS, 1_000_000)
-
-
-def _top_keys(df: DataFrame) -> int:
-    return conf_int(df.sparkSession, SKEW_TOP_KEYS, 64)
+    # the ranges are sampled: written down, because totals and rows must agree
+    # on them also when a lost executor's part is computed again
+    keyed = cut_lineage(df.withColumn(_W, wcol)
+                        .repartitionByRange(n, *part_cols, *order_cols)
+                        .withColumn(_PID, F.spark_partition_id()))
+    within = (Window.partitionBy(_PID, *part_cols).orderBy(*order_cols)
+              .rowsBetween(Window.unboundedPreceding, 0))
+    local = keyed.withColumn(name, F.sum(_W).over(within))
+    totals = keyed.groupBy(_PID, *part_cols).agg(F.sum(_W).alias("__rk_tot"))
+    earlier = Window.partitionBy(*part_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    # a row per range and key that occurs there; only keys that span ranges shift
+    offsets = (totals.withColumn(_OFF, F.sum("__rk_tot").over(earlier)).where(F.col(_OFF).isNotNull())
+               .drop("__rk_tot"))
+    return (join_null_safe(local, offsets, [_PID, *part_cols])
+            .withColumn(name, F.col(name) + F.coalesce(F.col(_OFF), F.lit(0)))
+            .drop(_PID, _W, _OFF))
 
 
 def row_number(df: DataFrame, order_cols: Sequence[str], part_cols: Sequence[str] = (),
                name: str = "row_no") -> DataFrame:
-    """1-based row number in a total order, optionally per partition key.
-
-    Windows are used when the largest partition (the whole table when
-    ``part_cols`` is empty) is below ``spark.tessera.skew.minRows``; above it the
-    range-partitioned ``cumulative_rank`` takes over, so no task ever sorts a
-    big group alone.  The size check is one aggregate returning one row."""
-    part_cols = list(part_cols)
-    if part_cols:
-        biggest = df.groupBy(*part_cols).count().agg(F.max("count")).first()[0] or 0
-    else:
-        biggest = df.count()
-    if biggest < _big_rows(df):
-        w = Window.partitionBy(*part_cols).orderBy(*order_cols)
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    """1-based row number in a total order, optionally per partition key."""
     return cumulative_rank(df, order_cols, part_cols, None, name)
 
 
@@ -132,7 +82,7 @@ def ntile(df: DataFrame, k: int, order_cols: Sequence[str], part_cols: Sequence[
     numbered = row_number(df, order_cols, part_cols, "__nt_rn")
     sizes = df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("__nt_n"))
     if part_cols:
-        numbered = numbered.join(sizes, list(part_cols), "left")
+        numbered = join_null_safe(numbered, sizes, list(part_cols))
     else:
         numbered = numbered.crossJoin(F.broadcast(sizes))  # one row
     r = F.col("__nt_rn") - 1
@@ -157,49 +107,17 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
     """Exact linear-interpolation percentiles of ``value`` (nulls ignored),
     one row per ``by`` key (one row in total when ``by`` is empty).
 
-    Groups below ``spark.tessera.skew.minRows`` rows use Spark's exact
-    ``percentile`` aggregate (its buffer holds the group's distinct values, so
-    it is bounded by that size).  Every larger group is folded to (key, value,
-    count), ranked with ``cumulative_rank`` across many tasks, and the two
-    order statistics around each position are picked by an aggregate; no task
-    holds a whole big group.  The big keys travel as a broadcast list of at
-    most ``HOT_LIST_MAX`` keys; with more big groups than that, every group
-    takes the ranked path."""
+    Values are folded to (key, value, count) with map-side combining, ranked
+    with ``cumulative_rank`` across many tasks, and the two order statistics
+    around each position are picked by an aggregate; no task holds a whole
+    group."""
     by = list(by)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
     vals = df.select(*by, F.col(value).cast("double").alias("__ep_v")).filter(F.col("__ep_v").isNotNull())
-    big = _big_rows(df)
-    if not by:
-        return (_percentile_ranked(vals, by, probs, names) if vals.count() >= big
-                else _percentile_agg(vals, by, probs, names))
-    hot = (vals.groupBy(*by).agg(F.count(F.lit(1)).alias("__ep_n"))
-           .filter(F.col("__ep_n") >= big).drop("__ep_n")
-           .limit(HOT_LIST_MAX + 1).collect())
-    if not hot:
-        return _percentile_agg(vals, by, probs, names)
-    if len(hot) > HOT_LIST_MAX:
-        return _percentile_ranked(vals, by, probs, names)
-    hot_df = F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in hot], vals.select(*by).schema))
-    small = _percentile_agg(vals.join(hot_df, by, "left_anti"), by, probs, names)
-    large = _percentile_ranked(vals.join(hot_df, by, "left_semi"), by, probs, names)
-    return small.unionByName(large)
-
-
-def _percentile_agg(vals: DataFrame, by: list[str], probs: Sequence[float], names: list[str]) -> DataFrame:
-    arr = F.percentile(F.col("__ep_v"), F.array(*[F.lit(float(p)) for p in probs]))
-    got = vals.groupBy(*by).agg(arr.alias("__ep_p"))
-    return got.select(*by, *[F.col("__ep_p")[i].alias(nm) for i, nm in enumerate(names)])
-
-
-def _percentile_ranked(vals: DataFrame, by: list[str], probs: Sequence[float], names: list[str]) -> DataFrame:
     counts = vals.groupBy(*by, "__ep_v").agg(F.count(F.lit(1)).alias("__ep_c"))
     ranked = cumulative_rank(counts, ["__ep_v"], by, "__ep_c", "__ep_cum")
-    if by:
-        from tessera.operators.groups import group_stats, join_back
-        sized = join_back(ranked, group_stats(ranked, by, F.sum("__ep_c").alias("__ep_n")), by)
-    else:
-        sizes = counts.agg(F.sum("__ep_c").alias("__ep_n"))
-        sized = ranked.crossJoin(F.broadcast(sizes))  # one row
+    sizes = ranked.groupBy(*by).agg(F.max("__ep_cum").alias("__ep_n"))
+    sized = join_null_safe(ranked, sizes, by) if by else ranked.crossJoin(F.broadcast(sizes))  # one row
     prev = F.col("__ep_cum") - F.col("__ep_c")
     aggs = []
     for i, p in enumerate(probs):

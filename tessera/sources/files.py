@@ -12,16 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv_typed(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     return (spark.read.schema(schema)
             .option("header", True)
             .option("nullValue", "")
+            .option("quote", '"').option("escape", '"')
+            .option("multiLine", multi_line)
             .option("mode", "FAILFAST")
             .csv(path))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("nullValue", "").csv(path)
+    df.write.mode(mode).option("header", True).option("nullValue", "").option("quote", '"').option("escape", '"').csv(path)
 
 
 def export_predictions(predictions: DataFrame, key: str, prediction: str, path: str,

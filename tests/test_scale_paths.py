@@ -57,9 +57,19 @@ def test_two_phase_top_n(spark):
     assert sorted(got.id) == sorted(exp.id)
 
 
-def test_ranked_percentiles_when_too_many_big_groups(spark, skew_low, monkeypatch):
-    monkeypatch.setattr(O, "HOT_LIST_MAX", 1)   # more big groups than the list may hold
-    pdf, df = _frame(spark)
-    got = O.exact_percentiles(df, "v", [0.25, 0.75], ["k"], ["a", "b"]).toPandas().sort_values("k")
-    exp = pdf.groupby("k").v.quantile([0.25, 0.75]).unstack()
-    assert np.allclose(got[["a", "b"]].values, exp.values)
+def test_null_keys_are_a_group_of_their_own(spark):
+    rows = [(None if i % 2 else i % 3, float(i % 37), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, v double, id int").repartition(5)
+    rn = {r.id: r.row_no for r in O.row_number(df, ["id"], ["k"]).collect()}
+    for key in (None, 0, 1, 2):
+        assert [rn[i] for k, _, i in rows if k == key] == list(range(1, sum(k == key for k, _, _ in rows) + 1))
+    med = {r.k: r.m for r in O.exact_percentiles(df, "v", [0.5], ["k"], ["m"]).collect()}
+    assert med == {key: float(np.median([v for k, v, _ in rows if k == key])) for key in (None, 0, 1, 2)}
+    folds = O.ntile(df, 4, ["id"], ["k"]).groupBy("k", "fold").count().collect()
+    assert all(abs(r["count"] - sum(k == r.k for k, _, _ in rows) / 4) < 1 for r in folds)
+
+
+def test_one_range_or_many_give_the_same_ranks(spark):
+    _, df = _frame(spark)
+    a, b = (O.cumulative_rank(df, ["v", "id"], ["k"], None, "c", n).select("id", "c").collect() for n in (1, 9))
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
