@@ -29,5 +29,5 @@ def sql(name: str, body: str, manifest: bool = True) -> None:
 
 
 def load_all() -> dict[str, str]:
-    from tessera.plans import (o_core, o_groups, o_features)  # noqa: F401
+    from tessera.plans import (o_core, o_groups, o_features, o_ml)  # noqa: F401
     return dict(ORACLE)
