@@ -12,6 +12,12 @@ compared.  Their index is hierarchical:
 * a query goes down with the differences it has gathered so far and leaves a
   whole group as soon as they exceed the limit.
 
+Two codes that differ in few bits differ in at most half as many in one of
+their halves.  So the index is built twice, over the codes and over the codes
+with their halves exchanged, and each leaves a group also when the first half
+has gathered more than half of the limit.  A code then meets the groups around
+it in proportion to the depth of the index, not to its square.
+
 The top of the index, at most ``MOST_BLOCKS`` nodes, is broadcast and sends each
 fingerprint to the blocks that may hold a neighbour.  Blocks are searched where
 they are: a task builds the lower levels over the block's members.  Instead of
@@ -128,45 +134,43 @@ class GrayIndex:
 
     def search(self, queries: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (query number, leaf number) that differ in at most ``limit``
-        of the leaf's bits, in runs of bounded size, queries ascending."""
+        of the leaf's bits and in at most half of it in the first 32, in runs
+        of bounded size, queries ascending."""
         width = max(1, FRONTIER // (FAN_OUT * 64))
+        tops = np.arange(self.levels[0][0].size)
         for at in range(0, queries.size, width):
             codes = queries[at:at + width]
-            yield from self._down(codes, np.repeat(np.arange(codes.size), self.levels[0][0].size),
-                                  np.tile(np.arange(self.levels[0][0].size), codes.size),
-                                  np.zeros(codes.size * self.levels[0][0].size, np.uint8), 0, limit, at)
-
-    def _down(self, codes, q, node, gone, level, limit, base):
-        while True:
+            q = np.repeat(np.arange(codes.size), tops.size)
+            none = np.zeros(q.size, np.uint8)
+            for a, b in self._down(codes, q, np.tile(tops, codes.size), none, none, 0, limit):
+                yield at + a, b
+
+    def _down(self, codes, q, node, gone, first, level, limit):
+        """``gone``: differences so far, ``first``: those in the first half."""
+        while q.size:
             pattern, mask = self.levels[level]
-            gone = gone + np.bitwise_count((codes[q] ^ pattern[node]) & mask[node])
-            near = np.flatnonzero(gone <= limit)
-            q, node, gone = q[near], node[near], gone[near]
+            differ = (codes[q] ^ pattern[node]) & mask[node]
+            gone = gone + np.bitwise_count(differ)
+            first = first + np.bitwise_count(differ >> np.uint64(32))
+            near = np.flatnonzero((gone <= limit) & (first <= limit // 2))
+            q, node, gone, first = q[near], node[near], gone[near], first[near]
             level += 1
             if level == len(self.levels):
                 if q.size:
-                    yield base + q, node
+                    yield q, node
                 return
             if q.size * FAN_OUT > FRONTIER and q[0] != q[-1]:  # too wide: halves of the queries
                 half = int(np.searchsorted(q, (int(q[0]) + int(q[-1]) + 1) // 2))
                 for part in (slice(0, half), slice(half, None)):
-                    yield from self._open(codes, q[part], node[part], gone[part], level, limit, base)
+                    yield from self._down(codes, *self._children(q[part], node[part], gone[part], first[part], level),
+                                          level, limit)
                 return
-            q, node, gone = self._children(q, node, gone, level)
+            q, node, gone, first = self._children(q, node, gone, first, level)
 
-    def _children(self, q, node, gone, level):
+    def _children(self, q, node, gone, first, level):
         child = (node[:, None] * FAN_OUT + np.arange(FAN_OUT)).ravel()
-        q, gone = np.repeat(q, FAN_OUT), np.repeat(gone, FAN_OUT)
         real = child < self.levels[level][0].size
-        return q[real], child[real], gone[real]
-
-    def _open(self, codes, q, node, gone, level, limit, base):
-        if q.size * FAN_OUT > FRONTIER and q[0] != q[-1]:
-            half = int(np.searchsorted(q, (int(q[0]) + int(q[-1]) + 1) // 2))
-            for part in (slice(0, half), slice(half, None)):
-                yield from self._open(codes, q[part], node[part], gone[part], level, limit, base)
-        elif q.size:
-            yield from self._down(codes, *self._children(q, node, gone, level), level, limit, base)
+        return tuple(np.repeat(x, FAN_OUT)[real] if x is not node else child[real] for x in (q, node, gone, first))
 
 
 class _Parts:
@@ -215,9 +219,21 @@ def block_links(members: np.ndarray, queries: np.ndarray, limit: int) -> tuple[n
     return np.concatenate(left), np.concatenate(right)
 
 
+def exchanged(code: Column) -> Column:
+    """A code with its halves exchanged."""
+    return F.shiftleft(code, 32).bitwiseOR(F.shiftrightunsigned(code, 32))
+
+
 def near_links(codes: DataFrame, limit: int, block: int = BLOCK_MEMBERS) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column ``fp``) that connect
     exactly those that chains of neighbours at ``limit`` bits connect."""
+    turned = _links(codes.select(exchanged(F.col("fp")).alias("fp")), limit, block)
+    return _links(codes, limit, block).unionByName(turned.select(exchanged(F.col("a")).alias("a"), exchanged(F.col("b")).alias("b")))
+
+
+def _links(codes: DataFrame, limit: int, block: int) -> DataFrame:
+    """The links of one index: of neighbours that differ in at most half of
+    ``limit`` in their first halves."""
     spark = codes.sparkSession
     rank = F.pandas_udf(_ranked, "bigint")
     ranked = cut_lineage(codes.select("fp", rank("fp").alias("rank")))
