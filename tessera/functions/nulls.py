@@ -11,6 +11,3 @@ def rate(numerator: Column, denominator: Column) -> Column:
     null (ANSI ``/`` would raise on 0)."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
-
-def rounded(c: Column | str, digits: int = 6) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, digits)

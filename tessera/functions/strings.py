@@ -52,7 +52,6 @@ def title_by_regex(c: Column | str) -> Column:
 
 # Fixed value: ASCII punctuation, the set removed from family names.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_PUNCT_CLASS = r"[!-/:-@\[-`{-~]"
 
 
 def surname_clean(c: Column | str) -> Column:
@@ -60,4 +59,4 @@ def surname_clean(c: Column | str) -> Column:
     remove every ASCII punctuation character, trim."""
     before_paren = F.split_part(_c(c), F.lit("("), F.lit(1))
     family = F.split_part(before_paren, F.lit(","), F.lit(1))
-    return F.trim(F.regexp_replace(family, _PUNCT_CLASS, ""))
+    return F.trim(F.translate(family, PUNCTUATION, ""))

@@ -13,6 +13,7 @@ import math
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,12 @@ class AdaBoostModel(Model):
         self.stumps, self.alphas, self.classes = stumps, alphas, classes
         self.features_col, self.prediction_col = features_col, prediction_col
 
+    @property
+    def featureImportances(self):
+        """The stumps' importances, weighted by their votes."""
+        total = sum(a * s.featureImportances.toArray() for a, s in zip(self.alphas, self.stumps))
+        return Vectors.dense(total / sum(self.alphas))
+
     def _transform(self, df: DataFrame) -> DataFrame:
         out = df
         score = {c: F.lit(0.0) for c in self.classes}

@@ -1,7 +1,7 @@
 """Linear and quadratic discriminant analysis.
 
 Fitting needs per-class counts, means and (co)variances: one ``groupBy``
-of the class label over the first and second moments of the feature columns
+of the class label over the means and covariances of the feature columns
 - a d x d table per class, independent of the row count.  The small solve
 runs on the driver and the decision function is emitted as a plain column
 expression (linear for LDA, quadratic for QDA), so scoring stays in codegen.
@@ -18,21 +18,23 @@ from pyspark.sql import functions as F
 
 
 def _moments(df: DataFrame, cols: Sequence[str], label: str):
+    """Per class: rows, means and scatter matrix (centred products, merged
+    stably by the covariance aggregate)."""
     aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(c).alias(f"s_{i}") for i, c in enumerate(cols)]
-    aggs += [F.sum(F.col(a) * F.col(b)).alias(f"p_{i}_{j}")
+    aggs += [F.avg(c).alias(f"s_{i}") for i, c in enumerate(cols)]
+    aggs += [F.covar_pop(a, b).alias(f"p_{i}_{j}")
              for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
     rows = df.filter(F.col(label).isNotNull()).groupBy(label).agg(*aggs).collect()  # one row per class
     d = len(cols)
     out = {}
     for r in rows:
         n = r["n"]
-        s = np.array([r[f"s_{i}"] for i in range(d)], dtype=float)
-        p = np.zeros((d, d))
+        mean = np.array([r[f"s_{i}"] for i in range(d)], dtype=float)
+        scatter = np.zeros((d, d))
         for i in range(d):
             for j in range(i, d):
-                p[i, j] = p[j, i] = r[f"p_{i}_{j}"]
-        out[r[label]] = (n, s, p)
+                scatter[i, j] = scatter[j, i] = n * r[f"p_{i}_{j}"]
+        out[r[label]] = (n, mean, scatter)
     return out
 
 
@@ -81,8 +83,8 @@ class DiscriminantAnalysis(Estimator):
         mom = _moments(df, self.cols, self.label_col)
         total = sum(n for n, _, _ in mom.values())
         d = len(self.cols)
-        means = {c: s / n for c, (n, s, _) in mom.items()}
-        scatter = {c: p - n * np.outer(means[c], means[c]) for c, (n, _, p) in mom.items()}
+        means = {c: mean for c, (_, mean, _) in mom.items()}
+        scatter = {c: centred for c, (_, _, centred) in mom.items()}
         terms = {}
         if self.kind == "linear":
             pooled = sum(scatter.values()) / max(total - len(mom), 1) + self.reg * np.eye(d)

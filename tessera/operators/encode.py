@@ -15,7 +15,8 @@ from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import dense_codes
+from tessera.operators.groups import group_stats, join_back
+from tessera.operators.ordering import row_number
 from tessera.session import keep
 
 UNKNOWN_ERROR = "error"
@@ -24,13 +25,12 @@ UNKNOWN_IGNORE = "ignore"
 
 def label_encode(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """0..n-1 code of each value in sorted order (nulls stay null).  The code
-    table is computed distributed and joined back; broadcast only when its
-    measured size allows."""
+    table is computed distributed and joined back, hot values salted."""
     return label_encode_many(df, [col], {col: name or f"{col}_code"})
 
 
 def label_encode_many(df: DataFrame, cols: Sequence[str], names: Mapping[str, str] | None = None,
-                      scaled: bool = False, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                      scaled: bool = False) -> DataFrame:
     """Label-encode several columns; all code tables are computed from the
     same (persisted) input, then joined.  ``scaled=True`` also min-max scales
     each code to [0, 1] (code / (n - 1), 0 when n = 1), as LabelEncoder
@@ -39,12 +39,13 @@ def label_encode_many(df: DataFrame, cols: Sequence[str], names: Mapping[str, st
     out = base
     for c in cols:
         name = (names or {}).get(c, f"{c}_code")
-        codes = keep(dense_codes(base, c, name))
-        n = codes.count()   # one measurement: broadcast check and scale
+        counted = group_stats(base.filter(F.col(c).isNotNull()), c)  # distinct values and their rows
+        codes = row_number(counted, [c], name="__rn").withColumn(name, (F.col("__rn") - 1).cast("int")).drop("__rn")
         if scaled:
-            codes = codes.select(c, F.coalesce(F.try_divide(F.col(name).cast("double"), F.lit(float(n - 1))),
-                                               F.lit(0.0)).alias(name))
-        out = out.join(F.broadcast(codes) if n <= max_broadcast_rows else codes, c, "left")
+            last = counted.agg(F.count(F.lit(1)) - 1).first()[0]
+            codes = codes.withColumn(name, F.coalesce(F.try_divide(F.col(name).cast("double"), F.lit(float(last))),
+                                                      F.lit(0.0)))
+        out = join_back(out, codes, c)
     return out
 
 
@@ -117,9 +118,9 @@ class CategoricalEncoder(Estimator):
         else:
             cats = {c: sorted(self.categories[c]) for c in self.input_cols}
             if self.handle_unknown == UNKNOWN_ERROR:
-                bad = unseen_values(df, cats).limit(20).collect()
+                bad = unseen_values(df, cats).orderBy("column", "value").collect()  # every one is listed
                 if bad:
-                    raise ValueError("Found unknown categories during fit: "
+                    raise ValueError("values outside the given categories: "
                                      + ", ".join(f"{r['column']}={r['value']}" for r in bad))
         return CategoricalEncoderModel(cats, self.encoding, self.handle_unknown, self.output_col)
 
@@ -144,7 +145,7 @@ class CategoricalEncoderModel(Model):
         unknown = F.col(c).isNotNull() & looked.isNull()
         if self.handle_unknown == UNKNOWN_ERROR:
             return F.when(unknown, F.raise_error(F.concat(
-                F.lit(f"Found unknown categories in column {c}: "), F.col(c).cast("string")))
+                F.lit(f"value of {c} outside the fitted categories: "), F.col(c).cast("string")))
             ).otherwise(looked).cast("int")
         return looked
 

@@ -8,16 +8,13 @@ computed with ``groupBy`` (map-side partial aggregation, so a hot key costs
 one partial row per map task) and joined back on the key.  The join splits hot
 keys:
 
-* the ``topKeys`` largest groups with at least ``minRows`` rows are found
-  from the aggregate itself (``orderBy(desc).limit``: a bounded, distributed
-  top-k, at most ``topKeys`` rows, so broadcasting it is size-checked by
-  construction);
+* every group with at least ``minRows`` rows is hot; the list of them, at most
+  all rows / ``minRows``, is counted and broadcast up to ``HOT_BROADCAST`` keys,
+  else joined;
 * member rows of a hot key get a salt ``hash(row key) % salts`` (or of the
   per-row id); the aggregate row of a hot key is replicated ``salts`` times;
 * the join is on (key, salt), so a hot key is spread over ``salts`` tasks
-  instead of one.  Every other key has salt 0 and joins as usual (a big key
-  beyond the top-k is still split by AQE's skew-join handling of the
-  sort-merge join).
+  instead of one.  Every other key has salt 0 and joins as usual.
 
 Salt values never change the result: the aggregate row exists under every
 salt, so whichever salt a row gets - also after a partition is recomputed
@@ -31,11 +28,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import SKEW_MIN_ROWS, SKEW_SALTS, SKEW_TOP_KEYS, conf_int, keep
+from tessera.session import SKEW_MIN_ROWS, SKEW_SALTS, conf_int, keep
 
 ROWS = _ROWS = "__grp_rows"
 _HOT = "__grp_hot"
 _SALT = "__grp_salt"
+#: Most hot keys that are broadcast.
+HOT_BROADCAST = 100_000
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -63,18 +62,15 @@ def join_back(df: DataFrame, stats: DataFrame, keys: str | Sequence[str],
     spark = df.sparkSession
     keys = _keys(keys)
     min_rows = conf_int(spark, SKEW_MIN_ROWS, 1_000_000)
-    top = conf_int(spark, SKEW_TOP_KEYS, 64)
     salts = conf_int(spark, SKEW_SALTS, 64)
     if _ROWS not in stats.columns:
         raise ValueError("stats must come from group_stats (needs the row count)")
-    # read twice (hot-key top-k and the join): aggregate once, keep it
+    # read again (hot keys and the join): aggregate once, keep it
     stats = keep(stats)
 
-    hot = F.broadcast(
-        stats.filter(F.col(_ROWS) >= min_rows)
-        .orderBy(F.col(_ROWS).desc(), *keys)
-        .limit(top)
-        .select(*keys, F.lit(True).alias(_HOT)))
+    hot = stats.filter(F.col(_ROWS) >= min_rows).select(*keys, F.lit(True).alias(_HOT))
+    if hot.count() <= HOT_BROADCAST:
+        hot = F.broadcast(hot)
 
     rows = (df.join(hot, keys, "left")
             .withColumn(_SALT, F.when(F.col(_HOT), F.pmod(row_hash(df, salt_by), F.lit(salts)))

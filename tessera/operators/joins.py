@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from tessera.session import keep
+
+from tessera.operators.groups import group_stats, join_back
 
 
 def patch_rows(df: DataFrame, patches: DataFrame, key: str, cols: Sequence[str],
@@ -22,27 +23,13 @@ def patch_rows(df: DataFrame, patches: DataFrame, key: str, cols: Sequence[str],
 
 
 def lookup_with_default(df: DataFrame, table: DataFrame, key: str, value: str,
-                        default: Column, out: str, flag: str,
-                        max_broadcast_rows: int | None = None) -> DataFrame:
-    """Look ``key`` up in ``table`` (key, value): hit -> value and flag 1,
-    miss -> ``default`` (a column, e.g. a one-row broadcast scalar) and 0.
-    With ``max_broadcast_rows`` the (persisted) table is measured and
-    broadcast when within the bound, else joined by shuffle."""
+                        default: Column, out: str, flag: str) -> DataFrame:
+    """Look ``key`` up in ``table`` (key, value; one row per key): hit -> value
+    and flag 1, miss -> ``default`` (a column, e.g. a one-row broadcast scalar)
+    and 0.  Keys with many rows are salted."""
     t = table.select(key, F.col(value).alias("__lk_v"), F.lit(1).alias("__lk_hit"))
-    if max_broadcast_rows is not None:
-        t = keep(t)
-        if t.count() <= max_broadcast_rows:
-            t = F.broadcast(t)
-    return (df.join(t, key, "left")
+    sizes = group_stats(df.select(key).filter(F.col(key).isNotNull()), key)
+    return (join_back(df, sizes.join(t, key), key)
             .withColumn(out, F.coalesce(F.col("__lk_v"), default))
             .withColumn(flag, F.coalesce(F.col("__lk_hit"), F.lit(0)))
             .drop("__lk_v", "__lk_hit"))
-
-
-def join_checked(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left",
-                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Join a derived lookup table: measured first (one count over the
-    already-aggregated table), broadcast only when within the bound, else a
-    shuffle join."""
-    small = table.count() <= max_broadcast_rows
-    return df.join(F.broadcast(table) if small else table, list(keys), how)

@@ -8,28 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.nulls import rate
-from tessera.session import keep
 
 
 def complete_grid(values: DataFrame, domains: Mapping[str, DataFrame | Sequence],
-                  fill: Mapping[str, object], max_cells: int = 10_000_000) -> DataFrame:
+                  fill: Mapping[str, object]) -> DataFrame:
     """Every combination of the key domains, with ``values`` where present and
     ``fill`` elsewhere (pandas' categorical group-by with empty bins).
 
-    Domains are low-cardinality key sets (class, sex, bin number); the grid is
-    the product of those small tables, never a product of data rows.  The
-    domains are measured first and the grid is refused above ``max_cells``."""
+    The grid is the product of the distinct key values, never of data rows; its
+    size is that of the result that is asked for."""
     spark = values.sparkSession
-    grid, cells = None, 1
+    grid = None
     for name, dom in domains.items():
         if not isinstance(dom, DataFrame):
             dtype = values.schema[name].dataType
             dom = spark.createDataFrame([(v,) for v in dom], f"{name} {dtype.simpleString()}")
-        dom = keep(dom.select(name).distinct())
-        cells *= dom.count()
-        if cells > max_cells:
-            raise ValueError(f"grid of {cells} cells exceeds max_cells={max_cells}")
-        grid = dom if grid is None else grid.crossJoin(F.broadcast(dom))
+        dom = dom.select(name).distinct()
+        grid = dom if grid is None else grid.crossJoin(dom)
     keys = list(domains)
     return grid.join(values, keys, "left").fillna(dict(fill))
 

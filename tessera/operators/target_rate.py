@@ -3,10 +3,8 @@
 Per key: the median label over the labelled rows, kept only when the key
 occurs in both the labelled and the unlabelled part and the key's median
 group size exceeds 1; every other row gets the labelled mean and a 0 flag.
-Medians are exact and distributed (``exact_percentiles``); the key tables
-are joined, never collected (AQE turns the lookup into a broadcast join at
-run time when the measured table is small; a pre-measured broadcast cost
-more than it saved in the benchmark, since measuring re-runs the medians).
+Medians are exact and distributed; the key tables are joined with hot keys
+salted, never collected.
 """
 
 from __future__ import annotations
@@ -18,21 +16,26 @@ from tessera.operators.joins import lookup_with_default
 from tessera.operators.ordering import exact_percentiles
 
 
-def key_rates(train: DataFrame, test: DataFrame, key: str, label: str, size: str) -> DataFrame:
-    both = train.select(key).intersect(test.select(key))
-    t = train.join(both, key, "left_semi")
-    # both medians (label and group size) in one grouped percentile pass
-    long = t.select(key, F.col(label).cast("double").alias("rate"), F.col(size).cast("double").alias("size")) \
-        .unpivot([key], ["rate", "size"], "__which", "__v")
-    med = exact_percentiles(long, "__v", [0.5], [key, "__which"], ["__med"])
-    wide = med.groupBy(key).pivot("__which", ["rate", "size"]).agg(F.first("__med"))
-    return wide.filter(F.col("size") > 1).select(key, F.col("rate").alias("__rate"))
+def key_rates(df: DataFrame, is_train: Column, key: str, label: str, size: str) -> DataFrame:
+    """(key, __rate) of the keys that qualify; ``label`` is 0 or 1.
+
+    One fold by key counts both parts and the labels, of which the median
+    follows (0, 0.5 or 1); only the size needs an order statistic."""
+    ones = F.count(F.when(is_train & (F.col(label) == 1), 1))
+    zeros = F.count(F.when(is_train & (F.col(label) == 0), 1))
+    keys = (df.filter(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.count(F.when(is_train, 1)).alias("n_train"), F.count(F.when(~is_train, 1)).alias("n_test"),
+                 ones.alias("n1"), zeros.alias("n0"))
+            .filter((F.col("n_train") > 0) & (F.col("n_test") > 0)))
+    median = F.when(F.col("n1") > F.col("n0"), 1.0).when(F.col("n1") < F.col("n0"), 0.0).when(F.col("n1") > 0, 0.5)
+    sizes = exact_percentiles(df.filter(is_train & F.col(key).isNotNull()), size, [0.5], [key], ["__size"])
+    return (keys.join(sizes, key).filter(F.col("__size") > 1)
+            .select(key, median.alias("__rate")))
 
 
 def target_rate_encode(df: DataFrame, is_train: Column, key: str, label: str, size: str,
                        out: str, flag: str) -> DataFrame:
-    train, test = df.filter(is_train), df.filter(~is_train)
-    table = key_rates(train, test, key, label, size)
-    mean = train.agg(F.avg(label).alias("__mean"))
+    table = key_rates(df, is_train, key, label, size)
+    mean = df.filter(is_train).agg(F.avg(label).alias("__mean"))
     return lookup_with_default(df.crossJoin(F.broadcast(mean)), table, key, "__rate",  # one-row mean
                                F.col("__mean"), out, flag).drop("__mean")

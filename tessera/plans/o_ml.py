@@ -61,4 +61,4 @@ c AS (SELECT unnest([struct_pack(f := 'cls', r := abs(corr(cls, high))), struct_
                      struct_pack(f := 'parch', r := abs(corr(parch, high))), struct_pack(f := 'age', r := abs(corr(age, high))),
                      struct_pack(f := 'fare', r := abs(corr(fare, high)))]) AS x FROM d WHERE split = 'train')
 SELECT model, max_by(x.f, x.r) AS top_feature, 1.0::DOUBLE AS total
-FROM c, (VALUES ('random_forest'), ('extra_trees'), ('gbt')) m(model) GROUP BY model""")
+FROM c, (VALUES ('random_forest'), ('extra_trees'), ('adaboost'), ('gbt')) m(model) GROUP BY model""")

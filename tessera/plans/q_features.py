@@ -67,7 +67,7 @@ def q_encode_onehot_sparse(spark, sf):
 @query("encode_onehot_dense")
 def q_encode_onehot_dense(spark, sf):
     model = E.CategoricalEncoder(["port"], encoding="onehot-dense", handle_unknown="ignore").fit(_m(spark, sf))
-    return model.transform(_m(spark, sf)).select("row_id", *[f"port_{i}" for i in range(1, 6)])
+    return model.transform(_m(spark, sf)).select("row_id", *[f"port_{i + 1}" for i in range(len(model.categories_["port"]))])
 
 
 GIVEN_PORTS = ["FURNITURE", "AUTOMOBILE", "BUILDING"]
@@ -116,10 +116,12 @@ def q_target_rate_combine(spark, sf):
 @query("pipeline_num_cat")
 def q_pipeline_num_cat(spark, sf):
     # every pipeline stage is fitted on the output of the previous ones: keep the input
-    m = keep(_m(spark, sf))
+    m = keep(_m(spark, sf).select("row_id", "split", "age", "fare", "port", "sex"))
     model = num_cat_pipeline(["age", "fare"], ["port", "sex"]).fit(m.filter(F.col("split") == "train"))
     arr = vector_to_array(F.col("features"))
-    return model.transform(m).select("row_id", *[R(arr[i]).alias(f"f{i}") for i in range(9)])
+    out = model.transform(m)
+    first = out.select(F.size(arr)).first()  # as wide as the fitted model
+    return out.select("row_id", *[R(arr[i]).alias(f"f{i}") for i in range(first[0] if first else 0)])
 
 
 # ---- 2.14 household roles -------------------------------------------------------------------

@@ -15,6 +15,7 @@ from tessera.operators.groups import broadcast_to_rows
 from tessera.operators.joins import lookup_with_default
 from tessera.operators.ordering import exact_median, exact_percentiles
 from tessera.plans.catalog import query
+from tessera.session import keep
 from tessera.sources.manifest import manifest
 
 
@@ -106,9 +107,9 @@ def _age_decade(df):
 
 @query("agg_by_bin")
 def q_agg_by_bin(spark, sf):
-    m = _age_decade(_m(spark, sf))
-    sums = m.filter(F.col("age_bin").isNotNull()).groupBy("cls", "sex", "age_bin").agg(
-        F.sum("label").cast("bigint").alias("survivors"))
+    m = keep(_age_decade(_m(spark, sf)).groupBy("cls", "sex", "age_bin").agg(
+        F.sum("label").cast("bigint").alias("survivors")))
+    sums = m.filter(F.col("age_bin").isNotNull())
     return RS.complete_grid(sums, {"cls": m.select("cls").distinct(), "sex": m.select("sex").distinct(),
                                    "age_bin": list(range(len(AGE_DECADES) - 1))},
                             {"survivors": 0})
@@ -311,18 +312,18 @@ def q_stack_long(spark, sf):
 
 @query("grid_complete")
 def q_grid_complete(spark, sf):
-    m = _age_decade(_m(spark, sf))
-    counts = m.filter(F.col("age_bin").isNotNull()).groupBy("cls", "sex", "age_bin").agg(
-        F.count(F.lit(1)).alias("n"))
+    # one fold of the rows; key values and counts both follow from it
+    m = keep(_age_decade(_m(spark, sf)).groupBy("cls", "sex", "age_bin").agg(F.count(F.lit(1)).alias("n")))
+    counts = m.filter(F.col("age_bin").isNotNull())
     return RS.complete_grid(counts, {"cls": m.select("cls").distinct(), "sex": m.select("sex").distinct(),
                                      "age_bin": list(range(len(AGE_DECADES) - 1))}, {"n": 0})
 
 
 @query("stacked_total")
 def q_stacked_total(spark, sf):
-    m = _age_decade(_m(spark, sf))
-    sums = m.filter(F.col("age_bin").isNotNull()).groupBy("cls", "sex", "age_bin").agg(
-        F.sum("label").cast("bigint").alias("survivors"))
+    m = keep(_age_decade(_m(spark, sf)).groupBy("cls", "sex", "age_bin").agg(
+        F.sum("label").cast("bigint").alias("survivors")))
+    sums = m.filter(F.col("age_bin").isNotNull())
     grid = RS.complete_grid(sums, {"cls": m.select("cls").distinct(), "sex": m.select("sex").distinct(),
                                    "age_bin": list(range(len(AGE_DECADES) - 1))}, {"survivors": 0})
     return RS.stacked_total(grid, ["cls", "age_bin"], "sex", "survivors", ["female", "male"])

@@ -192,9 +192,9 @@ def q_stack_meta(spark, sf):
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
-    _, (_, imps) = _stack(spark, sf)
-    tree_models = [m for m in STACK_BASE if m in ("random_forest", "extra_trees", "gbt")]
-    table = ST.importance_table(imps, tree_models)
+    tree_models = [m for m in STACK_BASE if m != "linear_svm"]
+    data = _frame(spark, sf).withColumn("fold", EV.shuffled_folds("row_id", 5, 0))
+    table = ST.importance_table(ST.fold_importances(spark, data, tree_models, k=5), tree_models)
     # a column per model -> per model the most important feature and the total
     long = table.unpivot(["feature"], tree_models, "model", "importance")
     return long.groupBy("model").agg(F.max_by("feature", "importance").alias("top_feature"),

@@ -18,7 +18,6 @@ _KEPT_LOCK = threading.Lock()
 
 # Conf keys read by the skew-aware join helpers (see operators/groups.py).
 SKEW_MIN_ROWS = "spark.tessera.skew.minRows"
-SKEW_TOP_KEYS = "spark.tessera.skew.topKeys"
 SKEW_SALTS = "spark.tessera.skew.salts"
 
 

@@ -27,8 +27,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Expose every table as a temporary view for ``spark.sql``."""
-    for name in TABLES:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -131,7 +131,7 @@ def test_mode_ties_take_smallest_value(spark):
     assert got == [("a", "x", 2), ("b", "z", 1)]
 
 
-def test_grid_refuses_oversized_product(spark):
-    vals = spark.createDataFrame([(1, 1, 1)], "a int, b int, n long")
-    with pytest.raises(ValueError, match="max_cells"):
-        RS.complete_grid(vals, {"a": list(range(50)), "b": list(range(50))}, {"n": 0}, max_cells=100)
+def test_grid_has_every_cell(spark):
+    vals = spark.createDataFrame([(1, 1, 7)], "a int, b int, n long")
+    got = RS.complete_grid(vals, {"a": list(range(50)), "b": list(range(50))}, {"n": 0}).toPandas()
+    assert len(got) == 2500 and got.n.sum() == 7
