@@ -226,50 +226,53 @@ def exchanged(code: Column) -> Column:
 
 def near_links(codes: DataFrame, limit: int, block: int = BLOCK_MEMBERS) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column ``fp``) that connect
-    exactly those that chains of neighbours at ``limit`` bits connect."""
-    turned = _links(codes.select(exchanged(F.col("fp")).alias("fp")), limit, block)
-    return _links(codes, limit, block).unionByName(turned.select(exchanged(F.col("a")).alias("a"), exchanged(F.col("b")).alias("b")))
+    exactly those that chains of neighbours at ``limit`` bits connect.
 
-
-def _links(codes: DataFrame, limit: int, block: int) -> DataFrame:
-    """The links of one index: of neighbours that differ in at most half of
-    ``limit`` in their first halves."""
+    Both indexes go through the same steps: ``side`` 1 has the codes with their
+    halves exchanged, and its blocks are numbered on from ``MOST_BLOCKS``."""
     spark = codes.sparkSession
     rank = F.pandas_udf(_ranked, "bigint")
-    ranked = cut_lineage(codes.select("fp", rank("fp").alias("rank")))
-    n = ranked.count()
-    empty = spark.createDataFrame([], "a bigint, b bigint")
+    both = codes.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("fp").alias("fp")),
+        F.struct(F.lit(1).alias("side"), exchanged(F.col("fp")).alias("fp")))).alias("x")).select("x.side", "x.fp")
+    ranked = cut_lineage(both.select("side", "fp", rank("fp").alias("rank")))
+    n = ranked.count() // 2
     if n < 2:
-        return empty
+        return spark.createDataFrame([], "a bigint, b bigint")
     blocks = int(min(MOST_BLOCKS, max(1, -(-n // block))))
     # any cuts give right results; these deal the ranks about evenly
-    cuts = sorted(set(ranked.select(F.percentile_approx(
-        "rank", [k / blocks for k in range(1, blocks)], 4 * blocks)).first()[0])) if blocks > 1 else []
-    shared = spark.sparkContext.broadcast(np.array(cuts, np.int64))
+    shares = [k / blocks for k in range(1, blocks)] or [0.0]
+    found = {r["side"]: r["cuts"] for r in ranked.groupBy("side").agg(
+        F.percentile_approx("rank", shares, 4 * blocks).alias("cuts")).collect()}
+    cuts = spark.sparkContext.broadcast([np.array(sorted(set(found[s])), np.int64) for s in (0, 1)])
 
     @F.pandas_udf("int")
-    def home(ranks: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(shared.value, ranks.to_numpy(np.int64), side="right").astype(np.int32))
-
-    members = ranked.select("fp", home("rank").alias("block"))
-    top = members.groupBy("block").agg(F.bit_and("fp").alias("low"), F.bit_or("fp").alias("high"),
-                                       F.count(F.lit(1)).alias("n")).orderBy("block").collect()
-    low = np.array([r["low"] for r in top], np.int64).view(np.uint64)
-    high = np.array([r["high"] for r in top], np.int64).view(np.uint64)
-    mask = ~(low ^ high)
-    number = np.array([r["block"] for r in top], np.int32)
-    index = spark.sparkContext.broadcast((GrayIndex(low & mask, mask), number))
+    def home(side: pd.Series, ranks: pd.Series) -> pd.Series:
+        side, ranks = side.to_numpy(), ranks.to_numpy(np.int64)
+        return pd.Series(np.where(side == 0, np.searchsorted(cuts.value[0], ranks, side="right"),
+                                  np.searchsorted(cuts.value[1], ranks, side="right") + MOST_BLOCKS).astype(np.int32))
+
+    members = ranked.select("fp", home("side", "rank").alias("block"))
+    top = members.groupBy("block").agg(F.bit_and("fp").alias("low"), F.bit_or("fp").alias("high")).orderBy("block").collect()
+    indexes = []
+    for side in (0, 1):
+        rows = [r for r in top if r["block"] // MOST_BLOCKS == side]
+        low, high = (np.array([r[c] for r in rows], np.int64).view(np.uint64) for c in ("low", "high"))
+        mask = ~(low ^ high)
+        indexes.append((GrayIndex(low & mask, mask), np.array([r["block"] for r in rows], np.int32)))
+    index = spark.sparkContext.broadcast(indexes)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes, names = index.value
         for batch in batches:
-            fp = batch.column(0).to_numpy()
-            at = np.searchsorted(names, batch.column(1).to_numpy())
-            for q, node in nodes.search(fp.view(np.uint64), limit):
-                on = node >= at[q]  # a pair of blocks is searched from the lower one
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(fp[q[on]]), pa.array(names[node[on]]), pa.array(node[on] == at[q[on]])],
-                    names=["fp", "block", "own"])
+            for side, (nodes, names) in enumerate(index.value):
+                home_block = batch.column(1).to_numpy()
+                here = home_block // MOST_BLOCKS == side
+                fp, at = batch.column(0).to_numpy()[here], np.searchsorted(names, home_block[here])
+                for q, node in nodes.search(fp.view(np.uint64), limit):
+                    on = node >= at[q]  # a pair of blocks is searched from the lower one
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(fp[q[on]]), pa.array(names[node[on]]), pa.array(node[on] == at[q[on]])],
+                        names=["fp", "block", "own"])
 
     sent = members.mapInArrow(send, "fp bigint, block int, own boolean")
     # queries of a block are dealt over slices, each with all members of the block
@@ -288,6 +291,8 @@ def _links(codes: DataFrame, limit: int, block: int) -> DataFrame:
         fp = group.column("fp").to_numpy().view(np.uint64)
         own = group.column("own").to_numpy(zero_copy_only=False)
         a, b = block_links(fp[own], fp[~own], limit)
+        if group.column("block")[0].as_py() >= MOST_BLOCKS:  # back to the codes as they are
+            a, b = ((x << np.uint64(32)) | (x >> np.uint64(32)) for x in (a, b))
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
     return dealt.groupBy("block", "slice").applyInArrow(link, "a bigint, b bigint")
