@@ -1,17 +1,21 @@
-"""The model-ready feature frame built from the manifest: imputed, encoded
-numeric columns plus one assembled vector.  Fill values are fitted on the
-labelled part and applied to both parts (no leakage from unlabelled rows)."""
+"""The model-ready features of the manifest: imputed, encoded numeric columns
+plus one assembled vector.  ``FeatureModel`` is fitted once, on labelled rows,
+and transforms any rows after that, also unlabelled ones alone (a stream's
+micro-batch, say)."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import conditional as C
 from tessera.functions import strings as S
-from tessera.operators import impute as I
+from tessera.operators.aggregate import mode_table
 from tessera.operators.encode import fit_categories
+from tessera.operators.ordering import exact_percentiles
 from tessera.session import keep
 
 FEATURES = ["cls", "is_male", "age", "sibs", "parch", "fare", "port_code", "title_code",
@@ -22,30 +26,53 @@ TITLE_CODES = {"Mr": 1, "Miss": 2, "Mrs": 3, "Master": 4, "Rare": 5}
 RARE_TITLES = ["Lady", "Countess", "Capt", "Col", "Don", "Dr", "Major", "Rev", "Sir", "Jonkheer", "Dona"]
 
 
+@dataclass
+class FeatureModel:
+    """Fill values and codes: a median age per (sex, class), a median fare, the
+    most frequent port and the sorted ports.  All are as many as the
+    categories, not the rows, so they are kept on the driver."""
+    ages: dict[tuple[str, int], float]
+    fare: float | None
+    port: str | None
+    ports: list[str]
+
+    @classmethod
+    def fit(cls, train: DataFrame) -> FeatureModel:
+        ages = exact_percentiles(train, "age", [0.5], ["sex", "cls"], ["m"]).collect()
+        fare = exact_percentiles(train, "fare", [0.5], [], ["m"]).first()
+        port = mode_table(train, [], "port").first()
+        return cls({(r["sex"], r["cls"]): r["m"] for r in ages}, fare["m"] if fare else None,
+                   port["mode"] if port else None, fit_categories(train, ["port"])["port"])
+
+    def transform(self, m: DataFrame, features_col: str = "features") -> DataFrame:
+        """row_id, split, label (double, null when unlabelled), the FEATURES
+        columns (double) and ``features_col``."""
+        age = F.lit(None).cast("double")
+        for (sex, c), value in sorted(self.ages.items(), key=str):
+            age = F.when((F.col("sex") == sex) & (F.col("cls") == c), F.lit(value)).otherwise(age)
+        port = F.coalesce(F.col("port"), F.lit(self.port))
+        coded = m.withColumn("port", port)
+        title = C.collapse(C.collapse(S.title_by_regex("name"), {"Rare": RARE_TITLES}),
+                           {"Miss": ["Mlle", "Ms"], "Mrs": ["Mme"]})
+        fam = F.col("sibs") + F.col("parch") + 1
+        out = coded.select(
+            "row_id", "split", F.col("label").cast("double").alias("label"),
+            F.col("cls").cast("double").alias("cls"),
+            (F.col("sex") == "male").cast("double").alias("is_male"),
+            F.coalesce(F.col("age").cast("double"), age).alias("age"),
+            F.col("sibs").cast("double").alias("sibs"),
+            F.col("parch").cast("double").alias("parch"),
+            (F.coalesce("fare", F.lit(self.fare)) / 1000.0).alias("fare"),
+            F.coalesce(C.value_map("port", {p: i for i, p in enumerate(self.ports)}), F.lit(len(self.ports)))
+            .cast("double").alias("port_code"),
+            C.value_map(title, TITLE_CODES, 0).cast("double").alias("title_code"),
+            fam.cast("double").alias("family_size"),
+            (fam == 1).cast("double").alias("is_alone"))
+        return VectorAssembler(inputCols=FEATURES, outputCol=features_col).transform(out)
+
+
 def ml_frame(m: DataFrame, features_col: str = "features") -> DataFrame:
-    """row_id, split, label (double, null when unlabelled), the FEATURES
-    columns (double) and ``features_col``."""
+    """The features of all rows, with a ``FeatureModel`` of the train part."""
     # several fitted statistics read the same input: keep it (spilling to disk)
-    m = keep(m)
-    train = m.filter(F.col("split") == "train")
-    df = I.fill_group_median(m, "age", ["sex", "cls"], train)
-    df = I.fill_global_median(df, "fare", train)
-    df = I.fill_mode(df, ["port"], train)
-    title = C.collapse(C.collapse(S.title_by_regex("name"), {"Rare": RARE_TITLES}),
-                       {"Miss": ["Mlle", "Ms"], "Mrs": ["Mme"]})
-    fam = F.col("sibs") + F.col("parch") + 1
-    ports = fit_categories(train, ["port"])["port"]   # sorted, size-checked
-    out = df.select(
-        "row_id", "split", F.col("label").cast("double").alias("label"),
-        F.col("cls").cast("double").alias("cls"),
-        (F.col("sex") == "male").cast("double").alias("is_male"),
-        F.col("age").cast("double").alias("age"),
-        F.col("sibs").cast("double").alias("sibs"),
-        F.col("parch").cast("double").alias("parch"),
-        (F.col("fare") / 1000.0).alias("fare"),
-        F.coalesce(C.value_map("port", {p: i for i, p in enumerate(ports)}), F.lit(len(ports)))
-        .cast("double").alias("port_code"),
-        C.value_map(title, TITLE_CODES, 0).cast("double").alias("title_code"),
-        fam.cast("double").alias("family_size"),
-        (fam == 1).cast("double").alias("is_alone"))
-    return VectorAssembler(inputCols=FEATURES, outputCol=features_col).transform(out)
+    m = keep(m.select("row_id", "split", "label", "cls", "sex", "age", "sibs", "parch", "fare", "port", "name"))
+    return FeatureModel.fit(m.filter(F.col("split") == "train")).transform(m, features_col)

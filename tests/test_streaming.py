@@ -4,34 +4,24 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tessera.models.classifiers import make
-from tessera.models.features import ml_frame
+from tessera.models.features import FeatureModel
 from tessera.sources.manifest import manifest
-from tessera.sources.tables import table_path
 from tessera.streaming.scoring import export_stream_predictions
 
 from conftest import SMALL
 
 
-def test_stream_prediction_export(spark):
-    data = ml_frame(manifest(spark, SMALL))
-    model = make("tree").fit(data.filter(F.col("label").isNotNull()))
-    orders = spark.read.parquet(table_path(SMALL, "orders"))
+def test_a_stream_of_unlabelled_rows_alone_is_scored_as_the_batch(spark):
+    m = manifest(spark, SMALL)
+    train, test = m.filter(F.col("split") == "train"), m.filter(F.col("split") == "test")
+    features = FeatureModel.fit(train)
+    model = make("tree").fit(features.transform(train))
     src = tempfile.mkdtemp(prefix="tessera-stream-src-")
-    orders.write.mode("overwrite").parquet(src)
-    stream = spark.readStream.schema(orders.schema).parquet(src)
-
-    def prepare(batch):
-        import tessera.sources.manifest as M
-        cust = spark.read.parquet(table_path(SMALL, "customer"))
-        j = batch.join(cust, batch.o_custkey == cust.c_custkey)
-        m = j.select(*M._fixture_projection(
-            F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"), F.col("o_totalprice"),
-            F.col("o_orderpriority"), F.col("c_mktsegment"), F.col("c_nationkey"), F.col("c_name")))
-        return ml_frame(m).filter(F.col("label").isNull())
-
+    test.repartition(3).write.mode("overwrite").parquet(src)
+    stream = spark.readStream.schema(test.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out = tempfile.mkdtemp(prefix="tessera-stream-out-")
-    q = export_stream_predictions(stream, prepare, model, "row_id", out, name=f"t{os.getpid()}")
+    q = export_stream_predictions(stream, features.transform, model, "row_id", out, name=f"t{os.getpid()}")
     q.awaitTermination(300)
     got = spark.read.option("header", True).csv(f"{out}/batch=*")
-    expected = manifest(spark, SMALL).filter(F.col("split") == "test").count()
-    assert got.count() == expected
+    batch = model.transform(features.transform(test)).select("row_id", F.col("prediction").cast("int"))
+    assert sorted((int(r.row_id), int(r.prediction)) for r in got.collect()) == sorted(map(tuple, batch.collect()))
