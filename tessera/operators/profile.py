@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.aggregate import mode_table
 from tessera.operators.ordering import exact_percentiles
 
 
@@ -53,22 +52,26 @@ def _long(df: DataFrame, cols: Sequence[str], cast: str) -> DataFrame:
 
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (exact, linear) and max, one
-    row per column."""
+    row per column.  Moments come from one aggregate over the columns as they
+    are; only the quartiles need the (column, value) form, folded to counts."""
     cols = list(cols or numeric_columns(df))
-    long = _long(df, cols, "double")
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    quart = exact_percentiles(long, "value", [0.25, 0.5, 0.75], ["column"], ["p25", "p50", "p75"])
+    x = {c: F.col(c).cast("double") for c in cols}
+    wide = df.agg(*[F.struct(F.lit(c).alias("column"), F.count(x[c]).alias("count"), F.avg(x[c]).alias("mean"),
+                             F.stddev_samp(x[c]).alias("std"), F.min(x[c]).alias("min"), F.max(x[c]).alias("max"))
+                    .alias(f"__s{i}") for i, c in enumerate(cols)])
+    moments = wide.select(F.inline(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])))
+    quart = exact_percentiles(_long(df, cols, "double"), "value", [0.25, 0.5, 0.75], ["column"], ["p25", "p50", "p75"])
     return moments.join(quart, "column", "left")
 
 
 def describe_categorical(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """count, unique, top (most frequent; ties: smallest) and its freq."""
+    """count, unique, top (most frequent; ties: smallest) and its freq, all
+    from one count per (column, value)."""
     cols = list(cols or string_columns(df))
-    long = _long(df, cols, "string")
-    sizes = long.groupBy("column").agg(F.count("value").alias("count"),
-                                       F.countDistinct("value").alias("unique"))
-    top = mode_table(long, ["column"], "value").withColumnRenamed("mode", "top")
-    return sizes.join(top, "column", "left")
+    counts = _long(df, cols, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("value").isNotNull()
+    top = F.min(F.when(known, F.struct((-F.col("n")).alias("n"), "value")))
+    return counts.groupBy("column").agg(
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("count"), F.count("value").alias("unique"),
+        top.alias("__top")).select("column", "count", "unique", F.col("__top.value").alias("top"),
+                                   (-F.col("__top.n")).alias("freq"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.strings import trailing_number
-from tessera.operators.groups import ROWS, join_back
+from tessera.operators.groups import ROWS, group_stats, join_back
 from tessera.session import keep
 
 CHILD_ROLES = ["Child", "olderChild"]
@@ -46,10 +46,10 @@ def _state(label: Column) -> Column:
 
 
 def household_roles(df: DataFrame, group: str = "ticket", key: str = "row_id",
-                    label: str = "label", cutoff: float = 15) -> DataFrame:
+                    label: str = "label", cutoff: float = 15, outcomes: bool = True) -> DataFrame:
     """``df`` plus role, child_sibs, child_family_size, child_w_adult,
-    num_child, num_young_child, has_mother, has_father, has_both,
-    is_mother_survived, is_father_survived, is_child_survived."""
+    num_child, num_young_child, has_mother, has_father, has_both and, with
+    ``outcomes``, is_mother_survived, is_father_survived, is_child_survived."""
     fam = F.col("sibs") + F.col("parch") + 1
     rows = (df.withColumn("__is_child", F.coalesce(F.col("age") <= cutoff, F.lit(False)))
             .withColumn("__fam", fam))
@@ -82,18 +82,7 @@ def household_roles(df: DataFrame, group: str = "ticket", key: str = "row_id",
         F.bool_or(F.col("__role") == "Father").alias("has_father"),
         F.sum("__n").alias(ROWS))
 
-    # outcome of the first member (smallest row key) in each role, per group number
-    num = trailing_number(F.col(group))
-    firsts = (c3.filter(F.col("__role").isin("Mother", "Father", "Child"))
-              .withColumn("__num", num)
-              .groupBy("__num").pivot("__role", ["Mother", "Father", "Child"])
-              .agg(F.min_by(_state(F.col("__first_label")), F.col("__first"))))
-    outcome = {"Mother": "is_mother_survived", "Father": "is_father_survived", "Child": "is_child_survived"}
-    stats = (per_group.withColumn("__num", num)
-             .join(firsts, "__num", "left")
-             .select(group, "child_sibs", "child_family_size", "num_child", "num_young_child",
-                     "has_mother", "has_father", ROWS,
-                     *[F.coalesce(F.col(r), F.lit("Not Applicable")).alias(o) for r, o in outcome.items()]))
+    stats = _with_outcomes(per_group, c3, group) if outcomes else per_group
 
     # the member count per group (ROWS) drives hot-group salting in join_back
     return (join_back(rows, stats, group)
@@ -107,6 +96,23 @@ def household_roles(df: DataFrame, group: str = "ticket", key: str = "row_id",
             .drop("__is_child", "__fam"))
 
 
+def _with_outcomes(per_group: DataFrame, members: DataFrame, group: str) -> DataFrame:
+    """Adds the outcome of the first member (smallest row key) in each role,
+    per group number.  Groups without a number share one (-1); the join salts
+    it."""
+    num = trailing_number(F.col(group))
+    firsts = (members.filter(F.col("__role").isin("Mother", "Father", "Child"))
+              .withColumn("__num", num)
+              .groupBy("__num").pivot("__role", ["Mother", "Father", "Child"])
+              .agg(F.min_by(_state(F.col("__first_label")), F.col("__first"))))
+    outcome = {"Mother": "is_mother_survived", "Father": "is_father_survived", "Child": "is_child_survived"}
+    numbered = keep(per_group.withColumn("__num", num))  # one row per group, read twice
+    sizes = group_stats(numbered.filter(F.col("__num").isNotNull()), "__num")
+    return (join_back(numbered, sizes.join(firsts, "__num"), "__num", salt_by=[group])
+            .withColumns({o: F.coalesce(F.col(r), F.lit("Not Applicable")) for r, o in outcome.items()})
+            .drop("__num", *outcome))
+
+
 def guardian_rates(roles: DataFrame, group: str = "ticket", label: str = "label",
                    max_age: float = 17) -> DataFrame:
     """Rows aged <= max_age, by (has_father, has_mother): mean over groups of

@@ -126,8 +126,8 @@ def q_pipeline_num_cat(spark, sf):
 
 # ---- 2.14 household roles -------------------------------------------------------------------
 
-def _roles(spark, sf):
-    return RL.household_roles(_m(spark, sf))
+def _roles(spark, sf, outcomes=False):
+    return RL.household_roles(_m(spark, sf), outcomes=outcomes)
 
 
 @query("role_base")
@@ -169,7 +169,7 @@ def q_role_guardian_rate(spark, sf):
 
 @query("role_member_outcome")
 def q_role_member_outcome(spark, sf):
-    return _roles(spark, sf).select("row_id", "is_mother_survived", "is_father_survived", "is_child_survived")
+    return _roles(spark, sf, outcomes=True).select("row_id", "is_mother_survived", "is_father_survived", "is_child_survived")
 
 
 # ---- nearest neighbours ---------------------------------------------------------------------
