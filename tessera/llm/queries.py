@@ -113,6 +113,68 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
 
 
+_RULES = ", ".join(f"('{rule}', {len(cuts) - k}, {c!r}::DOUBLE)"
+                   for rule, cuts in quality.CUTOFFS.items() for k, c in enumerate(cuts))
+_SHARE = quality.ALPHA / len(quality.CUTOFFS)
+#: The rules, the exact binomial bound (a sum of probabilities) and the choice
+#: of cutoffs once more in SQL; documents are told apart by doc_id.
+ORACLE["op8_quality_rules"] = rf"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT doc_id, i, list_slice(w, i, i + 7) AS gram FROM d, unnest(range(1, len(w) - 6)) r(i)),
+c AS (
+  SELECT doc_id, count(DISTINCT j) AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS times FROM g), unnest(range(i, i + 8)) r(j)
+  WHERE times > 1 GROUP BY doc_id),
+s AS (
+  SELECT d.doc_id, d.lang, len(w)::BIGINT AS n_words, length(list_aggregate(w, 'string_agg', ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+         len(lines) AS n_lines,
+         len(list_filter(w, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_upper
+  FROM d JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)),
+b AS (
+  SELECT * REPLACE (coalesce(word_chars, 0) AS word_chars),
+         n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {round(100 * quality.MOST_REPEATED)} * n_words AS base_failed
+  FROM s),
+v AS (
+  SELECT doc_id, lang, base_failed, unnest([
+    struct_pack(rule := 'symbols', x := coalesce(n_symbols::DOUBLE / nullif(n_words, 0), 0)),
+    struct_pack(rule := 'dup_lines', x := coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0)),
+    struct_pack(rule := 'repeats', x := coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0), 0)),
+    struct_pack(rule := 'upper', x := coalesce(n_upper::DOUBLE / nullif(n_words, 0), 0)),
+    struct_pack(rule := 'long_words', x := coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0)),
+    struct_pack(rule := 'short_words', x := -coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0))], recursive := true)
+  FROM b),
+r(rule, step, cutoff) AS (VALUES {_RULES}),
+k AS (
+  SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1)
+  GROUP BY doc_id HAVING min(quality) = max(quality)),
+n AS (
+  SELECT lang, r.rule, step, cutoff, count(*) FILTER (good = 1) AS n, count(*) FILTER (good = 0) AS n_bad,
+         count(*) FILTER (good = 1 AND x > cutoff) AS k, count(*) FILTER (good = 0 AND x > cutoff) AS k_bad
+  FROM v JOIN k USING (doc_id) JOIN r USING (rule) WHERE NOT base_failed GROUP BY ALL),
+p AS (
+  SELECT *, {quality.DELTA} / ((SELECT count(DISTINCT coalesce(lang, '?')) FROM n WHERE n.n > 0) * {len(quality.CUTOFFS)}) AS level,
+         CASE WHEN n = 0 THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda i: exp(
+           lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_SHARE}) + (n - i) * ln(1 - {_SHARE})))) END AS chance
+  FROM n),
+q AS (
+  SELECT *, max(chance) OVER (PARTITION BY lang, rule ORDER BY step DESC) AS worst,
+         k_bad / greatest(n_bad, 1) - k / n AS gain FROM p),
+best AS (
+  SELECT lang, rule, max_by(cutoff, struct_pack(gain := gain, step := step)) AS cutoff
+  FROM q WHERE worst <= level AND gain > 0 GROUP BY lang, rule),
+gone AS (
+  SELECT DISTINCT v.doc_id FROM v JOIN best ON v.rule = best.rule AND v.lang IS NOT DISTINCT FROM best.lang AND v.x > best.cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM gone) AS kept
+FROM b"""
+
+
 @query
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))

@@ -35,7 +35,7 @@ def documents(spark, rows, extra="keys string, cells int, h int, fp string, s in
 
 # --- SQL oracles -------------------------------------------------------------
 
-@pytest.mark.parametrize("name", ["op3_url_filters", "op7_sharding"])
+@pytest.mark.parametrize("name", ["op3_url_filters", "op7_sharding", "op8_quality_rules"])
 def test_oracles(spark, name):
     con = duckdb.connect()
     for t in TABLES:
