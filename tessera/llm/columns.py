@@ -7,10 +7,11 @@ untouched and only the text crosses the Arrow boundary.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -18,6 +19,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 #: Texts are worked on in runs of about so many bytes, whatever the batch holds.
 RUN_BYTES = 1 << 21
 
+#: Most rows of an Arrow batch: whole texts cross in it, so Spark's default of
+#: 10,000 rows would hold tens of MB in the JVM and again in each worker.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Works on one run of UTF-8 texts (null: None), gives the values of each column.
 RunFn = Callable[[list[bytes | None]], dict]
 
@@ -49,9 +55,27 @@ def text_runs(batch: pa.Array, limit: int = RUN_BYTES) -> Iterator[list[bytes |
         yield run
 
 
+def bounded_batches() -> None:
+    """Lowers the session's Arrow batch to ``BATCH_ROWS`` rows if it is larger
+    (read when a query runs, so it is left so)."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and not 0 < int(spark.conf.get(_BATCH_CONF)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
+def give_back_memory() -> None:
+    """Returns freed memory to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def struct_of(text: Column, schema: T.StructType, make: Callable[[], RunFn]) -> Column:
     """A struct column computed from ``text`` by ``make()``, which is called
     once per task on the executor and works on one run of texts at a time."""
+    bounded_batches()
     fields = [pa.field(f.name, to_arrow_type(f.dataType)) for f in schema.fields]
 
     @F.arrow_udf(schema)
@@ -64,5 +88,6 @@ def struct_of(text: Column, schema: T.StructType, make: Callable[[], RunFn]) ->
                 parts.append(pa.StructArray.from_arrays(
                     [pa.array(values[f.name], type=f.type) for f in fields], fields=fields))
             yield pa.concat_arrays(parts) if parts else pa.array([], type=pa.struct(fields))
+        give_back_memory()
 
     return apply(text.cast("string"))
