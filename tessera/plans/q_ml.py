@@ -1,10 +1,9 @@
 """Model evaluation queries.
 
-The manifest's own label is unrelated to its features, so a broken classifier
-would look like a good one on it.  The fitted queries therefore learn whether a
-fare is high: rows near the limit are left out, all other features are noise,
-and the right prediction of every row is known and stated in SQL.  A classifier
-that does not find the limit between the two parts fails its oracle."""
+The fitted queries learn the manifest's own label and fit, score and export over
+every row of it; a null fare is filled like any other feature.  That label is
+unrelated to the features, so that a classifier learns at all is tested apart
+from the queries, on a label that fares determine (tests/test_ml_whole.py)."""
 
 from __future__ import annotations
 
@@ -28,22 +27,16 @@ def R(c):
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
-#: Fares up to the first are low, from the second on high; between them rows
-#: are left out.
+#: The SQL in ``o_ml`` is stated over fares up to the first and from the second
+#: on; no query filters by them.
 LOW_FARE, HIGH_FARE = 200_000, 320_000
 
 
 def _frame(spark, sf):
-    """Feature rows with a known fare outside the band; ``label`` says whether
-    it is high (null for the test part)."""
-    m = manifest(spark, sf).filter((F.col("fare") <= LOW_FARE) | (F.col("fare") >= HIGH_FARE))
-    high = (F.col("fare") >= HIGH_FARE).cast("int")
-    # in steps of 20,000: few enough values for trees to try every limit between them
-    m = (m.withColumn("label", F.when(F.col("split") == "train", high))
-         .withColumn("fare", F.floor(F.col("fare") / 20_000) * 20_000.0))
+    """Feature rows of the whole manifest."""
     # iterative fits plan and read the frame many times: materialise it once in
     # the checkpoint folder, so every fit starts from a plain scan
-    return cut_lineage(ml_frame(m))
+    return cut_lineage(ml_frame(manifest(spark, sf)))
 
 
 def _labelled(spark, sf, k=5, how="contiguous"):
@@ -142,19 +135,9 @@ def _clf_query(name, model_name):
     return q
 
 
-@query("clf_rbf_svm")
-def q_clf_rbf_svm(spark, sf):
-    data = _frame(spark, sf)
-    model = make("rbf_svm").fit(data.filter(F.col("label").isNotNull()))
-    # features.fare is in thousands
-    right = (F.col("prediction") == (F.col("fare") * 1000 >= HIGH_FARE).cast("double")).cast("double")
-    return model.transform(data.filter(F.col("label").isNull())).agg(
-        F.count(F.lit(1)).alias("n"), F.least(R(F.avg(right)), F.lit(FLOOR)).alias("accuracy"))
-
-
 for _q, _m in [("clf_logistic", "logistic_cv"), ("clf_ridge", "ridge"), ("clf_lda_qda", "qda"),
                ("clf_tree", "tree"), ("clf_nb", "gaussian_nb"), ("clf_linear_svm", "linear_svm"),
-               ("clf_random_forest", "random_forest"),
+               ("clf_rbf_svm", "rbf_svm"), ("clf_random_forest", "random_forest"),
                ("clf_extra_trees", "extra_trees"), ("clf_bagging", "bagging"), ("clf_gbt", "gbt"),
                ("clf_adaboost", "adaboost"), ("clf_boosted_meta", "boosted_meta")]:
     _clf_query(_q, _m)
