@@ -6,8 +6,9 @@ layer of its own, until nothing new appears:
 
 * percent escapes and Unicode escapes (``\\uXXXX``, ``\\u{X}``, ``\\xXX``,
   ``&#N;``, ``&#xX;``) are replaced throughout the layer;
-* each run of base64 (either alphabet, padded or not) that decodes to text, or
-  to zlib, gzip, bzip2 or xz data that holds text, is a layer.
+* each run of base64 (either alphabet, padded or not) is a layer, through any
+  zlib, gzip, bzip2 or xz compression, whatever bytes it holds;
+* ASCII in UTF-16 (either order, at any place of a decoded layer) is a layer.
 
 A layer keeps for each character the interval of the original text it comes
 from, so a secret found ten layers down is reported as a span of the original.
@@ -45,6 +46,10 @@ _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})"
                      r"|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
+#: ASCII characters in UTF-16, little and big endian.
+_WIDE = (re.compile("(?:[\x01-\x7f]\x00){12,}"), re.compile("(?:\x00[\x01-\x7f]){12,}"))
+#: All secrets, plain or encoded, have at least so many ASCII characters together.
+_WORTH = re.compile(rb"[\t\n\r -~]{12}|(?:[\x01-\x7f]\x00){11}")
 #: Compressed data of one document is unpacked up to so many bytes in all (a
 #: guard against data that unpacks without end).
 UNPACKED_BYTES = 1 << 26
@@ -163,13 +168,10 @@ def _unpack(data: bytes, room: int) -> bytes | None:
     return None
 
 
-def _printable(data: bytes) -> str | None:
-    if data.translate(None, b"\t\n\r") and min(data.translate(None, b"\t\n\r")) < 0x20 or b"\x7f" in data:
-        return None
-    try:
-        return data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+def _as_text(data: bytes) -> str | None:
+    """Decoded data with a character for each byte (the patterns are ASCII), if
+    it can hold a secret."""
+    return data.decode("latin-1") if _WORTH.search(data) else None
 
 
 def _unwrapped(run: bytes, room: list[int]) -> str | None:
@@ -185,7 +187,7 @@ def _unwrapped(run: bytes, room: list[int]) -> str | None:
     while True:  # compressed data may hold compressed data
         got = _unpack(data, room[0]) if len(data) > 2 and room[0] > 0 else None
         if not got:
-            return _printable(data) if data else None
+            return _as_text(data)
         room[0] -= len(got)
         if got == data:
             return None
@@ -224,15 +226,21 @@ def find_secrets(text: bytes) -> tuple[list[Span], list[Span]]:
                 layer = Layer(layer_text, np.arange(n), np.arange(1, n + 1))
             put(_replaced(layer, _PERCENT, _percent))
             put(_replaced(layer, _ESCAPE, _escape))
+        if layer is not None and "\0" in layer_text:
+            for pattern in _WIDE:
+                for m in pattern.finditer(layer_text):
+                    s, e = m.span()
+                    put(Layer(layer_text[s:e].replace("\0", ""), layer.start[s:e:2], layer.end[s + 1:e:2]))
         at = None
         for m in _BASE64.finditer(raw):
             inner = _unwrapped(m.group(), room)
             if inner:
-                at = at or _Points(raw)
-                s, e = at(m.start()), at(m.end())
                 if layer is not None:
-                    s, e = int(layer.start[s]), int(layer.end[e - 1])
-                put(Layer(inner, np.full(len(inner), s), np.full(len(inner), e)))
+                    s, e = int(layer.start[m.start()]), int(layer.end[m.end() - 1])
+                else:
+                    at = at or _Points(raw)
+                    s, e = at(m.start()), at(m.end())
+                put(Layer(inner, np.broadcast_to(s, len(inner)), np.broadcast_to(e, len(inner))))
 
     if b"%" in text or b"\\" in text or b"&#" in text:
         unwrap(text.decode("utf-8", "replace"), None, text)
@@ -240,10 +248,9 @@ def find_secrets(text: bytes) -> tuple[list[Span], list[Span]]:
         unwrap("", None, text)
     while work:
         layer = work.pop()
-        raw = layer.text.encode("utf-8", "replace")
-        at = _Points(raw)
+        raw = layer.text.encode("ascii", "replace")  # a byte for each character; "?" is in no pattern
         for kind, s, e in base_matches(raw):
-            every.add((kind, int(layer.start[at(s)]), int(layer.end[at(e) - 1])))
+            every.add((kind, int(layer.start[s]), int(layer.end[e - 1])))
         unwrap(layer.text, layer, raw)
     order = lambda x: (x[1], KINDS.index(x[0]), x[2])
     return sorted(base, key=order), sorted(every, key=order)
