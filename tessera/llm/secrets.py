@@ -6,8 +6,9 @@ layer of its own, until nothing new appears:
 
 * percent escapes and Unicode escapes (``\\uXXXX``, ``\\u{X}``, ``\\xXX``,
   ``&#N;``, ``&#xX;``) are replaced throughout the layer;
-* each run of base64 (either alphabet, padded or not) is a layer, through any
-  zlib, gzip, bzip2 or xz compression, whatever bytes it holds;
+* each run of base64 (either alphabet, padded or not, also over line breaks and
+  indentation) is a layer in each of its four alignments, and so is what zlib,
+  gzip, bzip2 or xz data at any place in it holds, whatever bytes these are;
 * ASCII in UTF-16 (either order, at any place of a decoded layer) is a layer.
 
 A layer keeps for each character the interval of the original text it comes
@@ -19,7 +20,6 @@ looked at again, which ends cycles (compressed data can hold itself).
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -42,7 +42,16 @@ HEX = re.compile(rb"[0-9a-f]{24,}")
 LEAST_ASSIGNED, LEAST_ACCESS = 6, 20
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-_BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64: one long run, or runs joined over line breaks (also escaped ones).
+_BASE64 = re.compile(rb"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+(?:BREAK[A-Za-z0-9+/_-]++)*+"
+                     rb"|[A-Za-z0-9+/_-]++(?:BREAK[A-Za-z0-9+/_-]++)++)={0,2}"
+                     .replace(b"BREAK", rb"[ \t]*+(?:\r?\n|(?:\\r)?\\n)[ \t]*+"))
+_BREAK = re.compile(rb"[ \t]*+(?:\r?\n|(?:\\r)?\\n)[ \t]*+")
+#: Shorter runs of base64 hold no secret.
+LEAST_BASE64 = 16
+#: Where compressed data begins; other zlib headers are tried where a run, a
+#: line or a segment begins.
+_PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|\x78[\x01\x5e\x9c\xda]", re.S)
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})"
                      r"|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
@@ -154,10 +163,14 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     return Layer("".join(text), np.concatenate(starts), np.concatenate(ends))
 
 
+def _zlib_header(data: bytes) -> bool:
+    return len(data) > 1 and data[0] & 15 == 8 and data[0] >> 4 <= 7 and (data[0] << 8 | data[1]) % 31 == 0
+
+
 def _unpack(data: bytes, room: int) -> bytes | None:
     """The content of zlib, gzip, bzip2 or xz data, at most ``room`` bytes."""
     try:
-        if data[:2] == b"\x1f\x8b" or (data[0] & 15 == 8 and data[0] >> 4 <= 7 and (data[0] << 8 | data[1]) % 31 == 0):
+        if data[:2] == b"\x1f\x8b" or _zlib_header(data[:2]):
             return zlib.decompressobj(47).decompress(data, room)
         if data[:3] == b"BZh":
             return bz2.BZ2Decompressor().decompress(data, room)
@@ -174,24 +187,55 @@ def _as_text(data: bytes) -> str | None:
     return data.decode("latin-1") if _WORTH.search(data) else None
 
 
-def _unwrapped(run: bytes, room: list[int]) -> str | None:
-    """The text in a run of base64, through any compression; else None."""
-    body = run.rstrip(b"=")
-    if len(body) % 4 == 1:
-        return None
-    body = body.translate(bytes.maketrans(b"-_", b"+/")) + b"=" * (-len(body) % 4)
-    try:
-        data = base64.b64decode(body)
-    except (binascii.Error, ValueError):
-        return None
+def _unpacked(data: bytes, room: list[int]) -> bytes | None:
+    """What compressed data holds, through any further compression."""
+    got = None
     while True:  # compressed data may hold compressed data
-        got = _unpack(data, room[0]) if len(data) > 2 and room[0] > 0 else None
-        if not got:
-            return _as_text(data)
-        room[0] -= len(got)
-        if got == data:
-            return None
-        data = got
+        inner = _unpack(data, room[0]) if len(data) > 2 and room[0] > 0 else None
+        if not inner or inner == data:
+            return got
+        room[0] -= len(inner)
+        got = data = inner
+
+
+class _Run:
+    """A match of _BASE64: its characters without line breaks, and the lines
+    they are from."""
+
+    def __init__(self, m: re.Match):
+        whole, at = m.group(), m.start()
+        self.starts, self.ends, parts = [], [], []
+        last = 0
+        for x in [*_BREAK.finditer(whole), None]:
+            end = x.start() if x else len(whole)
+            parts.append(whole[last:end])
+            self.starts.append(at + last)
+            self.ends.append(at + end)
+            last = x.end() if x else end
+        self.body = b"".join(parts).rstrip(b"=")
+        self.first = np.cumsum([0, *map(len, parts[:-1])])  # of each line in the body
+
+    def decoded(self, shift: int) -> bytes:
+        body = self.body[shift:].translate(bytes.maketrans(b"-_", b"+/"))
+        if len(body) % 4 == 1:
+            body = body[:-1]
+        return base64.b64decode(body + b"=" * (-len(body) % 4))
+
+    def places(self, shift: int, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Per decoded byte where its lines begin and end."""
+        if len(self.starts) == 1:
+            return np.broadcast_to(self.starts[0], end - begin), np.broadcast_to(self.ends[0], end - begin)
+        bits = 8 * np.arange(begin, end)
+        low = np.searchsorted(self.first, shift + bits // 6, side="right") - 1
+        high = np.searchsorted(self.first, shift + (bits + 7) // 6, side="right") - 1
+        return np.array(self.starts)[low], np.array(self.ends)[high]
+
+    def packed(self, shift: int, data: bytes) -> list[int]:
+        """Bytes at which compressed data may begin."""
+        found = {m.start() for m in _PACKED.finditer(data)}
+        heads = [*self.first.tolist(), shift, *(m.end() for m in re.finditer(rb"[/_-]", self.body))]
+        tried = {(h - shift) // 4 * 3 for h in heads if h >= shift and (h - shift) % 4 == 0}
+        return sorted(found | {k for k in tried if _zlib_header(data[k:k + 2])})
 
 
 def find_secrets(text: bytes) -> tuple[list[Span], list[Span]]:
@@ -233,14 +277,29 @@ def find_secrets(text: bytes) -> tuple[list[Span], list[Span]]:
                     put(Layer(layer_text[s:e].replace("\0", ""), layer.start[s:e:2], layer.end[s + 1:e:2]))
         at = None
         for m in _BASE64.finditer(raw):
-            inner = _unwrapped(m.group(), room)
-            if inner:
-                if layer is not None:
-                    s, e = int(layer.start[m.start()]), int(layer.end[m.end() - 1])
-                else:
-                    at = at or _Points(raw)
-                    s, e = at(m.start()), at(m.end())
-                put(Layer(inner, np.broadcast_to(s, len(inner)), np.broadcast_to(e, len(inner))))
+            if m.end() - m.start() < LEAST_BASE64:
+                continue
+            run = _Run(m)
+            if len(run.body) < LEAST_BASE64:
+                continue
+            for shift in range(4):
+                data = run.decoded(shift)
+                inner = [(_as_text(data), 0)]
+                for begin in run.packed(shift, data):
+                    got = _unpacked(data[begin:], room)
+                    inner.append((_as_text(got) if got else None, begin))
+                for k, (held, begin) in enumerate(inner):
+                    if held is None:
+                        continue
+                    s, e = run.places(shift, begin, len(data))
+                    if k:  # what compressed data holds is from all of it
+                        s, e = s[:1].repeat(len(held)), e[-1:].repeat(len(held))
+                    if layer is not None:
+                        s, e = layer.start[s], layer.end[e - 1]
+                    elif not text.isascii():
+                        at = at or _Points(raw)
+                        s, e = at.before[s], at.before[e]
+                    put(Layer(held, s, e))
 
     if b"%" in text or b"\\" in text or b"&#" in text:
         unwrap(text.decode("utf-8", "replace"), None, text)

@@ -2,9 +2,12 @@
 compressed data of several members."""
 
 import base64
+import bz2
 import gzip
 import io
+import lzma
 import tarfile
+import zlib
 
 import pytest
 
@@ -46,3 +49,44 @@ def test_layers_with_any_bytes_are_scanned(name):
     every = S.find_secrets(text.encode())[1]
     assert ("access", 6, len(text) - 8) in every
     assert not found(S.masked(text.encode(), every, "[secret]"))
+
+
+def _wrapped(data, width, indent="", end="\n"):
+    body = b64(data)
+    return (end + indent).join(body[k:k + width] for k in range(0, len(body), width))
+
+
+LONG = ("some words before it, " * 20 + LINE + " and after it" * 30).encode()
+WRAPPED = {
+    "mime": _wrapped(LONG, 76), "crlf": _wrapped(LONG, 76, end="\r\n"), "pem": _wrapped(LONG, 64),
+    "indented": _wrapped(LONG, 60, "    "), "narrow": _wrapped(LONG, 12), "escaped": _wrapped(LONG, 64, end="\\n"),
+    "gzip": _wrapped(gzip.compress(LONG), 76), "zlib": _wrapped(zlib.compress(LONG, 4), 64, "\t"),
+    "glued zlib": "-----BEGIN DATA-----\n" + _wrapped(zlib.compress(LONG), 64),
+    "short tail": _wrapped(b"x" * 54 + KEY.encode(), 76),
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_wrapped_base64_is_joined(name):
+    text = f"Größe: é\n\n  {WRAPPED[name]} nachher"
+    every = S.find_secrets(text.encode())[1]
+    at = text.index(WRAPPED[name])
+    assert any(k == "access" and at <= s < e <= at + len(WRAPPED[name]) for k, s, e in every), every
+    assert not found(S.masked(text.encode(), every, "[secret]"))
+
+
+@pytest.mark.parametrize("lead", ["/v/", "/ab/", "abc/", "a-", "ab_", "abc-", "x", "xy", "xyz", "/a/b/cd/"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+@pytest.mark.parametrize("tail", ["", "/x", "-end"])
+def test_glued_base64_is_decoded_in_every_alignment(lead, pack, tail):
+    body = base64.urlsafe_b64encode(pack(LINE.encode())).decode().rstrip("=")
+    text = f"https://é.example{lead}{body}{tail} nachher"
+    every = S.find_secrets(text.encode())[1]
+    assert "access" in {k for k, _, _ in every}
+    assert not found(S.masked(text.encode(), every, "[secret]"))
+
+
+def test_a_wrapped_secret_maps_to_its_lines():
+    lines = ["A" * 64, b64(LINE.encode()), "nothing here\n"]
+    text = "\n".join(lines)
+    assert [text[s:e] for k, s, e in S.find_secrets(text.encode())[1] if k == "access"] == [lines[1]]
