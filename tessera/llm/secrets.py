@@ -22,9 +22,11 @@ from __future__ import annotations
 import base64
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,12 +60,20 @@ _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9
 #: ASCII characters in UTF-16, little and big endian.
 _WIDE = (re.compile("(?:[\x01-\x7f]\x00){12,}"), re.compile("(?:\x00[\x01-\x7f]){12,}"))
 #: All secrets, plain or encoded, have at least so many ASCII characters together.
-_WORTH = re.compile(rb"[\t\n\r -~]{12}|(?:[\x01-\x7f]\x00){11}")
-#: Compressed data of one document is unpacked up to so many bytes in all (a
-#: guard against data that unpacks without end).
-UNPACKED_BYTES = 1 << 26
+_WORTH = re.compile(rb"[\t\n\r -~]{12}|(?:[\t\n\r -~]\x00){11}")
+_NO_TEXT = bytes(c for c in range(256) if c not in b"\t\n\r" and not 32 <= c < 127)
+#: What compressed data holds is scanned in windows of about so many bytes, each
+#: with the end of the one before: an encoded run that goes on, up to LONGEST
+#: bytes (a longer one is cut and the text marked), or OVERLAP.  Blocks are
+#: decompressed at a time.
+WINDOW, OVERLAP, LONGEST, BLOCK = 1 << 22, 1 << 18, 1 << 24, 1 << 16
+_ENCODED = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\&#;{} \t\r\n"
+#: Compressed data right within compressed data is unpacked so many times in one
+#: go; what is deeper is a layer of its own.
+LEVELS = 16
 
 Span = tuple[str, int, int]
+_ZLIB = type(zlib.decompressobj())
 
 
 def base_matches(text: bytes) -> list[tuple[str, int, int]]:
@@ -167,37 +177,120 @@ def _zlib_header(data: bytes) -> bool:
     return len(data) > 1 and data[0] & 15 == 8 and data[0] >> 4 <= 7 and (data[0] << 8 | data[1]) % 31 == 0
 
 
-def _unpack(data: bytes, room: int) -> bytes | None:
-    """The content of zlib, gzip, bzip2 or xz data, at most ``room`` bytes."""
-    try:
-        if data[:2] == b"\x1f\x8b" or _zlib_header(data[:2]):
-            return zlib.decompressobj(47).decompress(data, room)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, room)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(data, room)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        pass
+def _opener(head: bytes):
+    """A decompressor of the data that begins so, else None."""
+    if head[:3] == b"\x1f\x8b\x08" or _zlib_header(head[:2]):
+        return zlib.decompressobj(47)
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
     return None
 
 
+class _Source:
+    """Blocks of bytes, of which what was not needed can be given back;
+    ``whole`` is where the last complete member ended."""
+
+    def __init__(self, blocks: Iterator[bytes]):
+        self.blocks, self.kept, self.taken, self.whole = blocks, b"", 0, 0
+
+    def take(self) -> bytes:
+        got, self.kept = self.kept or next(self.blocks, b""), b""
+        self.taken += len(got)
+        return got
+
+    def give(self, data: bytes) -> None:
+        self.taken -= len(data)
+        self.kept = data + self.kept
+
+    def head(self, size: int = 6) -> bytes:
+        got = b""
+        while len(got) < size and (more := self.take()):
+            got += more
+        self.give(got)
+        return got
+
+
+def _blocks(data: bytes, begin: int) -> Iterator[bytes]:
+    for at in range(begin, len(data), BLOCK):
+        yield data[at:at + BLOCK]
+
+
+def _members(source: _Source) -> Iterator[bytes]:
+    """What all members of compressed data hold, one after the other."""
+    first = True
+    while first or source.head():
+        if not first:  # padding between members
+            while (got := source.take()) and not got.lstrip(b"\0"):
+                pass
+            source.give(got.lstrip(b"\0"))
+        opened = _opener(source.head())
+        if opened is None:
+            return
+        first = False
+        data = b""
+        try:
+            while not opened.eof:
+                # what is pending goes first: zlib gives back input, the others hold it
+                wants = not data if isinstance(opened, _ZLIB) else opened.needs_input
+                if wants:
+                    data = source.take()
+                    if not data:
+                        return
+                out = opened.decompress(data, BLOCK)
+                data = opened.unconsumed_tail if isinstance(opened, _ZLIB) else b""
+                if out:
+                    yield out
+                while isinstance(opened, _ZLIB) and len(out) == BLOCK and not data and not opened.eof:
+                    out = opened.decompress(b"", BLOCK)
+                    if out:
+                        yield out
+            source.give(opened.unused_data)
+            source.whole = source.taken
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            return
+
+
+def _content(source: _Source) -> Iterator[bytes]:
+    """What compressed data holds, through any further compression."""
+    for _ in range(LEVELS):
+        source = _Source(_members(source))
+        if _opener(source.head()) is None:
+            break
+        # text may look like a header
+        trial = _Source(iter([source.head(BLOCK)]))
+        if next(_members(trial), None) is None:
+            break
+    while got := source.take():
+        yield got
+
+
+def _windows(blocks: Iterator[bytes], cut: list[bool]) -> Iterator[bytes]:
+    """Blocks put together; every window begins with the end of the last one."""
+    parts, size, kept = [], 0, 0
+    for got in blocks:
+        parts.append(got)
+        size += len(got)
+        if size - kept >= max(WINDOW, kept):
+            window = b"".join(parts)
+            yield window
+            kept = max(OVERLAP, size - len(window.rstrip(_ENCODED)))
+            if kept > LONGEST:
+                cut[0], kept = True, OVERLAP
+            parts, size = [window[-kept:]], kept
+    if size > kept or not kept:
+        yield b"".join(parts)
+
+
 def _as_text(data: bytes) -> str | None:
     """Decoded data with a character for each byte (the patterns are ASCII), if
     it can hold a secret."""
+    if len(data.translate(None, _NO_TEXT)) < 11:  # at once for long stretches of zeros
+        return None
     return data.decode("latin-1") if _WORTH.search(data) else None
 
 
-def _unpacked(data: bytes, room: list[int]) -> bytes | None:
-    """What compressed data holds, through any further compression."""
-    got = None
-    while True:  # compressed data may hold compressed data
-        inner = _unpack(data, room[0]) if len(data) > 2 and room[0] > 0 else None
-        if not inner or inner == data:
-            return got
-        room[0] -= len(inner)
-        got = data = inner
-
-
 class _Run:
     """A match of _BASE64: its characters without line breaks, and the lines
     they are from."""
@@ -241,6 +334,12 @@ class _Run:
 def find_secrets(text: bytes) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans with those of decoded layers; code points,
     by start, then kind."""
+    return find_all(text)[:2]
+
+
+def find_all(text: bytes) -> tuple[list[Span], list[Span], bool]:
+    """As ``find_secrets``, and whether some compressed data was left at a hard
+    stop (see WINDOW)."""
     place = None
     base: list[Span] = []
     matches = base_matches(text)
@@ -248,34 +347,56 @@ def find_secrets(text: bytes) -> tuple[list[Span], list[Span]]:
         place = _Points(text)
         base = [(kind, place(s), place(e)) for kind, s, e in matches]
     every = set(base)
-    room = [UNPACKED_BYTES]
-    work: list[Layer] = []
     seen: set[tuple] = set()
-
-    def put(layer: Layer | None) -> None:
-        if layer is None or not layer.text:
-            return
-        key = (hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest(),
-               int(layer.start[0]), int(layer.end[-1]))
-        if key not in seen:
-            seen.add(key)
-            work.append(layer)
-
-    def unwrap(layer_text: str, layer: Layer | None, raw: bytes) -> None:
-        """Puts the layers found in one: ``layer`` is None for the original."""
+    cut = [False]
+
+    def new(content: bytes, start: int, end: int) -> bool:
+        key = (hashlib.sha256(content).digest(), start, end)
+        fresh = key not in seen
+        seen.add(key)
+        return fresh
+
+    def unpacked(data: bytes, begins: list[int], place, whole: bool) -> Iterator[Layer]:
+        """Layers of the compressed data that begins at some of ``begins``;
+        ``place`` gives where in the original bytes of ``data`` are from."""
+        done = 0
+        for begin in begins:
+            if begin < done or _opener(data[begin:begin + 6]) is None:
+                continue  # within data that was unpacked
+            s, e = place(begin, len(data))
+            source = _Source(_blocks(data, begin))
+            content = _content(source)
+            got = next(content, None)
+            if got is None or not new(b"packed" + data[begin:], int(s[0]), int(e[-1])):
+                continue
+            for window in _windows(itertools.chain([got], content), cut):
+                held = _as_text(window)
+                if held is None and _PACKED.search(window):
+                    held = window.decode("latin-1")
+                if held is not None:
+                    to = e[max(0, source.taken - 1)]
+                    yield Layer(held, np.broadcast_to(s[0], len(held)), np.broadcast_to(to, len(held)))
+            done = begin + source.whole
+            if not whole and begin + source.taken >= len(data) and done < len(data):
+                cut[0] = True  # goes on in the next window
+
+    def inside(layer_text: str, layer: Layer | None, raw: bytes) -> Iterator[Layer]:
+        """The layers found in one: ``layer`` is None for the original."""
         if ("%" in layer_text and _PERCENT.search(layer_text)) or \
                 (("\\" in layer_text or "&#" in layer_text) and _ESCAPE.search(layer_text)):
-            if layer is None:
+            held = layer
+            if held is None:
                 n = len(layer_text)
-                layer = Layer(layer_text, np.arange(n), np.arange(1, n + 1))
-            put(_replaced(layer, _PERCENT, _percent))
-            put(_replaced(layer, _ESCAPE, _escape))
+                held = Layer(layer_text, np.arange(n), np.arange(1, n + 1))
+            for got in (_replaced(held, _PERCENT, _percent), _replaced(held, _ESCAPE, _escape)):
+                if got is not None:
+                    yield got
         if layer is not None and "\0" in layer_text:
             for pattern in _WIDE:
                 for m in pattern.finditer(layer_text):
                     s, e = m.span()
-                    put(Layer(layer_text[s:e].replace("\0", ""), layer.start[s:e:2], layer.end[s + 1:e:2]))
-        at = None
+                    yield Layer(layer_text[s:e].replace("\0", ""), layer.start[s:e:2], layer.end[s + 1:e:2])
+        points = None
         for m in _BASE64.finditer(raw):
             if m.end() - m.start() < LEAST_BASE64:
                 continue
@@ -284,35 +405,43 @@ def find_secrets(text: bytes) -> tuple[list[Span], list[Span]]:
                 continue
             for shift in range(4):
                 data = run.decoded(shift)
-                inner = [(_as_text(data), 0)]
-                for begin in run.packed(shift, data):
-                    got = _unpacked(data[begin:], room)
-                    inner.append((_as_text(got) if got else None, begin))
-                for k, (held, begin) in enumerate(inner):
-                    if held is None:
-                        continue
-                    s, e = run.places(shift, begin, len(data))
-                    if k:  # what compressed data holds is from all of it
-                        s, e = s[:1].repeat(len(held)), e[-1:].repeat(len(held))
+                held, begins = _as_text(data), run.packed(shift, data)
+                if held is None and not begins:
+                    continue
+                if layer is None and points is None and not text.isascii():
+                    points = _Points(raw)
+
+                def place(begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+                    s, e = run.places(shift, begin, end)
                     if layer is not None:
-                        s, e = layer.start[s], layer.end[e - 1]
-                    elif not text.isascii():
-                        at = at or _Points(raw)
-                        s, e = at.before[s], at.before[e]
-                    put(Layer(held, s, e))
+                        return layer.start[s], layer.end[e - 1]
+                    return (s, e) if points is None else (points.before[s], points.before[e])
 
-    if b"%" in text or b"\\" in text or b"&#" in text:
-        unwrap(text.decode("utf-8", "replace"), None, text)
-    else:
-        unwrap("", None, text)
-    while work:
-        layer = work.pop()
+                if held is not None:
+                    yield Layer(held, *place(0, len(data)))
+                yield from unpacked(data, begins, place, True)
+
+    def children(layer: Layer) -> Iterator[Layer]:
         raw = layer.text.encode("ascii", "replace")  # a byte for each character; "?" is in no pattern
         for kind, s, e in base_matches(raw):
             every.add((kind, int(layer.start[s]), int(layer.end[e - 1])))
-        unwrap(layer.text, layer, raw)
+        yield from inside(layer.text, layer, raw)
+        data = layer.text.encode("latin-1", "replace")
+        begins = [m.start() for m in _PACKED.finditer(data)]
+        yield from unpacked(data, begins, lambda s, e: (layer.start[s:e], layer.end[s:e]), len(data) < WINDOW)
+
+    if b"%" in text or b"\\" in text or b"&#" in text:
+        work = [inside(text.decode("utf-8", "replace"), None, text)]
+    else:
+        work = [inside("", None, text)]
+    while work:  # depth first, so few windows are held at a time
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+        elif layer.text and new(layer.text.encode("utf-8", "surrogatepass"), int(layer.start[0]), int(layer.end[-1])):
+            work.append(children(layer))
     order = lambda x: (x[1], KINDS.index(x[0]), x[2])
-    return sorted(base, key=order), sorted(every, key=order)
+    return sorted(base, key=order), sorted(every, key=order), cut[0]
 
 
 def _joined(spans: list[Span]) -> str:
@@ -339,18 +468,19 @@ def masked(text: bytes, spans: list[Span], mask: str) -> str:
 SCHEMA = T.StructType([
     T.StructField("n_assign", T.LongType()), T.StructField("n_access", T.LongType()),
     T.StructField("n_hex", T.LongType()), T.StructField("base_sha256", T.StringType()),
-    T.StructField("spans", T.StringType())])
+    T.StructField("spans", T.StringType()), T.StructField("cut", T.BooleanType())])
 
 
 def _digests() -> RunFn:
     def work(run: list[bytes | None]) -> dict:
         out: dict[str, list] = {f.name: [] for f in SCHEMA.fields}
         for text in run:
-            base, every = find_secrets(text or b"")
+            base, every, cut = find_all(text or b"")
             for kind in KINDS:
                 out[f"n_{kind}"].append(sum(x[0] == kind for x in base))
             out["base_sha256"].append(hashlib.sha256(_joined(base).encode()).hexdigest())
             out["spans"].append(_joined(every))
+            out["cut"].append(cut)
         return out
 
     return work
@@ -358,7 +488,8 @@ def _digests() -> RunFn:
 
 def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, counts of base spans per kind,
-    base_sha256, and ``spans``, all spans as kind:start:end.
+    base_sha256, ``spans``, all spans as kind:start:end, and ``cut``, whether
+    some compressed data was left at a hard stop.
 
     Null and empty texts have none.  Repeated rows, null ids and further
     columns are allowed."""

@@ -6,6 +6,7 @@ import bz2
 import gzip
 import io
 import lzma
+import random
 import tarfile
 import zlib
 
@@ -90,3 +91,42 @@ def test_a_wrapped_secret_maps_to_its_lines():
     lines = ["A" * 64, b64(LINE.encode()), "nothing here\n"]
     text = "\n".join(lines)
     assert [text[s:e] for k, s, e in S.find_secrets(text.encode())[1] if k == "access"] == [lines[1]]
+
+
+PACKERS = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress}
+
+
+@pytest.mark.parametrize("name", PACKERS)
+@pytest.mark.parametrize("between", [b"", b"\0" * 8])
+def test_every_member_is_unpacked(name, between):
+    pack = PACKERS[name]
+    data = between.join([pack(b"first member " * 9)] * 20 + [pack(LINE.encode())])
+    assert "access" in found(f"a {b64(data)} b")
+    assert "access" in found(f"a {b64(gzip.compress(data))} b")
+
+
+@pytest.mark.parametrize("name", PACKERS)
+def test_long_content_is_unpacked_whole(name):
+    data = b"\0" * (66 << 20) + LINE.encode()
+    every, cut = S.find_all(f"a {b64(PACKERS[name](data))} b".encode())[1:]
+    assert "access" in {k for k, _, _ in every} and not cut
+
+
+def test_the_same_payload_many_times_is_read_everywhere():
+    body = b64(gzip.compress(b"\0" * (30 << 20) + LINE.encode()))
+    text = f"{body} %41 \\u0041 {body} {body}"
+    assert len({s for k, s, _ in S.find_secrets(text.encode())[1] if k == "access"}) == 3
+
+
+def test_secrets_and_payloads_across_windows(monkeypatch):
+    monkeypatch.setattr(S, "WINDOW", 1 << 16)
+    monkeypatch.setattr(S, "OVERLAP", 1 << 10)
+    inner = b64(gzip.compress(random.Random(3).randbytes(100_000) + LINE.encode()))
+    for lead in range((1 << 16) - 40, (1 << 16) + 3, 3):
+        assert "access" in found(b64(gzip.compress(b"." * lead + LINE.encode())))
+    for lead in (0, 60_000, 65_530, 120_000):
+        assert "access" in found(b64(gzip.compress(b"." * lead + inner.encode() + b"." * 70_000)))
+    body = b64(gzip.compress(b"A" * (40 << 16)))
+    assert not S.find_all(body.encode())[2]
+    monkeypatch.setattr(S, "LONGEST", 1 << 17)
+    assert S.find_all(body.encode())[2]
