@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tessera.models.classifiers import make
-from tessera.models.features import ml_frame
+from tessera.models.features import FEATURES, ml_frame
+from tessera.plans import q_ml
 from tessera.plans.q_ml import HIGH_FARE, LOW_FARE, STACK_BASE
 from tessera.sources.manifest import manifest
 
@@ -58,3 +59,31 @@ def test_classifiers_find_a_limit_outside_which_all_rows_lie(separable, model, l
     fitted = make(model).fit(separable.filter("split = 'train'"))
     right = fitted.transform(separable.filter("split = 'test'")).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")))
     assert right.first()[0] >= least
+
+
+def test_leaderboard_has_the_bernoulli_bayes_and_full_scores(spark, monkeypatch):
+    monkeypatch.setattr(q_ml, "LEADERBOARD", ["gaussian_nb"])
+    got = QUERIES["model_leaderboard"](spark, SMALL).collect()
+    assert sorted(r.model for r in got) == ["bernoulli_nb", "gaussian_nb"]
+    assert [r.test_mean for r in got] == sorted((r.test_mean for r in got), reverse=True)
+    assert all(abs(r.test_3std - 3 * r.test_std) < 1e-9 and 0 < r.train_mean <= 1 and r.params is not None for r in got)
+
+
+def test_cross_validation_gives_the_spread(spark, monkeypatch):
+    monkeypatch.setattr(q_ml, "CV_MODELS", ["gaussian_nb"])
+    row = QUERIES["cross_val_accuracy"](spark, SMALL).first()
+    assert row.n_folds == 10 and 0 < row.std_accuracy < 0.5 and 0 < row.mean_accuracy < 1
+
+
+def test_importances_are_a_table_of_feature_and_model(spark, monkeypatch):
+    monkeypatch.setattr(q_ml, "STACK_BASE", ["random_forest", "linear_svm"])
+    got = QUERIES["feature_importance"](spark, SMALL)
+    assert got.columns == ["feature", "random_forest"]
+    rows = got.collect()
+    assert sorted(r.feature for r in rows) == sorted(FEATURES)
+    assert abs(sum(r.random_forest for r in rows) - 1) < 1e-6
+
+
+def test_grid_search_gives_the_spread(spark):
+    got = QUERIES["grid_search"](spark, SMALL).collect()
+    assert len(got) == 4 and sum(r.best for r in got) == 1 and all(0 < r.std_accuracy < 0.5 for r in got)
