@@ -270,8 +270,12 @@ def language_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", la
 
 def keep_known(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose language is recognised, with all their
-    columns: those that are ``und`` or ambiguous go."""
+    columns: those that are ``und`` or ambiguous go.  With nothing to learn
+    from (no document that is not held out has a language and a letter) only
+    texts without a letter go."""
     model = train(docs.where(F.crc32(F.col(doc_id).cast("string")) % 4 != 2), text, lang, doc_id)
+    if model is None:
+        return docs.where(F.col(text).rlike(r"\p{L}"))
     name = free_name(docs, "language")
     return (docs.withColumn(name, predict(docs, model, F.col(text)))
             .where((F.col(f"{name}.lang_pred") != UNKNOWN) & ~F.col(f"{name}.ambiguous")).drop(name))
