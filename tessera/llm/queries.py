@@ -9,8 +9,10 @@ from collections.abc import Callable
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import bpe, fingerprints, langid, packing, quality, secrets, sharding, simhash, token_counts, url_filter
+from tessera.llm import (align, bpe, fingerprints, langid, merkle, packing, quality, secrets, sharding, simhash, token_counts,
+                         topk, url_filter)
 from tessera.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,6 +188,95 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+#: Vectors that ask, results of each, and what components are multiplied by.
+ASKS, BEST, FACTOR = 20, 20, 64
+
+
+@query
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    whole = rows.select("vec_id", topk.whole_components(F.col("embedding"), FACTOR).alias("vector"))
+    return topk.top_k(whole, F.col("vec_id") % ASKS == 0, BEST)
+
+
+ORACLE["op11_exact_top_k"] = f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({FACTOR} * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % {ASKS} = 0)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score
+FROM s WINDOW best AS (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) QUALIFY row_number() OVER best <= {BEST}"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_proofs(read_table(spark, sf_dir, "documents", ["doc_id", "source", "lang", "n_chars", "text"]))
+
+
+def _leaf(plus: str) -> str:
+    """The digest of a document; ``plus`` is added to n_chars."""
+    shown = (f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(({c}{plus if c == 'n_chars' else ''})::VARCHAR) || ':' || "
+             f"({c}{plus if c == 'n_chars' else ''})::VARCHAR END" for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    return f"sha256({' || '.join(shown)})"
+
+
+#: Documents whose tampered copy is checked, as ids: DuckDB has no CRC-32, so it is
+#: written out bit by bit.
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(str_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(0, 8)), lambda x, _:
+      CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+#: Each level's nodes from the one below, their paths upwards, and the tampered
+#: leaves folded step by step.
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_leaf('')} AS leaf,
+         CASE WHEN xor({_CRC}, 4294967295) % {merkle.TAMPERED} = 0 THEN {_leaf(' + 1')} ELSE {_leaf('')} END AS shown
+  FROM documents),
+d AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+  FROM l),
+nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS digest, n FROM d
+  UNION ALL
+  SELECT tree, any_value(level) + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 1) // 2)
+  FROM nodes WHERE n > 1 GROUP BY tree, pos // 2),
+subroots AS (
+  SELECT tree, digest AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+top AS (
+  SELECT 0 AS level, pos, subroot AS digest, n FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 1) // 2)
+  FROM top WHERE n > 1 GROUP BY pos // 2),
+height AS (SELECT tree, max(level) AS h FROM nodes GROUP BY tree),
+steps AS (
+  SELECT d.tree, d.pos, s.level, (d.pos >> s.level) & 1 AS side, x.digest AS other
+  FROM d JOIN nodes s ON s.tree = d.tree AND s.pos = d.pos >> s.level AND s.n > 1
+  LEFT JOIN nodes x ON x.tree = s.tree AND x.level = s.level AND x.pos = xor(s.pos, 1)
+  UNION ALL
+  SELECT d.tree, d.pos, h + t.level, (r.pos >> t.level) & 1, x.digest
+  FROM d JOIN height USING (tree) JOIN subroots r USING (tree) JOIN top t ON t.pos = r.pos >> t.level AND t.n > 1
+  LEFT JOIN top x ON x.level = t.level AND x.pos = xor(t.pos, 1)),
+proofs AS (SELECT tree, pos, sha256(coalesce(string_agg(other, '' ORDER BY level), '')) AS proof_sha256, count(*) AS n FROM steps GROUP BY ALL),
+folds AS (
+  SELECT tree, pos, 0 AS level, shown AS digest FROM d
+  UNION ALL
+  SELECT f.tree, f.pos, f.level + 1, sha256(CASE WHEN other IS NULL THEN digest WHEN side = 1 THEN other || digest ELSE digest || other END)
+  FROM folds f JOIN steps s ON s.tree = f.tree AND s.pos = f.pos AND s.level = f.level),
+folded AS (SELECT tree, pos, max_by(digest, level) AS folded_root FROM folds GROUP BY ALL),
+root AS (SELECT digest AS root FROM top WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM d JOIN folded USING (tree, pos) JOIN subroots s USING (tree) CROSS JOIN root LEFT JOIN proofs p ON p.tree = d.tree AND p.pos = d.pos"""
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_tokens(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                              public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
