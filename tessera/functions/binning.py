@@ -72,17 +72,12 @@ def cut_quantile(df: DataFrame, col: str, q: int, name: str) -> DataFrame:
     """``qcut(x, q)``: bin = number of inner edges strictly below x
     (right-closed bins, the minimum in bin 0); null stays null.  Equal edges are
     an error."""
-    edges = quantile_edges(df, col, q)
-    same = F.lit(False)
-    for i in range(q):
-        same = same | (F.col(f"__qe{i}") == F.col(f"__qe{i + 1}"))
-    found = edges.select("*", same.alias("__qe_same")).first()
-    if found and found["__qe_same"]:
-        raise ValueError(f"bin edges of {col} are not unique: {[found[f'__qe{i}'] for i in range(q + 1)]}")
-    idx = sum((F.col(col) > F.col(f"__qe{i}")).cast("int") for i in range(1, q))
-    return (df.crossJoin(F.broadcast(edges))  # one row
-            .withColumn(name, F.when(F.col(col).isNotNull(), idx))
-            .drop(*[f"__qe{i}" for i in range(q + 1)]))
+    found = quantile_edges(df, col, q).first()
+    edges = [found[i] for i in range(q + 1)] if found else [None] * (q + 1)
+    if found and any(a == b for a, b in zip(edges, edges[1:])):
+        raise ValueError(f"bin edges of {col} are not unique: {edges}")
+    idx = sum((F.col(col) > F.lit(e).cast("double")).cast("int") for e in edges[1:-1])
+    return df.withColumn(name, F.when(F.col(col).isNotNull(), idx))
 
 
 def floor_bucket(x: Column | str, width: float) -> Column:

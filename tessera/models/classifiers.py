@@ -1,139 +1,102 @@
 """Classifier factories: Spark ML estimators (or the library's own) keyed
 by name, all reading ``features`` / ``label`` and writing ``prediction``.
 
-Re-aimed members (say so in results): ``extra_trees`` is a random forest
-without bootstrap (random feature subsets, best thresholds); ``rbf_svm`` is
-random Fourier features + linear SVM; ``boosted_meta`` is Spark GBT with row
-and column subsampling (no exact gamma / hessian weight).
+The library's own have ``fit_folds``: the models of all folds of a
+cross-validation from shared readings of the rows (moments, Newton steps, tree
+levels).  ``rbf_svm`` is random Fourier features + linear SVM, an approximation.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-                                       NaiveBayes, RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import Binarizer, MinMaxScaler
-from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from collections.abc import Sequence
+
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.models.boosting import AdaBoostClassifier
-from tessera.models.discriminant import DiscriminantAnalysis
+from tessera.models.discriminant import MomentClassifier
 from tessera.models.features import FEATURES
-from tessera.models.kernel import RBFSVM
-
-
-class RidgeClassifierModel(Model):
-    def __init__(self, reg, prediction_col):
-        super().__init__()
-        self.reg, self.prediction_col = reg, prediction_col
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        out = self.reg.setPredictionCol("__ridge").transform(df)
-        return out.withColumn(self.prediction_col, (F.col("__ridge") > 0).cast("double")).drop("__ridge")
-
-
-class RidgeClassifier(Estimator):
-    """Ridge regression on -1/+1 targets, sign -> class; the penalty is chosen
-    by cross-validation over ``alphas``."""
-
-    def __init__(self, alphas=(0.1, 1.0, 10.0), folds: int = 3, prediction_col: str = "prediction"):
-        super().__init__()
-        self.alphas, self.folds, self.prediction_col = list(alphas), folds, prediction_col
-
-    def _fit(self, df: DataFrame) -> RidgeClassifierModel:
-        data = df.filter(F.col("label").isNotNull()).withColumn("__pm", F.col("label") * 2 - 1)
-        lr = LinearRegression(featuresCol="features", labelCol="__pm", elasticNetParam=0.0)
-        n = max(data.count(), 1)
-        grid = ParamGridBuilder().addGrid(lr.regParam, [a / n for a in self.alphas]).build()
-        from pyspark.ml.evaluation import RegressionEvaluator
-        cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=self.folds, seed=7,
-                            evaluator=RegressionEvaluator(labelCol="__pm", metricName="mse"))
-        return RidgeClassifierModel(cv.fit(data).bestModel, self.prediction_col)
+from tessera.models.linear import HINGE, LinearClassifier, RBFSVM
+from tessera.models.trees import AdaBoost, Boosted, ExtraTrees
+from tessera.operators.knn import MAX_POINTS, fit_neighbours
 
 
 class KNNClassifierModel(Model):
-    def __init__(self, train, cols, lo, span, k, weights, key, prediction_col):
+    def __init__(self, fitted, cols, lo, span, ks, weights, prediction_col):
         super().__init__()
-        self.train, self.cols, self.lo, self.span = train, cols, lo, span
-        self.k, self.weights, self.key, self.prediction_col = k, weights, key, prediction_col
+        self.fitted, self.cols, self.lo, self.span = fitted, list(cols), lo, span
+        self.ks, self.weights, self.prediction_col = list(ks), weights, prediction_col
 
-    def _scaled(self, df):
-        return df.withColumns({f"__s_{c}": F.least(F.greatest((F.col(c) - self.lo[c]) / self.span[c], F.lit(0.0)),
-                                                   F.lit(1.0)) for c in self.cols})
+    def _scaled(self):
+        return [(F.col(c) - self.lo[c]) / self.span[c] for c in self.cols]
+
+    def every_k(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with a struct of the predictions of each of ``ks``, from one search."""
+        return df.withColumn(name, self.fitted.predict(self.ks, self.weights, self._scaled()))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        from tessera.operators.knn import knn_classify
-        q = self._scaled(df)
-        pred = knn_classify(self.train, q, [f"__s_{c}" for c in self.cols], "label", self.key, k=self.k,
-                            weights=self.weights, out="__knn")
-        return (df.join(pred, self.key, "left")
-                .withColumn(self.prediction_col, F.col("__knn").cast("double")).drop("__knn"))
+        found = self.fitted.predict(self.ks[:1], self.weights, self._scaled())
+        return df.withColumn(self.prediction_col, found[f"k{self.ks[0]}"].cast("double"))
 
 
 class KNNClassifier(Estimator):
-    """k nearest neighbours (exact, ``operators.knn``) on min-max scaled
-    feature columns; ``key`` identifies rows to predict."""
+    """k nearest neighbours (exact, ``operators.knn``) on feature columns that are
+    min-max scaled by the labelled rows (others may lie outside [0, 1]).  ``ks``:
+    the first is the model's; ``every_k`` gives all."""
 
-    def __init__(self, cols=FEATURES, k: int = 5, weights: str = "uniform", key: str = "row_id",
-                 prediction_col: str = "prediction"):
+    def __init__(self, cols=FEATURES, ks: Sequence[int] = (5,), weights: str = "uniform", label_col: str = "label",
+                 prediction_col: str = "prediction", max_points: int = MAX_POINTS):
         super().__init__()
-        self.cols, self.k, self.weights, self.key, self.prediction_col = list(cols), k, weights, key, prediction_col
+        self.cols, self.ks, self.weights, self.label_col = list(cols), list(ks), weights, label_col
+        self.prediction_col, self.max_points = prediction_col, max_points
 
     def _fit(self, df: DataFrame) -> KNNClassifierModel:
-        data = df.filter(F.col("label").isNotNull())
+        data = df.filter(F.col(self.label_col).isNotNull())
         st = data.agg(*[F.min(c).alias(f"lo_{c}") for c in self.cols],
                       *[F.max(c).alias(f"hi_{c}") for c in self.cols]).first()
+        if st[0] is None:
+            raise ValueError("there are no labelled rows")
         lo = {c: float(st[f"lo_{c}"]) for c in self.cols}
         span = {c: (float(st[f"hi_{c}"]) - lo[c]) or 1.0 for c in self.cols}
-        model = KNNClassifierModel(None, self.cols, lo, span, self.k, self.weights, self.key, self.prediction_col)
-        model.train = model._scaled(data)
+        model = KNNClassifierModel(None, self.cols, lo, span, self.ks, self.weights, self.prediction_col)
+        scaled = data.select(*[x.alias(c) for c, x in zip(self.cols, model._scaled())], F.col(self.label_col).alias("label"))
+        model.fitted = fit_neighbours(scaled, self.cols, "label", self.max_points)
         return model
 
 
-def _logistic_cv():
-    lr = LogisticRegression(maxIter=50)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.1]).build()
-    return CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=3, seed=7,
-                          evaluator=MulticlassClassificationEvaluator(metricName="accuracy"))
-
-
-def _bernoulli_nb():
-    return Pipeline(stages=[
-        MinMaxScaler(inputCol="features", outputCol="__mm"),
-        Binarizer(threshold=0.0, inputCol="__mm", outputCol="__bin"),
-        NaiveBayes(modelType="bernoulli", featuresCol="__bin")])
-
-
-def _gaussian_nb():
-    return NaiveBayes(modelType="gaussian")
-
+#: Penalties of the tuned logistic regression (ten from 1e-4 to 1e4).
+LOGISTIC_C = [10.0 ** (-4 + 8 * i / 9) for i in range(10)]
 
 FACTORIES = {
-    "logistic": lambda: LogisticRegression(maxIter=50),
-    "logistic_cv": _logistic_cv,
-    "ridge": lambda: RidgeClassifier(),
-    "lda": lambda: DiscriminantAnalysis(FEATURES, kind="linear"),
-    "qda": lambda: DiscriminantAnalysis(FEATURES, kind="quadratic"),
-    "knn": lambda: KNNClassifier(k=5),
+    "logistic": lambda: LinearClassifier(FEATURES, C=1.0),
+    "logistic_cv": lambda: LinearClassifier(FEATURES, C=LOGISTIC_C),
+    "ridge": lambda: MomentClassifier(FEATURES, "ridge"),
+    "lda": lambda: MomentClassifier(FEATURES, "linear"),
+    "qda": lambda: MomentClassifier(FEATURES, "quadratic"),
+    "knn": lambda: KNNClassifier(),
     "tree": lambda: DecisionTreeClassifier(maxDepth=5, seed=7),
-    "gaussian_nb": _gaussian_nb,
-    "bernoulli_nb": _bernoulli_nb,
-    "linear_svm": lambda: LinearSVC(maxIter=50, regParam=0.01),
+    "extra_tree": lambda: ExtraTrees(FEATURES, n_trees=1, max_depth=8, min_leaf=1),
+    "gaussian_nb": lambda: MomentClassifier(FEATURES, "gaussian"),
+    "bernoulli_nb": lambda: MomentClassifier(FEATURES, "bernoulli"),
+    "linear_svm": lambda: LinearClassifier(FEATURES, HINGE, C=1.0),
     "rbf_svm": lambda: RBFSVM(FEATURES, C=1.0, n_components=100),
     "random_forest": lambda: RandomForestClassifier(numTrees=50, maxDepth=5, minInstancesPerNode=2, seed=7),
-    "extra_trees": lambda: RandomForestClassifier(numTrees=50, maxDepth=8, bootstrap=False,
-                                                  featureSubsetStrategy="sqrt", seed=7),
+    "tuned_forest": lambda: RandomForestClassifier(numTrees=100, maxDepth=7, minInstancesPerNode=6,
+                                                   featureSubsetStrategy="sqrt", impurity="gini", seed=7),
+    "extra_trees": lambda: ExtraTrees(FEATURES, n_trees=50, max_depth=5, min_leaf=3),
     "bagging": lambda: RandomForestClassifier(numTrees=10, maxDepth=8, featureSubsetStrategy="all",
                                               bootstrap=True, seed=7),
-    "gbt": lambda: GBTClassifier(maxIter=20, maxDepth=3, seed=7),
-    "adaboost": lambda: AdaBoostClassifier(n_estimators=10, learning_rate=0.75),
-    "boosted_meta": lambda: GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.1, subsamplingRate=0.8,
-                                          featureSubsetStrategy="0.8", minInfoGain=0.0, seed=7),
+    "gbt": lambda: Boosted(FEATURES, n_rounds=50, max_depth=3, learning_rate=0.1),
+    "adaboost": lambda: AdaBoost(FEATURES, n_estimators=50, learning_rate=0.95),
+    "boosted_meta": lambda: Boosted(FEATURES, n_rounds=20, max_depth=4, learning_rate=0.95, reg_lambda=1.0, gamma=1.0,
+                                    min_child_weight=2.0, subsample=0.8, colsample=0.8),
 }
 
 
-def make(name: str):
-    return FACTORIES[name]()
+def make(name: str, cols: Sequence[str] | None = None):
+    """The estimator called ``name``; the library's own read ``cols`` if given."""
+    made = FACTORIES[name]()
+    if cols is not None and hasattr(made, "cols"):
+        made.cols = list(cols)
+    return made

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.groups import group_stats, join_back
-from tessera.operators.ordering import row_number
+from tessera.operators.ordering import codes_of
 from tessera.session import keep
 
 UNKNOWN_ERROR = "error"
@@ -39,11 +39,11 @@ def label_encode_many(df: DataFrame, cols: Sequence[str], names: Mapping[str, st
     out = base
     for c in cols:
         name = (names or {}).get(c, f"{c}_code")
-        counted = group_stats(base.filter(F.col(c).isNotNull()), c)  # distinct values and their rows
-        codes = row_number(counted, [c], name="__rn").withColumn(name, (F.col("__rn") - 1).cast("int")).drop("__rn")
+        counted = keep(group_stats(base.filter(F.col(c).isNotNull()), c))  # distinct values and their rows
+        n = counted.count()
+        codes = codes_of(counted, c, name, n)
         if scaled:
-            last = counted.agg(F.count(F.lit(1)) - 1).first()[0]
-            codes = codes.withColumn(name, F.coalesce(F.try_divide(F.col(name).cast("double"), F.lit(float(last))),
+            codes = codes.withColumn(name, F.coalesce(F.try_divide(F.col(name).cast("double"), F.lit(float(n - 1))),
                                                       F.lit(0.0)))
         out = join_back(out, codes, c)
     return out

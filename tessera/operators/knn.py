@@ -1,14 +1,18 @@
-"""Exact k-nearest-neighbour classification as a grid join.
-
-Features are expected in [0, 1] (label-encoded then min-max scaled, as the
-reference does).  Labelled points are folded to distinct (features, label)
-with a multiplicity, so duplicates cost one row.  Each round uses a cell
-width ``h``: a query is joined only with points in its own and the adjacent
-cells (3^d cell ids per query, an equi-join - no cross product), which
-contain every point within distance ``h`` of it.  When the k-th nearest
-candidate is within ``h`` the answer is provably exact; otherwise the query
-moves to the next round with ``2h``.  Once ``h >= 1`` the adjacent cells cover
-the whole unit cube, so the last round is exact for everything left.
+"""Exact k-nearest-neighbour classification with a partition tree.
+
+Labelled points are folded to distinct (features, label) with a multiplicity and
+split at the median of their widest dimension until a cell has at most ``LEAF``
+points, so cells hold equally many points whatever their density; every node has
+the bounding box of its points.  The tree is broadcast: its size is bounded by
+``max_points`` labelled points, a documented parameter (beyond it the points with
+the smallest hashes are taken).
+
+Queries stay where they are.  Those of an Arrow batch are folded to distinct
+points and searched together: each looks into its own cell, which bounds the
+distance of its k-th neighbour, then goes down the tree to the cells whose box is
+within that bound and visits them nearest box first, until the next box is
+farther than the k-th neighbour found (equal distances are still visited).  No
+pair of a query and a point beyond such cells is ever formed.
 
 Order among equal distances: label ascending.  Vote: ``'distance'`` weights
 1/d, and if some neighbours are at distance 0 only they count (scikit-learn);
@@ -17,96 +21,200 @@ Order among equal distances: label ascending.  Vote: ``'distance'`` weights
 
 from __future__ import annotations
 
-import itertools
-import logging
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+#: Most points of a cell, most labelled points of a tree, queries searched together.
+LEAF, MAX_POINTS, QUERIES = 32, 1_000_000, 512
+
+
+class PartitionTree:
+    """Distinct points (rows of ``x``) with label codes and multiplicities."""
+
+    def __init__(self, x: np.ndarray, label: np.ndarray, count: np.ndarray, leaf: int = LEAF):
+        self.d = x.shape[1]
+        order = np.arange(len(x))
+        self.low, self.high, child, cells = [], [], [], []
+        waiting = [(0, len(x))] if len(x) else []
+        for start, end in waiting:  # grows while it is read: nodes in level order
+            mine = x[order[start:end]]
+            low, high = mine.min(axis=0), mine.max(axis=0)
+            self.low.append(low)
+            self.high.append(high)
+            if end - start <= leaf:
+                child.append((-1, len(cells)))
+                cells.append((start, end))
+                continue
+            half = (end - start) // 2
+            wide = int(np.argmax(high - low))
+            order[start:end] = order[start:end][np.argpartition(mine[:, wide], half)]
+            child.append((len(waiting), -1))
+            waiting += [(start, start + half), (start + half, end)]
+        self.low, self.high = np.array(self.low).reshape(-1, self.d), np.array(self.high).reshape(-1, self.d)
+        self.child, self.cell = np.array(child, np.int64).reshape(-1, 2).T
+        # cells of equal width: missing points are infinitely far
+        self.points = np.full((len(cells), leaf, self.d), np.inf)
+        self.label = np.zeros((len(cells), leaf), np.int64)
+        self.count = np.zeros((len(cells), leaf), np.int64)
+        for k, (start, end) in enumerate(cells):
+            mine = order[start:end]
+            self.points[k, :end - start] = x[mine]
+            self.label[k, :end - start] = label[mine]
+            self.count[k, :end - start] = count[mine]
+        self.visited = 0  # points compared, for measuring
+
+    def _box(self, q: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Squared distance of each query to the box of its node."""
+        out = np.zeros(len(q))
+        for f in range(self.d):
+            gap = np.maximum(np.maximum(self.low[node, f] - q[:, f], q[:, f] - self.high[node, f]), 0.0)
+            out += gap * gap
+        return out
+
+    def _home(self, q: np.ndarray) -> np.ndarray:
+        """The cell that each query comes to by the nearer child's box."""
+        node = np.zeros(len(q), np.int64)
+        while True:
+            inner = np.flatnonzero(self.child[node] >= 0)
+            if not inner.size:
+                return node
+            left = self.child[node[inner]]
+            node[inner] = left + (self._box(q[inner], left + 1) < self._box(q[inner], left))
+
+    def _visit(self, q: np.ndarray, rows: np.ndarray, node: np.ndarray, k: int, best, bound: np.ndarray) -> None:
+        """Merges the points of a cell each into the best of ``rows``."""
+        cell = self.cell[node]
+        square = np.zeros(self.label[cell].shape)
+        for f in range(self.d):
+            gap = q[rows, f][:, None] - self.points[cell, :, f]
+            square += gap * gap
+        self.visited += int((self.count[cell] > 0).sum())
+        square = np.concatenate([best[0][rows], square], axis=1)
+        label = np.concatenate([best[1][rows], self.label[cell]], axis=1)
+        count = np.concatenate([best[2][rows], self.count[cell]], axis=1)
+        order = np.lexsort((label, square), axis=1)[:, :k]
+        best[0][rows], best[1][rows], best[2][rows] = (np.take_along_axis(a, order, axis=1) for a in (square, label, count))
+        # the distance within which there are k points, copies counted
+        enough = best[2][rows].cumsum(axis=1) >= k
+        at = np.where(enough.any(axis=1), enough.argmax(axis=1), k - 1)
+        bound[rows] = best[0][rows, at]
 
-from tessera.session import cut_lineage
+    def nearest(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Squared distances, label codes and multiplicities of the ``k`` nearest
+        distinct points of each query, in (distance, label) order; fewer points
+        leave infinite distances with multiplicity 0."""
+        best = (np.full((len(q), k), np.inf), np.zeros((len(q), k), np.int64), np.zeros((len(q), k), np.int64))
+        if not len(self.points) or not len(q):
+            return best
+        bound = np.full(len(q), np.inf)
+        home = self._home(q)
+        self._visit(q, np.arange(len(q)), home, k, best, bound)
+        rows, node = np.arange(len(q)), np.zeros(len(q), np.int64)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        while rows.size:
+            box = self._box(q[rows], node)
+            near = box <= bound[rows]
+            rows, node, box = rows[near], node[near], box[near]
+            leaf = self.child[node] < 0
+            other = leaf & (node != home[rows])
+            found.append((rows[other], node[other], box[other]))
+            rows, node = np.repeat(rows[~leaf], 2), np.repeat(self.child[node[~leaf]], 2)
+            node[1::2] += 1
+        rows, node, box = (np.concatenate(a) for a in zip(*found))
+        order = np.lexsort((box, rows))
+        rows, node, box = rows[order], node[order], box[order]
+        first = np.searchsorted(rows, np.arange(len(q)))
+        turn = np.arange(rows.size) - first[rows]
+        by_turn = np.argsort(turn, kind="stable")
+        ends = np.cumsum(np.bincount(turn)) if rows.size else []
+        start = 0
+        for end in ends:
+            at = by_turn[start:end]
+            at = at[box[at] <= bound[rows[at]]]
+            if not at.size:  # boxes only get farther
+                break
+            self._visit(q, rows[at], node[at], k, best, bound)
+            start = end
+        return best
 
-log = logging.getLogger(__name__)
+    def votes(self, near, k: int, weights: str, n_labels: int) -> np.ndarray:
+        """The label code that the ``k`` nearest of each query choose."""
+        square, label, count = near
+        take = np.clip(k - (count.cumsum(axis=1) - count), 0, count)
+        if weights == "distance":
+            zero = ((square == 0) & (take > 0)).any(axis=1)
+            with np.errstate(divide="ignore"):
+                weight = np.where(zero[:, None], (square == 0).astype(float), 1.0 / np.sqrt(square))
+            weight = np.where(take > 0, weight, 0.0) * take
+        else:
+            weight = take.astype(float)
+        total = np.zeros((len(square), n_labels))
+        for j in range(square.shape[1]):
+            total[np.arange(len(square)), label[:, j]] += weight[:, j]
+        return total.argmax(axis=1)
 
 
-def _offsets(spark, d: int) -> DataFrame:
-    rows = list(itertools.product([-1, 0, 1], repeat=d))
-    return spark.createDataFrame(rows, ", ".join(f"__o{i} int" for i in range(d)))
+class Neighbours:
+    """A fitted tree; ``predict`` gives columns for any rows."""
+
+    def __init__(self, tree, labels: list, label_type: T.DataType, features: Sequence[str]):
+        self.tree, self.labels, self.label_type, self.features = tree, labels, label_type, list(features)
+
+    def predict(self, ks: Sequence[int], weights: str = "uniform", features: Sequence[Column] | None = None) -> Column:
+        """A struct with a field ``k<k>`` for each of ``ks``: the label that the
+        k nearest choose; null where a feature is null.  One search of the largest
+        k serves all."""
+        schema = T.StructType([T.StructField(f"k{k}", self.label_type) for k in ks])
+        fields = [pa.field(f.name, to_arrow_type(f.dataType)) for f in schema.fields]
+        tree, labels, most, d = self.tree, pa.array(self.labels, fields[0].type), max(ks), len(self.features)
+
+        @F.arrow_udf(schema)
+        def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            searched = tree.value
+            for batch in batches:
+                x = batch.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+                known = ~np.isnan(x).any(axis=1) & (len(labels) > 0)
+                points, back = np.unique(x[known], axis=0, return_inverse=True)
+                chosen = np.zeros((len(points), len(ks)), np.int64)
+                for at in range(0, len(points), QUERIES):
+                    near = searched.nearest(points[at:at + QUERIES], most)
+                    for j, k in enumerate(ks):
+                        chosen[at:at + QUERIES, j] = searched.votes(near, k, weights, len(labels))
+                code = np.zeros((len(x), len(ks)), np.int64)
+                code[known] = chosen[back.ravel()]
+                yield pa.StructArray.from_arrays(
+                    [labels.take(pa.array(code[:, j], mask=~known)) for j in range(len(ks))], fields=fields)
+
+        columns = features or [F.col(f) for f in self.features]
+        return look_up(F.array(*[c.cast("double") for c in columns]))
+
+
+def fit_neighbours(train: DataFrame, features: Sequence[str], label: str, max_points: int = MAX_POINTS) -> Neighbours:
+    """The partition tree of the labelled rows without a null feature."""
+    features = list(features)
+    known = F.col(label).isNotNull()
+    for f in features:
+        known = known & F.col(f).isNotNull()
+    points = (train.where(known).groupBy(*[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)],
+                                         F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n")))
+    spread = F.xxhash64(*[f"x{i}" for i in range(len(features))], "label")
+    got = points.orderBy(spread, *points.columns).limit(max_points).toPandas()
+    labels = sorted(got["label"].unique().tolist())
+    code = {v: i for i, v in enumerate(labels)}
+    tree = PartitionTree(got[[f"x{i}" for i in range(len(features))]].to_numpy(float),
+                         got["label"].map(code).to_numpy(np.int64), got["n"].to_numpy(np.int64))
+    return Neighbours(train.sparkSession.sparkContext.broadcast(tree), labels, train.schema[label].dataType, features)
 
 
 def knn_classify(train: DataFrame, query: DataFrame, features: Sequence[str], label: str,
                  qid: str, k: int = 3, weights: str = "distance",
-                 out: str = "prediction", max_grid_dims: int = 3) -> DataFrame:
-    """(qid, out) for every query row.
-
-    With more than ``max_grid_dims`` features the grid is laid over the
-    ``max_grid_dims`` highest-variance ones only (3^m neighbour cells per
-    query instead of 3^d); distances still use every feature.  Exactness is
-    kept: a point within full distance h is within h on any subset of the
-    coordinates, so it is in a neighbouring cell."""
-    spark = train.sparkSession
-    features = list(features)
-    # both sides are read in every round: write them once to the checkpoint
-    # folder, so each round plans over a plain scan, not the upstream lineage
-    pts = cut_lineage(train.filter(F.col(label).isNotNull())
-                      .groupBy(*features, label).agg(F.count(F.lit(1)).alias("__c")))
-    n = max(pts.count(), 1)
-    if len(features) > max_grid_dims:
-        var = pts.agg(*[F.var_pop(f).alias(f) for f in features]).first()
-        grid_feats = sorted(features, key=lambda f: -(var[f] or 0.0))[:max_grid_dims]
-    else:
-        grid_feats = features
-    d = len(grid_feats)
-    # expected k-th neighbour distance scales with the full dimension
-    h = min(1.0, (k / n) ** (1.0 / len(features)) * 2)
-    pending = cut_lineage(query.select(qid, *[F.col(f).alias(f"__q_{f}") for f in features]))
-    offs = F.broadcast(_offsets(spark, d))  # 3^d rows
-    taken_parts = []
-    rounds = 0
-    while True:
-        final = h >= 1.0
-        grid = pts.withColumns({f"__g{i}": F.floor(F.col(f) / h).cast("bigint") for i, f in enumerate(grid_feats)})
-        probe = pending.crossJoin(offs).withColumns({
-            f"__g{i}": (F.floor(F.col(f"__q_{f}") / h) + F.col(f"__o{i}")).cast("bigint")
-            for i, f in enumerate(grid_feats)})
-        cand = probe.join(grid, [f"__g{i}" for i in range(d)])
-        dist2 = None
-        for f in features:
-            diff = F.col(f"__q_{f}") - F.col(f)
-            dist2 = diff * diff if dist2 is None else dist2 + diff * diff
-        w = Window.partitionBy(qid).orderBy("__d2", label).rowsBetween(Window.unboundedPreceding, 0)
-        ranked = (cand.select(qid, label, "__c", dist2.alias("__d2"))
-                  .withColumn("__cum", F.sum("__c").over(w)))
-        taken = (ranked.withColumn("__prev", F.col("__cum") - F.col("__c"))
-                 .filter(F.col("__prev") < k)
-                 .withColumn("__take", F.least(F.col("__c"), F.lit(k) - F.col("__prev")))
-                 .select(qid, label, "__d2", "__take"))
-        taken = cut_lineage(taken)
-        status = taken.groupBy(qid).agg(F.sum("__take").alias("__got"), F.max("__d2").alias("__dk"))
-        done = status if final else status.filter((F.col("__got") >= k) & (F.col("__dk") <= h * h))
-        done = cut_lineage(done.select(qid))
-        taken_parts.append(taken.join(done, qid, "left_semi"))
-        if final:
-            break
-        pending = cut_lineage(pending.join(done, qid, "left_anti"))
-        left = pending.count()
-        log.debug("knn round %d: h=%.4f, %d queries left", rounds, h, left)
-        if left == 0:
-            break
-        h = min(1.0, h * 2)
-        rounds += 1
-
-    taken = taken_parts[0]
-    for t in taken_parts[1:]:
-        taken = taken.unionByName(t)
-    if weights == "distance":
-        has_zero = F.max((F.col("__d2") == 0).cast("int")).over(Window.partitionBy(qid))
-        wt = F.when(has_zero == 1, F.when(F.col("__d2") == 0, 1.0).otherwise(0.0)).otherwise(
-            1.0 / F.sqrt(F.col("__d2")))
-    else:
-        wt = F.lit(1.0)
-    votes = (taken.withColumn("__w", wt * F.col("__take"))
-             .groupBy(qid, label).agg(F.sum("__w").alias("__v")))
-    best = Window.partitionBy(qid).orderBy(F.col("__v").desc(), F.col(label))
-    return (votes.withColumn("__r", F.row_number().over(best)).filter(F.col("__r") == 1)
-            .select(qid, F.col(label).alias(out)))
+                 out: str = "prediction", max_points: int = MAX_POINTS) -> DataFrame:
+    """(qid, out) for every query row."""
+    fitted = fit_neighbours(train, features, label, max_points)
+    return query.select(qid, fitted.predict([k], weights)[f"k{k}"].alias(out))

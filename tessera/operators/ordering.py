@@ -8,9 +8,9 @@ shifted by the totals of the key's earlier ranges.  Null keys are a key like
 any other.  There is one path, whatever the size, so results cannot depend on
 it.
 
-On top of it: row numbers, exact percentiles (linear interpolation, as pandas /
-Spark ``percentile``) globally or per group, contiguous ``ntile`` folds and
-dense ranks of distinct values (label encoding).
+On top of it: row numbers and contiguous ``ntile`` folds.  Exact percentiles (linear
+interpolation, as pandas / Spark ``percentile``), globally or per group, need no
+order of the rows: they are selected between brackets (``exact_percentiles``).
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.groups import ROWS, join_back
 from tessera.session import cut_lineage
 
 _PID = "__rk_pid"
@@ -80,11 +81,13 @@ def ntile(df: DataFrame, k: int, order_cols: Sequence[str], part_cols: Sequence[
     """0-based SQL ``ntile(k) - 1`` over (part) order: the first n % k tiles
     hold one row more."""
     numbered = row_number(df, order_cols, part_cols, "__nt_rn")
-    sizes = df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("__nt_n"))
     if part_cols:
-        numbered = join_null_safe(numbered, sizes, list(part_cols))
+        # rows of one class may be most of all: its size reaches them by a salted join
+        key = F.struct(*[F.col(c) for c in part_cols])
+        sizes = df.groupBy(key.alias(_KEY)).agg(F.count(F.lit(1)).alias("__nt_n")).withColumn(ROWS, F.col("__nt_n"))
+        numbered = join_back(numbered.withColumn(_KEY, key), sizes, _KEY, salt_by=order_cols).drop(_KEY)
     else:
-        numbered = numbered.crossJoin(F.broadcast(sizes))  # one row
+        numbered = numbered.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("__nt_n"))))  # one row
     r = F.col("__nt_rn") - 1
     q = F.floor(F.col("__nt_n") / k)
     rem = F.col("__nt_n") - q * k
@@ -93,44 +96,100 @@ def ntile(df: DataFrame, k: int, order_cols: Sequence[str], part_cols: Sequence[
     return numbered.withColumn(name, tile.cast("int")).drop("__nt_rn", "__nt_n")
 
 
-def dense_codes(df: DataFrame, col: str, name: str | None = None,
-                part_cols: Sequence[str] = ()) -> DataFrame:
-    """Table (part..., col, code): 0-based position of each distinct non-null
-    value in sorted order (scikit-learn LabelEncoder)."""
-    distinct = df.select(*part_cols, col).filter(F.col(col).isNotNull()).distinct()
-    ranked = row_number(distinct, [col], part_cols, "__dc_rn")
-    return ranked.withColumn(name or f"{col}_code", (F.col("__dc_rn") - 1).cast("int")).drop("__dc_rn")
+#: Rank error of the sketch is n / ACCURACY; groups of at most SMALL rows are folded
+#: whole, and at most FEW sorted values or groups are handled as small tables.
+ACCURACY, SMALL, FEW = 10_000, 40_000, 100_000
+_KEY, _V, _C = "__ep_k", "__ep_v", "__ep_c"
+
+
+def _bracket_columns(probs: Sequence[float]) -> list:
+    """Aggregates that give for each probability two values between which its order
+    statistics lie: quantiles of a mergeable sketch, wider by three times its rank
+    error; the least and largest value for a small group."""
+    margin = 3.0 / ACCURACY
+    asked = [min(max(p + side * margin, 0.0), 1.0) for p in probs for side in (-1, 1)]
+    return [F.min(_V).alias("__ep_min"), F.max(_V).alias("__ep_max"), F.count(F.lit(1)).alias(ROWS),
+            F.percentile_approx(_V, asked, ACCURACY).alias("__ep_q")]
+
+
+def _bracket(i: int, p: float):
+    """The two values of the i-th probability as columns."""
+    small = F.col(ROWS) <= SMALL
+    margin = 3.0 / ACCURACY
+    low = F.col("__ep_min") if p <= margin else F.when(small, F.col("__ep_min")).otherwise(F.col("__ep_q")[2 * i])
+    high = F.col("__ep_max") if p >= 1 - margin else F.when(small, F.col("__ep_max")).otherwise(F.col("__ep_q")[2 * i + 1])
+    return low.alias(f"__ep_lo{i}"), high.alias(f"__ep_hi{i}")
 
 
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
                       by: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
     """Exact linear-interpolation percentiles of ``value`` (nulls ignored),
-    one row per ``by`` key (one row in total when ``by`` is empty).
-
-    Values are folded to (key, value, count) with map-side combining, ranked
-    with ``cumulative_rank`` across many tasks, and the two order statistics
-    around each position are picked by an aggregate; no task holds a whole
-    group."""
+    one row per ``by`` key (one row in total when ``by`` is empty; a null key is a
+    key).
+
+    A first pass brackets each order statistic with a mergeable sketch.  A second
+    one counts: values inside a bracket keep their value, all others fall into the
+    gap between two brackets, so map-side sums leave few rows, from which running
+    counts pick the exact values.  Nothing is sorted but these.  Rows of a hot key
+    are counted where they are; the brackets reach them by a salted join."""
     by = list(by)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
-    vals = df.select(*by, F.col(value).cast("double").alias("__ep_v")).filter(F.col("__ep_v").isNotNull())
-    counts = vals.groupBy(*by, "__ep_v").agg(F.count(F.lit(1)).alias("__ep_c"))
-    ranked = cumulative_rank(counts, ["__ep_v"], by, "__ep_c", "__ep_cum")
-    sizes = ranked.groupBy(*by).agg(F.max("__ep_cum").alias("__ep_n"))
-    sized = join_null_safe(ranked, sizes, by) if by else ranked.crossJoin(F.broadcast(sizes))  # one row
-    prev = F.col("__ep_cum") - F.col("__ep_c")
+    v = F.col(value).cast("double").alias(_V)
+    key = [F.struct(*[F.col(c) for c in by]).alias(_KEY)] if by else []
+    vals = df.select(*key, v).filter(F.col(_V).isNotNull())
+    ends = [c for i, p in enumerate(probs) for c in _bracket(i, p)]
+    if by:
+        stats = group_stats_of(vals, probs).select(_KEY, ROWS, *ends)
+        rows = join_back(vals, stats, _KEY)
+        low, high = ([F.col(f"__ep_{side}{i}") for i in range(len(probs))] for side in ("lo", "hi"))
+    else:
+        found = vals.agg(*_bracket_columns(probs)).select(ROWS, *ends).first()  # one row
+        rows = vals.withColumn(_KEY, F.lit(0))
+        low, high = ([F.lit(found[f"__ep_{side}{i}"]).cast("double") for i in range(len(probs))] for side in ("lo", "hi"))
+    picked = _picked(rows, low, high, probs)
+    outs = [(F.col(f"__lo{i}") + F.col(f"__fr{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(nm)
+            for i, nm in enumerate(names)]
+    return picked.select(*[F.col(f"{_KEY}.{c}").alias(c) for c in by], *outs)
+
+
+def group_stats_of(vals: DataFrame, probs: Sequence[float]) -> DataFrame:
+    return vals.groupBy(_KEY).agg(*_bracket_columns(probs))
+
+
+def _picked(rows: DataFrame, low: list, high: list, probs: Sequence[float]) -> DataFrame:
+    """Per key the two order statistics around each probability and the share
+    between them."""
+    inside = F.lit(False)
+    for a, b in zip(low, high):
+        inside = inside | ((F.col(_V) >= a) & (F.col(_V) <= b))
+    below = [F.when(b < F.col(_V), b) for b in high]
+    # a value in no bracket stands after the last bracket below it (null: before all)
+    at = F.when(inside, F.col(_V)).otherwise(F.greatest(*below) if len(below) > 1 else below[0])
+    folded = (rows.select(_KEY, at.alias("__ep_at"), (~inside).alias("__ep_gap"))
+              .groupBy(_KEY, "__ep_at", "__ep_gap").agg(F.count(F.lit(1)).alias(_C)))
+    order = Window.partitionBy(_KEY).orderBy("__ep_at", "__ep_gap")
+    run = folded.withColumn("__ep_cum", F.sum(_C).over(order.rowsBetween(Window.unboundedPreceding, 0))) \
+                .withColumn("__ep_n", F.sum(_C).over(Window.partitionBy(_KEY)))
+    prev, cum = F.col("__ep_cum") - F.col(_C), F.col("__ep_cum")
+    missed = F.raise_error(F.lit("an order statistic lies outside its bracket")).cast("double")
+    here = F.when(F.col("__ep_gap"), missed).otherwise(F.col("__ep_at"))
     aggs = []
     for i, p in enumerate(probs):
         h = (F.col("__ep_n") - 1) * F.lit(float(p))
         lo, hi = F.floor(h), F.ceil(h)
-        aggs += [F.max(F.when((prev <= lo) & (lo < F.col("__ep_cum")), F.col("__ep_v"))).alias(f"__lo{i}"),
-                 F.max(F.when((prev <= hi) & (hi < F.col("__ep_cum")), F.col("__ep_v"))).alias(f"__hi{i}"),
+        aggs += [F.max(F.when((prev <= lo) & (lo < cum), here)).alias(f"__lo{i}"),
+                 F.max(F.when((prev <= hi) & (hi < cum), here)).alias(f"__hi{i}"),
                  F.max(h - lo).alias(f"__fr{i}")]
-    picked = sized.groupBy(*by).agg(*aggs)
-    outs = [(F.col(f"__lo{i}") + F.col(f"__fr{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(nm)
-            for i, nm in enumerate(names)]
-    return picked.select(*by, *outs)
+    return run.groupBy(_KEY).agg(*aggs)
 
 
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
     return exact_percentiles(df, value, [0.5], by, [name])
+
+
+def codes_of(distinct: DataFrame, col: str, name: str, n: int) -> DataFrame:
+    """``distinct`` (``n`` rows, one per value) plus the 0-based position of each
+    value in sorted order."""
+    if n <= FEW:  # a small table: sorted in one task
+        return distinct.withColumn(name, (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
+    return row_number(distinct, [col], name="__dc_rn").withColumn(name, (F.col("__dc_rn") - 1).cast("int")).drop("__dc_rn")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.nulls import rate
@@ -44,12 +44,30 @@ def cutoff_sweep(df: DataFrame, cutoffs: Iterable[int], age: str = "age", sex: s
     """For each age cutoff: role (Child if age <= cutoff, else Woman/Man by
     sex) and the labelled rate per role -> (cutoff, role, rate).
 
-    Rows are folded to (age, sex) label sums first, so the sweep multiplies a
-    table of a few hundred rows by the cutoffs, not the data."""
+    A difference array: each row falls to the smallest cutoff that covers its age
+    (none: after the last), so rows fold to (cutoff, sex) whatever the number of
+    distinct ages; running sums over the cutoffs give the children of each, and
+    what lies beyond it the women and men.  A role that has no row at a cutoff is
+    left out there, as a group without rows is."""
     spark = df.sparkSession
-    folded = df.groupBy(age, sex).agg(F.sum(label).alias("s"), F.count(label).alias("c"))
-    cuts = spark.createDataFrame([(int(c),) for c in cutoffs], "cutoff int")
-    role = (F.when(F.col(age) <= F.col("cutoff"), "Child")
-            .when(F.col(sex) == "female", "Woman").otherwise("Man"))
-    swept = folded.crossJoin(F.broadcast(cuts)).withColumn("role", role)
-    return swept.groupBy("cutoff", "role").agg(F.round(rate(F.sum("s"), F.sum("c")), 6).alias("rate"))
+    cuts = sorted({int(c) for c in cutoffs})
+    first = F.lit(len(cuts))
+    for i in range(len(cuts) - 1, -1, -1):
+        first = F.when(F.col(age) <= cuts[i], F.lit(i)).otherwise(first)
+    female = F.coalesce(F.col(sex) == "female", F.lit(False))
+    folded = df.groupBy(first.alias("i"), female.alias("f")).agg(
+        F.sum(label).alias("s"), F.count(label).alias("c"), F.count(F.lit(1)).alias("n"))
+    # at most twice as many rows as cutoffs from here on
+    slots = spark.createDataFrame([(i, f, c) for i, c in enumerate([*cuts, None]) for f in (False, True)],
+                                  "i int, f boolean, cutoff int")
+    full = slots.join(folded, ["i", "f"], "left").fillna(0, ["s", "c", "n"])
+    upto = Window.partitionBy("f").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    beyond = Window.partitionBy("f").orderBy("i").rowsBetween(1, Window.unboundedFollowing)
+    runs = full.select("cutoff", "f", *[F.sum(x).over(w).alias(f"{x}_{side}") for x in ("s", "c", "n")
+                                        for side, w in (("upto", upto), ("beyond", beyond))]).filter(F.col("cutoff").isNotNull())
+    parts = runs.select("cutoff", F.explode(F.array(
+        F.struct(F.lit("Child").alias("role"), *[F.col(f"{x}_upto").alias(x) for x in "scn"]),
+        F.struct(F.when(F.col("f"), "Woman").otherwise("Man").alias("role"), *[F.col(f"{x}_beyond").alias(x) for x in "scn"]),
+    )).alias("p")).select("cutoff", "p.*")
+    return (parts.groupBy("cutoff", "role").agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.sum("n").alias("n"))
+            .filter(F.col("n") > 0).select("cutoff", "role", F.round(rate(F.col("s"), F.col("c")), 6).alias("rate")))

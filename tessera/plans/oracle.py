@@ -18,9 +18,9 @@ def sql(name: str, body: str, manifest: bool = True) -> None:
     body = body.strip()
     if manifest:
         if body.upper().startswith("SELECT"):
-            text = f"WITH {MANIFEST_CTE}\n{body}"
+            text = f"WITH RECURSIVE {MANIFEST_CTE}\n{body}"
         else:
-            text = f"WITH {MANIFEST_CTE},\n{body}"
+            text = f"WITH RECURSIVE {MANIFEST_CTE},\n{body}"
     else:
         text = body
     if name in ORACLE:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tessera.functions import strings as S
 from tessera.operators import encode as E
 from tessera.operators import roles as RL
-from tessera.operators.groups import broadcast_to_rows
 from tessera.operators.preprocess import num_cat_pipeline
-from tessera.operators.target_rate import target_rate_encode
+from tessera.operators.joins import lookup_with_default
+from tessera.operators.target_rate import key_rates, target_rate_encode
 from tessera.plans.catalog import query
 from tessera.sources.manifest import manifest
 from tessera.session import keep
@@ -88,15 +88,17 @@ def q_encode_given_categories(spark, sf):
 
 
 def _target_rates(spark, sf):
-    # only the needed columns (a persisted frame is not pruned below the cache)
-    m = _m(spark, sf).select("row_id", "split", "label", "ticket", S.surname_clean("name").alias("family"),
-                             (F.col("sibs") + F.col("parch") + 1).alias("family_size"))
-    # group size on each row (skew-safe join back); read by both encodings and
-    # both parts: keep it (spilling to disk)
-    m = keep(broadcast_to_rows(m, "ticket", ticket_freq=F.count(F.lit(1))))
+    # only the needed columns (a persisted frame is not pruned below the cache); read
+    # by both folds: keep it (spilling to disk)
+    m = keep(_m(spark, sf).select("row_id", "split", "label", "ticket", S.surname_clean("name").alias("family"),
+                                  (F.col("sibs") + F.col("parch") + 1).alias("family_size")))
     is_train = F.col("split") == "train"
-    m = target_rate_encode(m, is_train, "family", "label", "family_size", "family_rate", "family_hit")
-    return target_rate_encode(m, is_train, "ticket", "label", "ticket_freq", "ticket_rate", "ticket_hit")
+    out = target_rate_encode(m, is_train, "family", "label", "family_size", "family_rate", "family_hit")
+    # the size of a ticket is its number of rows; its fold reads the kept rows, too
+    mean = m.filter(is_train).agg(F.avg("label").alias("__mean"))
+    table = key_rates(m, is_train, "ticket", "label", None)
+    return lookup_with_default(out.crossJoin(F.broadcast(mean)), table, "ticket", "__rate",  # one row
+                               F.col("__mean"), "ticket_rate", "ticket_hit").drop("__mean")
 
 
 @query("target_rate_encode")

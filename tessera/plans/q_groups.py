@@ -11,7 +11,7 @@ from tessera.functions.nulls import rate
 from tessera.operators import impute as I
 from tessera.operators import reshape as RS
 from tessera.operators.aggregate import mode_table, top_n_per_group
-from tessera.operators.groups import broadcast_to_rows
+from tessera.operators.groups import broadcast_to_rows, group_stats, join_back
 from tessera.operators.joins import lookup_with_default
 from tessera.operators.ordering import exact_median, exact_percentiles
 from tessera.plans.catalog import query
@@ -255,10 +255,11 @@ def q_join_agg_back_left(spark, sf):
 @query("join_lookup_default")
 def q_join_lookup_default(spark, sf):
     m = _m(spark, sf)
-    t = _train(spark, sf)
-    table = (t.groupBy("ticket").agg(F.avg("label").alias("r"), F.count("label").alias("n"))
-             .filter(F.col("n") >= 2))
-    mean = t.agg(F.avg("label").alias("__mean"))
+    train = F.col("split") == "train"
+    # one fold of all rows: rates of the train part, and the row counts that salting needs
+    table = group_stats(m.filter(F.col("ticket").isNotNull()), "ticket", F.avg(F.when(train, F.col("label"))).alias("r"),
+                        F.count(F.when(train, F.col("label"))).alias("n")).filter(F.col("n") >= 2)
+    mean = m.filter(train).agg(F.avg("label").alias("__mean"))
     out = lookup_with_default(m.crossJoin(F.broadcast(mean)), table, "ticket", "r", F.col("__mean"),
                               "ticket_rate", "ticket_hit")
     return out.select("row_id", R("ticket_rate").alias("ticket_rate"), "ticket_hit")
@@ -267,9 +268,11 @@ def q_join_lookup_default(spark, sf):
 @query("join_semi")
 def q_join_semi(spark, sf):
     m = _m(spark, sf)
-    # deduplicate the key side first: a hot key becomes one row before the shuffle
-    test = m.filter(F.col("split") == "test").select("ticket").distinct()
-    return m.filter(F.col("split") == "train").join(test, "ticket", "left_semi").select("row_id")
+    # one fold by key; member rows of a hot ticket are salted
+    table = group_stats(m.filter(F.col("ticket").isNotNull()), "ticket",
+                        F.count(F.when(F.col("split") == "test", 1)).alias("n_test")).filter(F.col("n_test") > 0)
+    return join_back(m.filter(F.col("split") == "train").select("row_id", "ticket"), table, "ticket", how="inner",
+                     salt_by=["row_id"]).select("row_id")
 
 
 # ---- 2.10 sort ---------------------------------------------------------------------------
