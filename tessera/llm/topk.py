@@ -18,6 +18,8 @@ more than a block of each; the k best of every block are merged per query.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -26,11 +28,13 @@ from pyspark.sql import functions as F
 from tessera.session import cut_lineage
 
 #: Rows of a block of candidates and of a block of queries.
-BLOCK_ROWS, BLOCK_QUERIES = 16_384, 4_096
+BLOCK_ROWS, BLOCK_QUERIES = 16_384, 1_024
+#: Most tasks in which pairs of blocks are searched.
+MOST_TASKS = 20_000
 #: Quantised magnitudes of a dimension.
 LEVELS = 256
 #: Shares of the postings that each wave is to have processed (the last: all).
-WAVES = (0.15, 0.35, 0.5, 0.62, 0.74, 0.86)
+WAVES = (0.5, 0.6, 0.68, 0.76, 0.84, 0.92)
 #: Rows left by a proof, as a share of the block, that are few enough to score.
 FEW = 1 / 64
 
@@ -47,7 +51,7 @@ class ImpactIndex:
         level = size // self.step
         top = int(level.max(initial=0))
         kind = np.uint16 if top < 1 << 16 else np.int64
-        self.order = np.argsort((top - level).astype(kind), axis=0, kind="stable").T.astype(np.int32)
+        self.order = np.ascontiguousarray(np.argsort((top - level).astype(kind), axis=0, kind="stable").T)
         signed = np.sign(x) * level * self.step
         self.value = np.ascontiguousarray(np.take_along_axis(signed.T, self.order, axis=1)).astype(np.float64)
         # postings of dimension d with a level of at least v: reach[d, v]
@@ -55,6 +59,8 @@ class ImpactIndex:
         np.add.at(held, (np.repeat(np.arange(dims)[None], rows, 0).ravel(), level.ravel()), 1)
         self.reach = np.ascontiguousarray(held[:, ::-1].cumsum(axis=1)[:, ::-1])
         self.top = top
+        # where postings are put together for adding them up
+        self.docs, self.parts = np.empty(x.size, np.int64), np.empty(x.size, np.float64)
 
     def _reached(self, weight: np.ndarray, dims: np.ndarray, limit: float) -> np.ndarray:
         """Postings of each dimension with an impact above ``limit``."""
@@ -80,15 +86,30 @@ class ImpactIndex:
         weight = size * self.step[dims]
         # of magnitudes to their segment's and, for very large ones, of floating point
         rounding = float((size * (self.step[dims] - 1)).sum() + 1e-12 * weight.sum() * self.top)
+        # sums of impacts and how many dimensions a row has met, added up as one number
+        # where it is exact: met * unit + sum
+        reach = float(weight.sum()) * self.top
+        unit = 2.0 ** math.ceil(math.log2(2 * reach + 2))
+        together = unit * (dims.size + 1) < 2.0 ** 53
         total, met = np.zeros(rows), np.zeros(rows)
         before = np.zeros(dims.size, np.int64)
         left = np.arange(rows)
         for limit in self._limits(weight, dims):
             upto = self._reached(weight, dims, limit)
-            spans = [(d, s, e, w) for d, s, e, w in zip(dims.tolist(), before.tolist(), upto.tolist(), q[dims].tolist()) if e > s]
-            if spans:
-                docs = np.concatenate([self.order[d, s:e] for d, s, e, _ in spans])
-                total += np.bincount(docs, np.concatenate([self.value[d, s:e] * w for d, s, e, w in spans]), rows)
+            n = 0
+            for d, s, e, w in zip(dims.tolist(), before.tolist(), upto.tolist(), q[dims].tolist()):
+                self.docs[n:n + e - s] = self.order[d, s:e]
+                np.multiply(self.value[d, s:e], w, out=self.parts[n:n + e - s])
+                n += e - s
+            docs, parts = self.docs[:n], self.parts[:n]
+            if together:
+                parts += unit
+                found = np.bincount(docs, parts, rows)
+                times = np.rint(found / unit)
+                total += found - times * unit
+                met += times
+            else:
+                total += np.bincount(docs, parts, rows)
                 met += np.bincount(docs, minlength=rows)
             before = upto
             slack = (dims.size - met) * limit + rounding
@@ -209,6 +230,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_
     sent = asked.select("__q", "__id", "__v", F.pmod(deal, F.lit(groups)).alias("__group"),
                         F.explode(_numbers(parts)).alias("__part"))
     keys = ["__part", "__group"]
+    # as many tasks as pairs of blocks: their work follows rows, not bytes
+    pairs = min(parts * groups, MOST_TASKS)
+    found, sent = found.repartition(pairs, *keys), sent.repartition(pairs, *keys)
     best = (found.groupBy(*keys).cogroup(sent.groupBy(*keys))
             .applyInArrow(_search(k), "__q bigint, vec_id bigint, score bigint, __n bigint"))
     order = Window.partitionBy("__q").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
