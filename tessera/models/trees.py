@@ -297,15 +297,13 @@ class Boosted(_Forest):
         shown = 0  # rounds whose trees the running scores hold
         for r in range(self.n_rounds):
             columns = self._columns(r)
-            for level in range(self.max_depth + 1):
+            for level in range(self.max_depth):
                 nodes, first = 2 ** level, 2 ** level - 1
-                last = level == self.max_depth
                 # the trees since the scores were brought up to date, and the one that grows
                 recent = [(g.feature[shown:r + 1], g.threshold[shown:r + 1], g.value[shown:r + 1]) for g in grown]
 
-                def of_block(block: _Running, level=level, nodes=nodes, first=first, recent=recent, r=r, shown=shown, last=last):
-                    width_here = 1 if last else width
-                    out = np.zeros((3, m, nodes, 1 if last else d, width_here))
+                def of_block(block: _Running, level=level, nodes=nodes, first=first, recent=recent, r=r, shown=shown):
+                    out = np.zeros((3, m, nodes, d, width))
                     drawn = draw(block.key, self.seed, r) < self.subsample if self.subsample < 1 else None
                     counted = outside(block)
                     for i in range(m):
@@ -318,35 +316,40 @@ class Boosted(_Forest):
                         p = 1.0 / (1.0 + np.exp(-score[rows]))
                         g, h = p - block.y[rows], p * (1 - p)
                         node = part.nodes(block.x[rows], level, np.array([r - shown]))[:, 0] - first
-                        for f in range(1 if last else d):
-                            at = node if last else node * width + block.codes[rows, f]
-                            size = nodes * width_here
-                            out[0, i, :, f] += np.bincount(at, g, size).reshape(nodes, width_here)
-                            out[1, i, :, f] += np.bincount(at, h, size).reshape(nodes, width_here)
-                            out[2, i, :, f] += np.bincount(at, minlength=size).reshape(nodes, width_here)
+                        for f in range(d):
+                            at = node * width + block.codes[rows, f]
+                            size = nodes * width
+                            out[0, i, :, f] += np.bincount(at, g, size).reshape(nodes, width)
+                            out[1, i, :, f] += np.bincount(at, h, size).reshape(nodes, width)
+                            out[2, i, :, f] += np.bincount(at, minlength=size).reshape(nodes, width)
                     return [out]
 
                 sums = total(running, of_block)[0]
                 whole = sums[:, :, :, 0].sum(axis=-1)  # gradient, curvature, rows of each node
-                value = -whole[0] / np.maximum(whole[1] + self.reg_lambda, 1e-12) * self.learning_rate
-                for i in range(m):
-                    if level:  # a node without rows keeps its parent's value
-                        above = grown[i].value[r, (first - 1) // 2:(first - 1) // 2 + nodes // 2].repeat(2)
-                        grown[i].value[r, first:first + nodes] = np.where(whole[2, i] > 0, value[i], above)
-                    else:
-                        grown[i].value[r, 0] = value[i, 0]
-                if last:
-                    break
+                if not level:
+                    for g, v in zip(grown, self._values(whole)):
+                        g.value[r, 0] = v[0]
                 gain, best = self._gains(sums, whole, columns, real)
-                for i, j in zip(*np.nonzero(gain > 0)):
-                    f, b = divmod(int(best[i, j]), width)
-                    grown[i].feature[r, first + j], grown[i].threshold[r, first + j] = f, edge_of[f, b]
-                    importances[i, f] += gain[i, j]
+                left = sums.cumsum(axis=-1).reshape(3, m, nodes, -1)
+                # a split gives its children's sums; without one all rows go to the left copy
+                cut = np.take_along_axis(left, best[None, :, :, None], 3)[..., 0]
+                cut = np.where(gain > 0, cut, whole)
+                value = self._values(np.stack([cut, whole - cut], axis=-1).reshape(3, m, -1))
+                under = 2 * first + 1
+                for i in range(m):
+                    split = gain[i] > 0
+                    f, b = best[i] // width, best[i] % width
+                    grown[i].feature[r, first:first + nodes][split] = f[split]
+                    grown[i].threshold[r, first:first + nodes][split] = edge_of[f, b][split]
+                    np.add.at(importances[i], f[split], gain[i][split])
+                    both = split.repeat(2)
+                    above = grown[i].value[r, first:first + nodes].repeat(2)
+                    grown[i].value[r, under:under + 2 * nodes] = np.where(both, value[i], above)
                 if not (gain > 0).any():  # nothing splits: the values of this level hold below, too
-                    for i in range(m):
-                        for deeper in range(level + 1, self.max_depth + 1):
+                    for g in grown:
+                        for deeper in range(level + 2, self.max_depth + 1):
                             at = 2 ** deeper - 1
-                            grown[i].value[r, at:at + 2 ** deeper] = grown[i].value[r, (at - 1) // 2:(at - 1) // 2 + 2 ** (deeper - 1)].repeat(2)
+                            g.value[r, at:at + 2 ** deeper] = g.value[r, at // 2:at // 2 + 2 ** (deeper - 1)].repeat(2)
                     break
             if r + 1 - shown >= REFRESH and r + 1 < self.n_rounds:
                 running = _refreshed(running, [(g.feature[shown:r + 1], g.threshold[shown:r + 1], g.value[shown:r + 1]) for g in grown], self.max_depth)
@@ -354,6 +357,10 @@ class Boosted(_Forest):
         running.unpersist()
         return [TreesModel(self.cols, g, self.prediction_col, "sum", float(s), _normal(v)) for g, s, v in zip(grown, start, importances)]
 
+    def _values(self, whole: np.ndarray) -> np.ndarray:
+        """What nodes with these sums add to a score."""
+        return -whole[0] / np.maximum(whole[1] + self.reg_lambda, 1e-12) * self.learning_rate
+
     def _gains(self, sums: np.ndarray, whole: np.ndarray, columns: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The best split of each node: its gain and (feature, bin) as one number."""
         left = sums.cumsum(axis=-1)
