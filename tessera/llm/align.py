@@ -36,6 +36,9 @@ from tessera.session import cut_lineage, ensure_checkpoint_dir
 
 #: Most pairs whose counts are broadcast (17 bytes each).
 TABLE_PAIRS = 1 << 20
+#: Bytes of the texts that are aligned at once, and words and pre-tokens kept by a
+#: worker (both bound its memory).
+RUN_BYTES, KEPT = 1 << 19, 1 << 17
 #: A pair as one number: A's id above, B's below.
 LOW_BITS = 32
 
@@ -79,7 +82,7 @@ class Pieces:
         self.size = np.array([len(b) for b in self.bytes_of], np.int64)
         self.space = library.piece_to_id("▁")
         self.by_word = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.cache = IdCache(self._words)
+        self.cache = IdCache(self._words, KEPT)
 
     def _library(self, texts: list[bytes]) -> list[list[int]]:
         return self.library.encode([t.decode("utf-8", "replace") for t in texts], num_threads=1)
@@ -114,7 +117,7 @@ def _worker(digest_a: str, digest_b: str, vocabulary, model):
     vocab = vocabulary.load()
     vocab = vocab[0] if isinstance(vocab, tuple) else vocab
     size = np.array([len(b) for b in vocab.bytes_of], np.int64)
-    return vocab.bytes_of, size, IdCache(vocab.encode), Pieces(model.load())
+    return vocab.bytes_of, size, IdCache(vocab.encode, KEPT), Pieces(model.load())
 
 
 def _cut(flat: np.ndarray, counts: np.ndarray, bytes_of: list[bytes], texts: list[bytes]) -> np.ndarray:
@@ -269,7 +272,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_i
     spark = docs.sparkSession
     kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     vocabulary, model = VocabularyFile(spark, path_a), Tokenizer(spark, path_b)
-    got = struct_of(F.col("text"), SCHEMA, lambda: _aligned(vocabulary, model))
+    got = struct_of(F.col("text"), SCHEMA, lambda: _aligned(vocabulary, model), RUN_BYTES)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/aligned-{uuid.uuid4().hex}"
     kept.select("doc_id", got.alias("x")).select("doc_id", "x.*").withColumn(
         "row", F.monotonically_increasing_id()).write.parquet(path)

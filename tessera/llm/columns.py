@@ -72,9 +72,12 @@ def give_back_memory() -> None:
         pass
 
 
-def struct_of(text: Column, schema: T.StructType, make: Callable[[], RunFn]) -> Column:
+def struct_of(text: Column, schema: T.StructType, make: Callable[[], RunFn], run_bytes: int = RUN_BYTES,
+              filtered: bool = False) -> Column:
     """A struct column computed from ``text`` by ``make()``, which is called
-    once per task on the executor and works on one run of texts at a time."""
+    once per task on the executor and works on one run of texts at a time.
+    ``filtered``: rows are filtered by it, and it is not to be computed again for
+    that."""
     bounded_batches()
     fields = [pa.field(f.name, to_arrow_type(f.dataType)) for f in schema.fields]
 
@@ -83,11 +86,11 @@ def struct_of(text: Column, schema: T.StructType, make: Callable[[], RunFn]) ->
         work = make()
         for batch in batches:
             parts = []
-            for run in text_runs(batch):
+            for run in text_runs(batch, run_bytes):
                 values = work(run)
                 parts.append(pa.StructArray.from_arrays(
                     [pa.array(values[f.name], type=f.type) for f in fields], fields=fields))
             yield pa.concat_arrays(parts) if parts else pa.array([], type=pa.struct(fields))
         give_back_memory()
 
-    return apply(text.cast("string"))
+    return (apply.asNondeterministic() if filtered else apply)(text.cast("string"))

@@ -182,6 +182,10 @@ def choose_cutoffs(stats: DataFrame, labels: DataFrame, s: str, doc_id: str = "d
     ``labels`` has doc_id and quality (1 good, 0 bad).  Rows without a doc_id
     or quality and ids with both labels are not used; equal labels count once.
     A null stratum is a stratum.
+
+    The bound is on independent documents, so an id counts once in a stratum,
+    however often its row is repeated there; an id whose rows differ in what the
+    rules say of them (several texts under one id) is not used there.
     """
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
              .groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").alias("good"), F.max("quality").alias("__most"))
@@ -193,6 +197,9 @@ def choose_cutoffs(stats: DataFrame, labels: DataFrame, s: str, doc_id: str = "d
         sum(F.when(m[rule] > c, 1).otherwise(0) for c in cutoffs[rule]).alias("bin")) for rule in cutoffs])
     held = (stats.where(~base_failed(s))
             .select(F.col(doc_id).alias("__id"), F.col(stratum).alias("stratum"), bins.alias("bins"))
+            # repeated rows are folded before the shuffle: none meets its label more than once
+            .groupBy("__id", "stratum").agg(F.min("bins").alias("bins"), F.max("bins").alias("__most"))
+            .where(F.col("bins") == F.col("__most"))
             .join(known, "__id").select("stratum", "good", F.explode("bins").alias("x"))
             .groupBy("stratum", "x.rule", "x.bin")
             .agg(F.sum("good").cast("bigint").alias("good"), F.sum(1 - F.col("good")).cast("bigint").alias("bad")))

@@ -155,10 +155,15 @@ r(rule, step, cutoff) AS (VALUES {_RULES}),
 k AS (
   SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1)
   GROUP BY doc_id HAVING min(quality) = max(quality)),
+cuts AS (SELECT rule, list(cutoff) AS cs FROM r GROUP BY rule),
+w AS (
+  SELECT doc_id, lang, rule, min(x) AS x, min(len(list_filter(cs, lambda c: x > c))) = max(len(list_filter(cs, lambda c: x > c))) AS alike
+  FROM v JOIN cuts USING (rule) WHERE NOT base_failed GROUP BY doc_id, lang, rule),
+once AS (SELECT * FROM w QUALIFY bool_and(alike) OVER (PARTITION BY doc_id, lang)),
 n AS (
   SELECT lang, r.rule, step, cutoff, count(*) FILTER (good = 1) AS n, count(*) FILTER (good = 0) AS n_bad,
          count(*) FILTER (good = 1 AND x > cutoff) AS k, count(*) FILTER (good = 0 AND x > cutoff) AS k_bad
-  FROM v JOIN k USING (doc_id) JOIN r USING (rule) WHERE NOT base_failed GROUP BY ALL),
+  FROM once JOIN k USING (doc_id) JOIN r USING (rule) GROUP BY ALL),
 p AS (
   SELECT *, {quality.DELTA} / ((SELECT count(DISTINCT coalesce(lang, '?')) FROM n WHERE n.n > 0) * {len(quality.CUTOFFS)}) AS level,
          CASE WHEN n = 0 THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda i: exp(

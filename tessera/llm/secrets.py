@@ -498,26 +498,34 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return kept.select("doc_id", struct_of(F.col("text"), SCHEMA, _digests).alias(name)).select("doc_id", f"{name}.*")
 
 
-def masked_text(text: Column, mask: str = "[secret]") -> Column:
-    """A string column: the text with all spans masked (null stays null)."""
-    schema = T.StructType([T.StructField("text", T.StringType())])
+MASKED = T.StructType([T.StructField("text", T.StringType()), T.StructField("cut", T.BooleanType())])
+
 
-    def make() -> RunFn:
-        def work(run: list[bytes | None]) -> dict:
-            out = []
-            for t in run:
-                every = find_secrets(t)[1] if t else []
-                out.append(masked(t, every, mask) if every else None if t is None else t.decode("utf-8", "replace"))
-            return {"text": out}
-        return work
+def _masked(mask: str) -> RunFn:
+    def work(run: list[bytes | None]) -> dict:
+        out: dict[str, list] = {"text": [], "cut": []}
+        for t in run:
+            _, every, cut = find_all(t) if t else ([], [], False)
+            out["text"].append(masked(t, every, mask) if every else None if t is None else t.decode("utf-8", "replace"))
+            out["cut"].append(cut)
+        return out
 
-    return struct_of(text, schema, make)["text"]
+    return work
+
+
+def masked_text(text: Column, mask: str = "[secret]") -> Column:
+    """A struct column: ``text`` with all spans masked (null stays null), and
+    ``cut``, whether some compressed data was left at a hard stop."""
+    return struct_of(text, MASKED, lambda: _masked(mask), filtered=True)
 
 
 def mask_secrets(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with secrets masked in ``text`` and, where there is such a
-    column, ``n_chars`` counted anew; all other columns as they are."""
-    out = docs.withColumn(text, masked_text(F.col(text)))
+    column, ``n_chars`` counted anew; all other columns as they are.  A text with
+    data that could not be scanned to its end is left out: what it holds there is
+    unknown."""
+    name = free_name(docs, "masked")
+    out = docs.withColumn(name, masked_text(F.col(f"`{text}`"))).where(~F.col(f"{name}.cut")).withColumn(text, F.col(f"{name}.text"))
     if n_chars and n_chars in docs.columns:
         kind = docs.schema[n_chars].dataType
         out = out.withColumn(n_chars, F.char_length(F.col(text)).cast(kind))

@@ -27,6 +27,10 @@ def join_salted(rows: DataFrame, table: DataFrame, keys: list[str], n: str,
     listed = F.broadcast(listed) if listed.count() <= BROADCAST_KEYS else listed
     every = F.when(F.col(n) > hot_rows, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copies = table.withColumn(salt, F.explode(every)).drop(n)
-    dealt = rows.join(listed, keys, "left").withColumn(
-        salt, F.when(F.col(hot), F.floor(F.rand(42) * salts).cast("int")).otherwise(F.lit(0))).drop(hot)
+    # by what the row holds, so that a row gets its salt again after a loss; columns
+    # that have no hash (maps) are left out
+    told = [F.col(f"`{f.name}`") for f in rows.schema.fields if "map<" not in f.dataType.simpleString() and f.name not in keys
+            and "variant" not in f.dataType.simpleString()]
+    spread = F.pmod(F.xxhash64(*told), F.lit(salts)).cast("int") if told else F.floor(F.rand(42) * salts).cast("int")
+    dealt = rows.join(listed, keys, "left").withColumn(salt, F.when(F.col(hot), spread).otherwise(F.lit(0))).drop(hot)
     return dealt.join(copies, [*keys, salt]).drop(salt)

@@ -83,14 +83,15 @@ class Tokenizer:
 def frequent_pretokens(docs: DataFrame, text: str = "text", rows: int = TABLE_ROWS,
                        sample: int = SAMPLE_DOCUMENTS) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the most frequent short pre-tokens of about ``sample``
-    documents (chosen by a hash of the text).  At most ``SAMPLE_TASKS * rows``
-    rows reach the driver."""
+    documents (chosen by a hash of the row's number and text, so that a repeated
+    text is not taken in all its copies; at most ``sample``).  At most
+    ``SAMPLE_TASKS * rows`` rows reach the driver."""
     texts = docs.select(F.col(text).alias("t")).where(F.col("t").isNotNull())
     n = docs.count()
     share = min(1.0, sample / max(1, n))
     cut = int((share - 0.5) * 2 ** 64)
     if share < 1:
-        texts = texts.where(F.xxhash64("t") < F.lit(max(-2 ** 63, cut)))
+        texts = texts.where(F.xxhash64(F.monotonically_increasing_id(), "t") < F.lit(max(-2 ** 63, cut))).limit(sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
