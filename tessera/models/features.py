@@ -12,19 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import conditional as C
+from tessera.functions.fixed import RARE_TITLES, TITLE_CODES, TITLE_MERGES
 from tessera.functions import strings as S
-from tessera.operators.aggregate import mode_table
-from tessera.operators.encode import fit_categories
 from tessera.operators.ordering import exact_percentiles
 from tessera.session import keep
 
 FEATURES = ["cls", "is_male", "age", "sibs", "parch", "fare", "port_code", "title_code",
             "family_size", "is_alone"]
 
-# Title codes of the stacking features (unmapped -> 0).
-TITLE_CODES = {"Mr": 1, "Miss": 2, "Mrs": 3, "Master": 4, "Rare": 5}
-RARE_TITLES = ["Lady", "Countess", "Capt", "Col", "Don", "Dr", "Major", "Rev", "Sir", "Jonkheer", "Dona"]
-
 
 @dataclass
 class FeatureModel:
@@ -40,9 +35,10 @@ class FeatureModel:
     def fit(cls, train: DataFrame) -> FeatureModel:
         ages = exact_percentiles(train, "age", [0.5], ["sex", "cls"], ["m"]).collect()
         fare = exact_percentiles(train, "fare", [0.5], [], ["m"]).first()
-        port = mode_table(train, [], "port").first()
+        # a port's rows give both the mode and the codes; ports are few, as ages are
+        ports = train.filter(F.col("port").isNotNull()).groupBy("port").count().collect()
         return cls({(r["sex"], r["cls"]): r["m"] for r in ages}, fare["m"] if fare else None,
-                   port["mode"] if port else None, fit_categories(train, ["port"])["port"])
+                   min(ports, key=lambda r: (-r["count"], r["port"]))["port"] if ports else None, sorted(r["port"] for r in ports))
 
     def transform(self, m: DataFrame, features_col: str = "features") -> DataFrame:
         """row_id, split, label (double, null when unlabelled), the FEATURES
@@ -53,7 +49,7 @@ class FeatureModel:
         port = F.coalesce(F.col("port"), F.lit(self.port))
         coded = m.withColumn("port", port)
         title = C.collapse(C.collapse(S.title_by_regex("name"), {"Rare": RARE_TITLES}),
-                           {"Miss": ["Mlle", "Ms"], "Mrs": ["Mme"]})
+                           TITLE_MERGES)
         fam = F.col("sibs") + F.col("parch") + 1
         out = coded.select(
             "row_id", "split", F.col("label").cast("double").alias("label"),

@@ -1,9 +1,9 @@
 """Categorical encoders and scalers as fit / transform pairs.
 
-Fitted state (sorted categories, means, deviations) is small by construction
-- one entry per category, bounded by ``max_categories`` and checked at fit -
-so it is kept on the driver and applied as literal maps inside codegen.
-Statistics that grow with the data are never collected.
+Means and deviations are one row.  Categories are a dictionary table (value, code),
+computed distributed and joined to the rows: broadcast while it is small, else by a
+join in which frequent values are salted.  Nothing bounds their number, and no
+statistic that grows with the data is collected.
 """
 
 from __future__ import annotations
@@ -12,11 +12,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.operators.groups import group_stats, join_back
-from tessera.operators.ordering import codes_of
+from tessera.operators.groups import ROWS, group_stats, join_back
+from tessera.operators.ordering import FEW, codes_of
 from tessera.session import keep
 
 UNKNOWN_ERROR = "error"
@@ -39,13 +40,10 @@ def label_encode_many(df: DataFrame, cols: Sequence[str], names: Mapping[str, st
     out = base
     for c in cols:
         name = (names or {}).get(c, f"{c}_code")
-        counted = keep(group_stats(base.filter(F.col(c).isNotNull()), c))  # distinct values and their rows
-        n = counted.count()
-        codes = codes_of(counted, c, name, n)
+        table, n = dictionary(base, c)
         if scaled:
-            codes = codes.withColumn(name, F.coalesce(F.try_divide(F.col(name).cast("double"), F.lit(float(n - 1))),
-                                                      F.lit(0.0)))
-        out = join_back(out, codes, c)
+            table = table.withColumn("code", F.coalesce(F.try_divide(F.col("code").cast("double"), F.lit(float(n - 1))), F.lit(0.0)))
+        out = join_codes(out, table, n, c, name)
     return out
 
 
@@ -62,25 +60,62 @@ def standard_scale(df: DataFrame, col: str, name: str, fit: DataFrame | None = N
     return df.crossJoin(F.broadcast(st)).withColumn(name, scaled).drop("__mu", "__sd")  # one row
 
 
-def fit_categories(df: DataFrame, cols: Sequence[str], max_categories: int = 10_000) -> dict[str, list]:
-    """Sorted distinct non-null values per column, in one aggregation pass."""
-    aggs = [F.array_sort(F.collect_set(c)).alias(c) for c in cols]
-    sizes = df.agg(*[F.countDistinct(c).alias(c) for c in cols]).first()
-    too_big = {c: sizes[c] for c in cols if sizes[c] > max_categories}
-    if too_big:
-        raise ValueError(f"too many categories to one-hot encode: {too_big}")
-    row = df.agg(*aggs).first()
-    return {c: list(row[c]) for c in cols}
+def dictionary(df: DataFrame, col: str) -> tuple[DataFrame, int]:
+    """(value, code, row count) of each distinct non-null value of ``col``, codes in
+    sorted order, and their number.  It is a table like any other: nothing bounds
+    the number of values."""
+    counted = keep(group_stats(df.filter(F.col(col).isNotNull()).select(F.col(col).alias("value")), "value"))
+    n = counted.count()
+    return keep(codes_of(counted, "value", "code", n)), n
 
 
-def unseen_values(df: DataFrame, categories: Mapping[str, Sequence]) -> DataFrame:
-    """(column, value) pairs present in ``df`` but not among the fitted
-    categories - the listing behind ``handle_unknown='error'``."""
+def given_dictionary(df: DataFrame, col: str, values: Sequence) -> tuple[DataFrame, int]:
+    """The same of listed values."""
+    kind = df.schema[col].dataType
+    rows = [(v, i, 1) for i, v in enumerate(sorted(values))]
+    schema = T.StructType([T.StructField("value", kind), T.StructField("code", T.IntegerType()), T.StructField(ROWS, T.LongType())])
+    return df.sparkSession.createDataFrame(rows, schema), len(rows)
+
+
+def join_codes(df: DataFrame, table: DataFrame, n: int, col: str, name: str) -> DataFrame:
+    """``df`` plus the code of ``col`` (null: no such value).  A small dictionary is
+    broadcast; for a large one the rows of frequent values are salted."""
+    t = table.select(F.col("value").alias(f"__dv_{name}"), F.col("code").alias(name), ROWS)
+    if n <= FEW:
+        return df.join(F.broadcast(t.drop(ROWS)), F.col(col) == F.col(f"__dv_{name}"), "left").drop(f"__dv_{name}")
+    keyed = df.withColumn(f"__dv_{name}", F.col(col))
+    return join_back(keyed, t, f"__dv_{name}").drop(f"__dv_{name}")
+
+
+#: Unseen values that an error message spells out.
+SHOWN = 1_000
+
+
+class UnseenValues(ValueError):
+    """Values outside the categories; ``listing`` has all of them (column, value),
+    the message the first ``SHOWN``."""
+
+    def __init__(self, listing: DataFrame, what: str):
+        self.listing = listing
+        rows = listing.orderBy("column", "value").limit(SHOWN + 1).collect()
+        found: dict[str, list[str]] = {}
+        for r in rows[:SHOWN]:
+            found.setdefault(r["column"], []).append(r["value"])
+        more = " and more" if len(rows) > SHOWN else ""
+        super().__init__(f"values outside the {what} categories: "
+                         + "; ".join(f"{c}: {', '.join(v)}" for c, v in found.items()) + more)
+
+
+def unseen_values(df: DataFrame, tables: Mapping[str, tuple[DataFrame, int]]) -> DataFrame:
+    """(column, value): all non-null values in ``df`` that the dictionaries lack,
+    each once."""
     parts = []
-    for c, cats in categories.items():
-        vals = df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")).filter(
-            F.col("value").isNotNull() & ~F.col(c).isin(list(cats)))
-        parts.append(vals.distinct())
+    for c, (table, n) in tables.items():
+        # distinct before the join: a frequent value is one row
+        values = df.select(F.col(c).alias("value")).filter(F.col("value").isNotNull()).distinct()
+        known = table.select("value")
+        parts.append(values.join(F.broadcast(known) if n <= FEW else known, "value", "left_anti")
+                     .select(F.lit(c).alias("column"), F.col("value").cast("string").alias("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -88,16 +123,17 @@ def unseen_values(df: DataFrame, categories: Mapping[str, Sequence]) -> DataFram
 
 
 class CategoricalEncoder(Estimator):
-    """Ordinal or one-hot encoding of several columns with sorted categories.
+    """Ordinal or one-hot encoding of several columns with sorted categories,
+    however many there are.
 
     ``categories``: 'auto' (fit from data) or {column: [values]} (validated
-    against the fit data).  ``handle_unknown``: 'error' raises inside the
-    transform when an unseen value is met; 'ignore' gives an all-zero block
-    (one-hot) or null (ordinal)."""
+    against the fit data).  ``handle_unknown``: 'error' raises ``UnseenValues``,
+    which lists all of them, when rows are transformed (while they are read on a
+    stream, naming the first); 'ignore' gives an all-zero block (one-hot)."""
 
     def __init__(self, input_cols: Sequence[str], encoding: str = "onehot",
                  handle_unknown: str = UNKNOWN_ERROR, categories="auto",
-                 output_col: str = "features", max_categories: int = 10_000):
+                 output_col: str = "features"):
         super().__init__()
         if encoding not in ("onehot", "onehot-dense", "ordinal"):
             raise ValueError(f"unknown encoding {encoding!r}")
@@ -110,64 +146,66 @@ class CategoricalEncoder(Estimator):
         self.handle_unknown = handle_unknown
         self.categories = categories
         self.output_col = output_col
-        self.max_categories = max_categories
 
     def _fit(self, df: DataFrame) -> CategoricalEncoderModel:
         if self.categories == "auto":
-            cats = fit_categories(df, self.input_cols, self.max_categories)
+            tables = {c: dictionary(df, c) for c in self.input_cols}
         else:
-            cats = {c: sorted(self.categories[c]) for c in self.input_cols}
+            tables = {c: given_dictionary(df, c, self.categories[c]) for c in self.input_cols}
             if self.handle_unknown == UNKNOWN_ERROR:
-                bad = unseen_values(df, cats).orderBy("column", "value").collect()  # every one is listed
-                if bad:
-                    raise ValueError("values outside the given categories: "
-                                     + ", ".join(f"{r['column']}={r['value']}" for r in bad))
-        return CategoricalEncoderModel(cats, self.encoding, self.handle_unknown, self.output_col)
+                listing = unseen_values(df, tables)
+                if not listing.isEmpty():
+                    raise UnseenValues(listing, "given")
+        return CategoricalEncoderModel(tables, self.encoding, self.handle_unknown, self.output_col)
 
 
 class CategoricalEncoderModel(Model):
-    def __init__(self, categories: dict[str, list], encoding: str, handle_unknown: str, output_col: str):
+    """``tables``: per column its dictionary and number of categories."""
+
+    def __init__(self, tables: dict[str, tuple[DataFrame, int]], encoding: str, handle_unknown: str, output_col: str):
         super().__init__()
-        self.categories_ = categories
-        self.input_cols = list(categories)
+        self.tables = tables
+        self.input_cols = list(tables)
+        self.sizes = {c: n for c, (_, n) in tables.items()}
         self.encoding = encoding
         self.handle_unknown = handle_unknown
         self.output_col = output_col
 
     @property
     def n_features(self) -> int:
-        return sum(len(v) for v in self.categories_.values())
-
-    def _code(self, c: str) -> Column:
-        cats = self.categories_[c]
-        pairs = [x for i, v in enumerate(cats) for x in (F.lit(v), F.lit(i))]
-        looked = F.try_element_at(F.create_map(*pairs), F.col(c)) if cats else F.lit(None).cast("int")
-        unknown = F.col(c).isNotNull() & looked.isNull()
-        if self.handle_unknown == UNKNOWN_ERROR:
-            return F.when(unknown, F.raise_error(F.concat(
-                F.lit(f"value of {c} outside the fitted categories: "), F.col(c).cast("string")))
-            ).otherwise(looked).cast("int")
-        return looked
+        return sum(self.sizes.values())
+
+    def _coded(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``__code_<column>`` for each column."""
+        if self.handle_unknown == UNKNOWN_ERROR and not df.isStreaming:
+            listing = unseen_values(df, self.tables)
+            if not listing.isEmpty():
+                raise UnseenValues(listing, "fitted")
+        out = df
+        for c, (table, n) in self.tables.items():
+            out = join_codes(out, table, n, c, f"__code_{c}")
+            if self.handle_unknown == UNKNOWN_ERROR and df.isStreaming:
+                out = out.withColumn(f"__code_{c}", F.when(F.col(c).isNotNull() & F.col(f"__code_{c}").isNull(), F.raise_error(F.concat(
+                    F.lit(f"value of {c} outside the fitted categories: "), F.col(c).cast("string")))).otherwise(F.col(f"__code_{c}")).cast("int"))
+        return out
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        coded = self._coded(df)
+        codes = {c: f"__code_{c}" for c in self.input_cols}
         if self.encoding == "ordinal":
-            return df.withColumns({f"{c}_code": self._code(c) for c in self.input_cols})
+            return coded.withColumns({f"{c}_code": F.col(k) for c, k in codes.items()}).drop(*codes.values())
         if self.encoding == "onehot-dense":
-            out = {}
-            for c in self.input_cols:
-                code = self._code(c)
-                for i in range(len(self.categories_[c])):
-                    out[f"{c}_{i + 1}"] = F.coalesce((code == i).cast("int"), F.lit(0))
-            return df.withColumns(out)
+            return coded.withColumns({f"{c}_{i + 1}": F.coalesce((F.col(codes[c]) == i).cast("int"), F.lit(0))
+                                      for c in self.input_cols for i in range(self.sizes[c])}).drop(*codes.values())
         # sparse one-hot: codes carry nominal metadata with one extra slot for
         # unknown values; dropLast removes that slot, so unknown -> all zeros
         tmp = {}
         for c in self.input_cols:
-            n = len(self.categories_[c])
-            code = F.coalesce(self._code(c), F.lit(n)).cast("double")
+            n = self.sizes[c]
+            code = F.coalesce(F.col(codes[c]), F.lit(n)).cast("double")
             meta = {"ml_attr": {"type": "nominal", "name": f"__oh_{c}", "num_vals": n + 1}}
             tmp[f"__oh_{c}"] = code.alias(f"__oh_{c}", metadata=meta)
-        coded = df.withColumns(tmp)
+        coded = coded.withColumns(tmp).drop(*codes.values())
         ohe = OneHotEncoder(inputCols=list(tmp), outputCols=[f"{k}_v" for k in tmp], dropLast=True,
                             handleInvalid="error")
         vec = ohe.fit(coded.limit(0)).transform(coded)

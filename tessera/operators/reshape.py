@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.nulls import rate
+from tessera.operators.ordering import row_number
+from tessera.session import cut_lineage
 
 
 def complete_grid(values: DataFrame, domains: Mapping[str, DataFrame | Sequence],
@@ -71,3 +73,39 @@ def cutoff_sweep(df: DataFrame, cutoffs: Iterable[int], age: str = "age", sex: s
     )).alias("p")).select("cutoff", "p.*")
     return (parts.groupBy("cutoff", "role").agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.sum("n").alias("n"))
             .filter(F.col("n") > 0).select("cutoff", "role", F.round(rate(F.col("s"), F.col("c")), 6).alias("rate")))
+
+
+def _placed(df: DataFrame, order: Sequence[str] | None, name: str) -> DataFrame:
+    """``df`` with its rows' positions from 0 as ``name``."""
+    if order:
+        return row_number(df, order, name=name).withColumn(name, F.col(name) - 1)
+    # the frame's own order: by task, then within the task, written down so that it stays
+    fixed = cut_lineage(df.withColumn(name, F.monotonically_increasing_id()))
+    task = F.shiftright(F.col(name), 33)
+    sizes = fixed.groupBy(task.alias("__task")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    starts = sizes.select("__task", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    return (fixed.join(F.broadcast(starts), task == F.col("__task"))
+            .withColumn(name, F.col("__start") + F.col(name).bitwiseAND(F.lit((1 << 33) - 1))).drop("__task", "__start"))
+
+
+def glue_columns(left: DataFrame, right: DataFrame, left_order: Sequence[str] | None = None,
+                 right_order: Sequence[str] | None = None, drop: Sequence[str] = ()) -> DataFrame:
+    """The columns of two frames side by side: the rows at the same position become
+    one row.
+
+    A frame's positions are those in the order of its ``*_order`` columns, which should
+    be total; without them, the order in which the frame's tasks give its rows.  The
+    frames need no common key.  Frames of unequal lengths raise an error, as do
+    columns of the same name (``drop``: columns that only gave an order).  Positions
+    are unique, so the join has no hot key."""
+    kept = [c for c in right.columns if c not in drop]
+    clash = {c.lower() for c in left.columns if c not in drop} & {c.lower() for c in kept}
+    if clash:
+        raise ValueError(f"both frames have the columns {sorted(clash)}")
+    a, b = _placed(left, left_order, "__place_a"), _placed(right, right_order, "__place_b")
+    sizes = left.count(), right.count()
+    if sizes[0] != sizes[1]:
+        raise ValueError(f"the frames have {sizes[0]} and {sizes[1]} rows")
+    return (a.join(b.select(*kept, "__place_b"), F.col("__place_a") == F.col("__place_b"))
+            .select(*[c for c in left.columns if c not in drop], *kept))

@@ -32,7 +32,16 @@ SELECT ticket FROM manifest WHERE split = 'train'
 INTERSECT SELECT ticket FROM manifest WHERE split = 'test'
 """)
 sql("distinct_values", "SELECT DISTINCT port FROM manifest")
-sql("concat_columns", "SELECT row_id, age, fare FROM manifest")
+sql("concat_columns", """
+a AS (SELECT row_number() OVER (ORDER BY row_id) AS place, row_id, age, fare FROM manifest),
+p AS (SELECT port, row_number() OVER (ORDER BY port) AS code FROM (SELECT DISTINCT port FROM manifest WHERE port IS NOT NULL)),
+b AS (SELECT row_number() OVER (ORDER BY m.row_id) AS place, sex, sibs + parch + 1 AS family_size,
+             coalesce(CAST(code = 1 AS INTEGER), 0) AS port_1, coalesce(CAST(code = 2 AS INTEGER), 0) AS port_2,
+             coalesce(CAST(code = 3 AS INTEGER), 0) AS port_3, coalesce(CAST(code = 4 AS INTEGER), 0) AS port_4,
+             coalesce(CAST(code = 5 AS INTEGER), 0) AS port_5
+      FROM manifest m LEFT JOIN p USING (port))
+SELECT a.* EXCLUDE (place), b.* EXCLUDE (place) FROM a JOIN b USING (place)
+""")
 
 # ---- 2.3 profiling ------------------------------------------------------------------
 sql("profile_shape", """

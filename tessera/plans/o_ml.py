@@ -4,7 +4,7 @@ manifest; class moments, scores and predictions follow from them."""
 
 from __future__ import annotations
 
-from tessera.models.features import RARE_TITLES, TITLE_CODES
+from tessera.functions.fixed import RARE_TITLES, TITLE_CODES
 from tessera.plans.oracle import sql
 
 _TITLE = "regexp_extract(name, ' ([A-Za-z]+)\\.', 1)"

@@ -10,10 +10,12 @@ from tessera.functions import binning as B
 from tessera.functions import conditional as C
 from tessera.functions import strings as S
 from tessera.functions.draws import draw_u32
+from tessera.functions.fixed import DECK_GROUPS, FAMILY_MAP, RARE_TITLES, TITLE_CODES, TITLE_MERGES
+from tessera.operators import encode as E
 from tessera.operators import group_features as gf
 from tessera.operators import profile as P
 from tessera.operators.aggregate import value_counts
-from tessera.operators.ordering import exact_percentiles
+from tessera.operators.ordering import exact_percentiles, row_number
 from tessera.operators.roles import role_base
 from tessera.plans.catalog import query
 from tessera.session import ensure_checkpoint_dir
@@ -97,8 +99,16 @@ def q_distinct_values(spark, sf):
 
 @query("concat_columns")
 def q_concat_columns(spark, sf):
+    """Two frames that are built apart, the second without a key, side by side in
+    the order of their row ids."""
+    from tessera.operators.reshape import glue_columns
     m = _m(spark, sf)
-    return m.select("row_id", "age", "fare")
+    left = m.select("row_id", "age", "fare")
+    sized = m.select("row_id", "sex", "port", (F.col("sibs") + F.col("parch") + 1).alias("family_size"))
+    codes = E.CategoricalEncoder(["port"], "onehot-dense", "ignore").fit(m).transform(sized)
+    ports = [f"port_{i + 1}" for i in range(len(codes.columns) - len(sized.columns))]
+    right = row_number(codes, ["row_id"], name="place").select("place", "sex", "family_size", *ports)
+    return glue_columns(left, right, ["row_id"], ["place"], drop=["place"])
 
 
 # ---- 2.3 profiling -----------------------------------------------------------
@@ -286,16 +296,9 @@ def q_patch_rows(spark, sf):
     return patch_rows(m, patches, "row_id", ["age"]).select("row_id", "age")
 
 
-FAMILY_MAP = {1: "Alone", 2: "Small", 3: "Small", 4: "Small", 5: "Medium", 6: "Medium",
-              7: "Large", 8: "Large", 11: "Large"}
-TITLE_CODES = {"Mr": 1, "Miss": 2, "Mrs": 3, "Master": 4, "Rare": 5}
-RARE_TITLES = ["Lady", "Countess", "Capt", "Col", "Don", "Dr", "Major", "Rev", "Sir", "Jonkheer", "Dona"]
-DECK_GROUPS = {"ABC": ["A", "B", "C"], "DE": ["D", "E"], "FG": ["F", "G"]}
-
-
 def collapsed_title(name_col="name"):
     t = C.collapse(S.title_by_regex(name_col), {"Rare": RARE_TITLES})
-    return C.collapse(t, {"Miss": ["Mlle", "Ms"], "Mrs": ["Mme"]})
+    return C.collapse(t, TITLE_MERGES)
 
 
 @query("value_map")

@@ -67,7 +67,7 @@ def q_encode_onehot_sparse(spark, sf):
 @query("encode_onehot_dense")
 def q_encode_onehot_dense(spark, sf):
     model = E.CategoricalEncoder(["port"], encoding="onehot-dense", handle_unknown="ignore").fit(_m(spark, sf))
-    return model.transform(_m(spark, sf)).select("row_id", *[f"port_{i + 1}" for i in range(len(model.categories_["port"]))])
+    return model.transform(_m(spark, sf)).select("row_id", *[f"port_{i + 1}" for i in range(model.sizes["port"])])
 
 
 GIVEN_PORTS = ["FURNITURE", "AUTOMOBILE", "BUILDING"]
@@ -121,9 +121,9 @@ def q_pipeline_num_cat(spark, sf):
     m = keep(_m(spark, sf).select("row_id", "split", "age", "fare", "port", "sex"))
     model = num_cat_pipeline(["age", "fare"], ["port", "sex"]).fit(m.filter(F.col("split") == "train"))
     arr = vector_to_array(F.col("features"))
-    out = model.transform(m)
-    first = out.select(F.size(arr)).first()  # as wide as the fitted model
-    return out.select("row_id", *[R(arr[i]).alias(f"f{i}") for i in range(first[0] if first else 0)])
+    # as wide as the fitted model: the numbers, and the encoder's categories
+    wide = 2 + next(st for st in model.stages if isinstance(st, E.CategoricalEncoderModel)).n_features
+    return model.transform(m).select("row_id", *[R(arr[i]).alias(f"f{i}") for i in range(wide)])
 
 
 # ---- 2.14 household roles -------------------------------------------------------------------
