@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tessera.functions import binning as B
@@ -18,7 +16,7 @@ from tessera.operators.aggregate import value_counts
 from tessera.operators.ordering import exact_percentiles, row_number
 from tessera.operators.roles import role_base
 from tessera.plans.catalog import query
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import scratch_folder
 from tessera.sources import files
 from tessera.sources.manifest import manifest
 
@@ -31,10 +29,6 @@ def _m(spark, sf):
     return manifest(spark, sf)
 
 
-def _scratch(spark, tag):
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-
-
 @query("group_rate_by_size")
 def q_group_rate_by_size(spark, sf):
     return gf.group_rate_by_size(_m(spark, sf))
@@ -45,7 +39,7 @@ def q_group_rate_by_size(spark, sf):
 @query("read_csv_typed")
 def q_read_csv_typed(spark, sf):
     m = _m(spark, sf)
-    path = _scratch(spark, "csv")
+    path = scratch_folder(spark, "csv")
     files.write_csv(m, path)
     return files.read_csv_typed(spark, path, m.schema)
 
@@ -53,7 +47,7 @@ def q_read_csv_typed(spark, sf):
 @query("write_csv")
 def q_write_csv(spark, sf):
     m = _m(spark, sf).filter(F.col("split") == "train").select("row_id", "label", "name")
-    path = _scratch(spark, "csv")
+    path = scratch_folder(spark, "csv")
     files.write_csv(m, path)
     return files.read_csv_typed(spark, path, m.schema)
 

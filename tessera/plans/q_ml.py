@@ -7,8 +7,6 @@ on a label that fares determine (tests/test_ml_*.py)."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tessera.models import evaluate as EV
@@ -17,7 +15,7 @@ from tessera.models.classifiers import make
 from tessera.models.features import FEATURES, ml_frame
 from tessera.models.trees import Boosted
 from tessera.plans.catalog import query
-from tessera.session import cut_lineage, ensure_checkpoint_dir, keep
+from tessera.session import cut_lineage, keep, scratch_folder
 from tessera.sources import files
 from tessera.sources.manifest import manifest
 
@@ -142,7 +140,7 @@ def q_prediction_export(spark, sf):
     data = _frame(spark, sf)
     model = make("gbt").fit(data.filter(F.col("label").isNotNull()))
     scored = model.transform(data.filter(F.col("label").isNull()))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "predictions")
     out = files.export_predictions(scored, "row_id", "prediction", path)
     return files.read_csv_typed(spark, path, out.schema)
 

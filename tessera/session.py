@@ -7,12 +7,17 @@ the benchmark and the smoke entry point.
 
 from __future__ import annotations
 
+import atexit
+import logging
 import tempfile
 import threading
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 _KEPT: list[DataFrame] = []
 _KEPT_LOCK = threading.Lock()
 
@@ -75,6 +80,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_folder(spark: SparkSession, stem: str) -> str:
+    """A new folder name under the shared checkpoint folder for a copy that a lazy
+    result reads; removed, if it was written, when the program ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+    atexit.register(remove_folder, spark, path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder wherever Spark's file systems reach it; without a running
+    session nothing is done."""
+    if spark.sparkContext._jsc is None:
+        return
+    try:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    except Exception as error:  # the session may be ending: a copy that stays harms nothing
+        log.debug("%s was not removed: %s", path, error)
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     value = spark.conf.get(key, None)
     return int(value) if value not in (None, "") else default
