@@ -19,6 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.skew import join_salted
 from tessera.session import cut_lineage
 
 BITS = 60
@@ -58,13 +59,14 @@ def _directory(rows: DataFrame, level: int, above: int, limit: int) -> DataFrame
     fits = nodes.where((F.col("shard_bytes") <= limit) | (F.col("shard_docs") == 1))
     return (at.join(fits, ["depth", "np", "nq"], "left").groupBy("p", "q")
             .agg(F.min_by(F.struct("depth", "shard_bytes", "shard_docs"),
-                          F.when(F.col("shard_bytes").isNotNull(), F.col("depth"))).alias("shard")))
+                          F.when(F.col("shard_bytes").isNotNull(), F.col("depth"))).alias("shard"), F.max("docs").alias("n")))
 
 
 def _joined(rows: DataFrame, directory: DataFrame, level: int) -> DataFrame:
-    small = directory.count() <= BROADCAST_ROWS
-    return rows.withColumns({c: v for c, v in zip(("p", "q"), _slot(level))}).join(
-        F.broadcast(directory) if small else directory, ["p", "q"])
+    placed = rows.withColumns({c: v for c, v in zip(("p", "q"), _slot(level))})
+    if directory.count() <= BROADCAST_ROWS:
+        return placed.join(F.broadcast(directory.drop("n")), ["p", "q"])
+    return join_salted(placed, directory, ["p", "q"], "n")  # all rows of one id share a slot
 
 
 def assign_shards(docs: DataFrame, limit: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -94,8 +96,10 @@ def assign_shards(docs: DataFrame, limit: int, doc_id: str = "doc_id", text: str
                 F.lpad(F.bin("h"), BITS, "0"), F.lpad(F.bin("u"), BITS, "0")), F.lit(1), F.col("shard.depth")).alias("shard_bits"),
             "shard.depth", "shard.shard_bytes", "shard.shard_docs")
         done = fitting if done is None else done.unionByName(fitting)
-        if level == 2 * BITS or directory.where("shard is null").isEmpty():
+        if directory.where("shard is null").isEmpty():
             break
+        if level == 2 * BITS:
+            raise ValueError(f"some documents agree in all {2 * BITS} bits and exceed {limit} bytes together")
         rows = cut_lineage(found.where("shard is null").select("doc_id", "n_bytes", "h", "u"))
         above, level = level, min(2 * BITS, level + MORE_BITS)
     return done.select("doc_id", "n_bytes", F.col("shard_bits").alias("shard"), "depth", "shard_bytes", "shard_docs",
