@@ -53,7 +53,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed()
 
 
-def blocks(df: DataFrame, features: Sequence[str | Column], label: str, fold: str | None = None,
+def blocks(df: DataFrame, features: Sequence[str | Column], label: str, fold: str | Column | None = None,
            key: str | None = None) -> RDD:
     """Cached blocks of the rows of ``df`` with a label.  ``key`` tells rows apart
     for repeatable draws (else a hash of the features does)."""
@@ -61,7 +61,8 @@ def blocks(df: DataFrame, features: Sequence[str | Column], label: str, fold: st
     spread = F.xxhash64(key) if key else F.xxhash64(*cols)
     chosen = df.where(F.col(label).isNotNull()).select(
         F.array(*[c.cast("double") for c in cols]).alias("x"), F.col(label).cast("double").alias("y"),
-        (F.col(fold).cast("int") if fold else F.lit(-1)).alias("fold"), spread.alias("key"))
+        (F.lit(-1) if fold is None else F.col(fold) if isinstance(fold, str) else fold).cast("int").alias("fold"),
+        spread.alias("key"))
     d = len(cols)
 
     def unpack(row) -> Block:
@@ -73,19 +74,19 @@ def blocks(df: DataFrame, features: Sequence[str | Column], label: str, fold: st
     return packed.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def total(rdd: RDD, of_block: Callable) -> list[np.ndarray] | None:
-    """The sums of the arrays that ``of_block`` gives for each block; None if
-    there is no block."""
+def total(rdd: RDD, of_block: Callable, combine: Callable = np.add) -> list[np.ndarray] | None:
+    """The sums (or what ``combine`` makes) of the arrays that ``of_block`` gives for
+    each block; None if there is no block."""
     def of_part(parts: Iterator) -> Iterator[list[np.ndarray]]:
         out = None
         for block in parts:
             got = of_block(block)
-            out = got if out is None else [a + b for a, b in zip(out, got)]
+            out = got if out is None else [combine(a, b) for a, b in zip(out, got)]
         if out is not None:
             yield out
 
     def add(a, b):
-        return [x + y for x, y in zip(a, b)]
+        return [combine(x, y) for x, y in zip(a, b)]
 
     sums = rdd.mapPartitions(of_part)
     if rdd.getNumPartitions() > MANY:

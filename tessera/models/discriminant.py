@@ -1,9 +1,9 @@
 """Classifiers in closed form from class moments: linear and quadratic discriminant
 analysis, Gaussian and Bernoulli naive Bayes, and ridge.
 
-Fitting needs per-class counts, means and scatter matrices: one ``groupBy`` of the
-class (and, for cross-validation, the fold) over d x d aggregates, independent of
-the row count.  Moments are additive, so one pass over the rows serves all folds,
+Fitting needs counts, means and scatter matrices per class (and, for
+cross-validation, per fold): sums of d x d products over blocks of rows, independent
+of the row count.  Moments are additive, so one pass over the rows serves all folds,
 all penalties and all of these models: a fold is left out by adding up the other
 folds' moments, and even a held-out fold's squared error follows from its moments.
 The small solves run on the driver; decision functions are plain column expressions
@@ -20,6 +20,8 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.models.blocks import Block, blocks, total
+
 
 @dataclasses.dataclass
 class Moments:
@@ -38,25 +40,33 @@ def merged(parts: Sequence[Moments]) -> Moments:
 
 
 def class_moments(df: DataFrame, cols: Sequence[str], label: str, fold: str | Column | None = None) -> dict[tuple, Moments]:
-    """(fold, class) -> moments of the labelled rows, in one aggregate (plus one
-    for the least values)."""
-    rows = df.where(F.col(label).isNotNull())
-    least = rows.agg(*[F.min(c).alias(f"l_{i}") for i, c in enumerate(cols)]).first()
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)]
-    aggs += [F.count(F.when(F.col(c) > least[f"l_{i}"], 1)).alias(f"a_{i}") for i, c in enumerate(cols)]
-    aggs += [F.covar_pop(a, b).alias(f"p_{i}_{j}")
-             for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
-    of = F.lit(-1) if fold is None else F.col(fold) if isinstance(fold, str) else fold
-    d, out = len(cols), {}
-    for r in rows.groupBy(of.cast("int").alias("fold"), F.col(label).alias("y")).agg(*aggs).collect():  # folds x classes
-        scatter = np.zeros((d, d))
-        for i in range(d):
-            for j in range(i, d):
-                scatter[i, j] = scatter[j, i] = r["n"] * r[f"p_{i}_{j}"]
-        out[r["fold"], float(r["y"])] = Moments(float(r["n"]), np.array([r[f"m_{i}"] for i in range(d)], float), scatter,
-                                                np.array([r[f"a_{i}"] for i in range(d)], float))
-    return out
+    """(fold, class) -> moments of the labelled rows.  The rows are read into blocks
+    once; products are summed about the means, so large means lose nothing."""
+    rdd = blocks(df, cols, label, fold)
+    try:
+        found = total(rdd, lambda b: [np.array([float(len(b.y))]), b.x.sum(axis=0)])
+        if found is None:
+            return {}
+        middle = found[1] / found[0]
+        least = total(rdd, lambda b: [b.x.min(axis=0)], np.minimum)[0]
+
+        def of_block(block: Block):
+            out = {}
+            for f, y in sorted(set(zip(block.fold.tolist(), block.y.tolist()))):
+                x = block.x[(block.fold == f) & (block.y == y)]
+                z = x - middle
+                out[f, y] = (float(len(z)), z.sum(axis=0), z.T @ z, (x > least).sum(axis=0).astype(float))
+            return [out]
+
+        def either(a: dict, b: dict) -> dict:
+            return {k: tuple(u + v for u, v in zip(a[k], b[k])) if k in a and k in b else a.get(k, b.get(k)) for k in {**a, **b}}
+
+        out = {}
+        for k, (n, s, products, above) in total(rdd, of_block, either)[0].items():
+            out[k] = Moments(n, middle + s / n, products - np.outer(s, s) / n, above)
+        return out
+    finally:
+        rdd.unpersist()
 
 
 def without(moments: dict[tuple, Moments], fold: int | None) -> dict[float, Moments]:

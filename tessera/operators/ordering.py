@@ -98,7 +98,7 @@ def ntile(df: DataFrame, k: int, order_cols: Sequence[str], part_cols: Sequence[
 
 #: Rank error of the sketch is n / ACCURACY; groups of at most SMALL rows are folded
 #: whole, and at most FEW sorted values or groups are handled as small tables.
-ACCURACY, SMALL, FEW = 10_000, 40_000, 100_000
+ACCURACY, SMALL, FEW = 10_000, 10_000, 100_000
 _KEY, _V, _C = "__ep_k", "__ep_v", "__ep_c"
 
 
@@ -146,7 +146,8 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
         found = vals.agg(*_bracket_columns(probs)).select(ROWS, *ends).first()  # one row
         rows = vals.withColumn(_KEY, F.lit(0))
         low, high = ([F.lit(found[f"__ep_{side}{i}"]).cast("double") for i in range(len(probs))] for side in ("lo", "hi"))
-    picked = _picked(rows, low, high, probs)
+    at, gap = _place(F.col(_V), low, high)
+    picked = _picked(rows.select(_KEY, at.alias("__ep_at"), gap.alias("__ep_gap")), probs)
     outs = [(F.col(f"__lo{i}") + F.col(f"__fr{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(nm)
             for i, nm in enumerate(names)]
     return picked.select(*[F.col(f"{_KEY}.{c}").alias(c) for c in by], *outs)
@@ -156,17 +157,43 @@ def group_stats_of(vals: DataFrame, probs: Sequence[float]) -> DataFrame:
     return vals.groupBy(_KEY).agg(*_bracket_columns(probs))
 
 
-def _picked(rows: DataFrame, low: list, high: list, probs: Sequence[float]) -> DataFrame:
-    """Per key the two order statistics around each probability and the share
-    between them."""
+def wide_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], names: Sequence[str],
+                     *also) -> tuple[DataFrame, object]:
+    """(column, percentiles...) of several columns, and the row of the aggregates
+    ``also``, which are read together with the brackets."""
+    x = {c: F.col(c).cast("double") for c in cols}
+    margin = 3.0 / ACCURACY
+    asked = [min(max(p + side * margin, 0.0), 1.0) for p in probs for side in (-1, 1)]
+    found = df.agg(*also, *[e for i, c in enumerate(cols) for e in (
+        F.min(x[c]).alias(f"__ep_min{i}"), F.max(x[c]).alias(f"__ep_max{i}"), F.count(x[c]).alias(f"__ep_n{i}"),
+        F.percentile_approx(x[c], asked, ACCURACY).alias(f"__ep_q{i}"))]).first()
+    parts = []
+    for i, c in enumerate(cols):
+        small = found[f"__ep_n{i}"] <= SMALL
+        low = [found[f"__ep_min{i}"] if small or p <= margin else found[f"__ep_q{i}"][2 * j] for j, p in enumerate(probs)]
+        high = [found[f"__ep_max{i}"] if small or p >= 1 - margin else found[f"__ep_q{i}"][2 * j + 1] for j, p in enumerate(probs)]
+        at, gap = _place(x[c], [F.lit(v).cast("double") for v in low], [F.lit(v).cast("double") for v in high])
+        parts.append(F.when(x[c].isNotNull(), F.struct(F.lit(c).alias(_KEY), at.alias("__ep_at"), gap.alias("__ep_gap"))))
+    placed = df.select(F.explode(F.filter(F.array(*parts), lambda p: p.isNotNull())).alias("p")).select("p.*")
+    picked = _picked(placed, probs)
+    outs = [(F.col(f"__lo{i}") + F.col(f"__fr{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(nm) for i, nm in enumerate(names)]
+    return picked.select(F.col(_KEY).alias("column"), *outs), found
+
+
+def _place(v, low: list, high: list) -> tuple:
+    """Where a value counts: at itself inside a bracket, else after the last bracket
+    below it (null: before all); and whether it is in such a gap."""
     inside = F.lit(False)
     for a, b in zip(low, high):
-        inside = inside | ((F.col(_V) >= a) & (F.col(_V) <= b))
-    below = [F.when(b < F.col(_V), b) for b in high]
-    # a value in no bracket stands after the last bracket below it (null: before all)
-    at = F.when(inside, F.col(_V)).otherwise(F.greatest(*below) if len(below) > 1 else below[0])
-    folded = (rows.select(_KEY, at.alias("__ep_at"), (~inside).alias("__ep_gap"))
-              .groupBy(_KEY, "__ep_at", "__ep_gap").agg(F.count(F.lit(1)).alias(_C)))
+        inside = inside | ((v >= a) & (v <= b))
+    below = [F.when(b < v, b) for b in high]
+    return F.when(inside, v).otherwise(F.greatest(*below) if len(below) > 1 else below[0]), ~inside
+
+
+def _picked(placed: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Per key the two order statistics around each probability and the share
+    between them."""
+    folded = placed.groupBy(_KEY, "__ep_at", "__ep_gap").agg(F.count(F.lit(1)).alias(_C))
     order = Window.partitionBy(_KEY).orderBy("__ep_at", "__ep_gap")
     run = folded.withColumn("__ep_cum", F.sum(_C).over(order.rowsBetween(Window.unboundedPreceding, 0))) \
                 .withColumn("__ep_n", F.sum(_C).over(Window.partitionBy(_KEY)))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.ordering import exact_percentiles
+from tessera.operators.ordering import wide_percentiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -52,16 +52,18 @@ def _long(df: DataFrame, cols: Sequence[str], cast: str) -> DataFrame:
 
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (exact, linear) and max, one
-    row per column.  Moments come from one aggregate over the columns as they
-    are; only the quartiles need the (column, value) form, folded to counts."""
+    row per column.  Moments and the quartiles' brackets come from one aggregate
+    over the columns as they are, the quartiles from one count between brackets."""
     cols = list(cols or numeric_columns(df))
     x = {c: F.col(c).cast("double") for c in cols}
-    wide = df.agg(*[F.struct(F.lit(c).alias("column"), F.count(x[c]).alias("count"), F.avg(x[c]).alias("mean"),
-                             F.stddev_samp(x[c]).alias("std"), F.min(x[c]).alias("min"), F.max(x[c]).alias("max"))
-                    .alias(f"__s{i}") for i, c in enumerate(cols)])
-    moments = wide.select(F.inline(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])))
-    quart = exact_percentiles(_long(df, cols, "double"), "value", [0.25, 0.5, 0.75], ["column"], ["p25", "p50", "p75"])
-    return moments.join(quart, "column", "left")
+    quart, found = wide_percentiles(
+        df, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"],
+        *[F.struct(F.lit(c).alias("column"), F.count(x[c]).alias("count"), F.avg(x[c]).alias("mean"),
+                   F.stddev_samp(x[c]).alias("std"), F.min(x[c]).alias("min"), F.max(x[c]).alias("max"))
+          .alias(f"__s{i}") for i, c in enumerate(cols)])
+    moments = df.sparkSession.createDataFrame(  # one row per column
+        [tuple(found[f"__s{i}"]) for i in range(len(cols))], "column string, count bigint, mean double, std double, min double, max double")
+    return moments.join(F.broadcast(quart), "column", "left")
 
 
 def describe_categorical(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
