@@ -43,10 +43,9 @@ END_ID = 0
 ROUNDS, PER_ROUND, SLACK, FALL = 40, 256, 0.03, 1.0
 #: The program is over lengths of at least this share of a sequence.
 SMALL = 1 / 16
-#: Times that the program is solved, the later ones for what rounding leaves, the
-#: share of the tokens that best fit may place in the end, and how near to the
-#: program's lower bound a packing counts as best.
-SOLVES, REST, GAP = 4, 0.02, 0.0005
+#: Times that the program is solved, the later ones for what rounding leaves,
+#: and the share of the tokens that best fit may place in the end.
+SOLVES, REST = 4, 0.02
 
 #: A configuration and how many sequences follow it.
 Plan = list[tuple[tuple[int, ...], int]]
@@ -89,12 +88,12 @@ def _configuration(last: np.ndarray, lengths: np.ndarray, first: int, capacity:
     return tuple(sorted(took))
 
 
-def solve_fractional(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS,
-                     enough: float = 0.0) -> tuple[dict[tuple[int, ...], float], np.ndarray, float]:
+def solve_fractional(lengths: np.ndarray, demand: np.ndarray, capacity: int,
+                     rounds: int = ROUNDS) -> tuple[dict[tuple[int, ...], float], np.ndarray, float]:
     """Configurations (of indices into ``lengths``, ascending) and how often
     each is used, how often they cover each demand, and a lower bound of the
     program (of any round's prices: their worth of all pieces, divided by that of
-    the best configuration).  A bound of ``enough`` ends the rounds."""
+    the best configuration)."""
     covered = np.zeros(lengths.size)
     use: dict[tuple[int, ...], float] = {}
     bound = 0.0
@@ -102,8 +101,6 @@ def solve_fractional(lengths: np.ndarray, demand: np.ndarray, capacity: int, rou
         weight = lengths * np.exp(-FALL * (covered - covered.min()))
         best, last = _knapsack(lengths, weight, capacity)
         bound = max(bound, float((demand * weight).sum() / best[capacity]))
-        if 0 < enough <= bound:
-            break
         reach = weight + best[capacity - lengths]  # of the best configuration with this length
         near = np.flatnonzero(reach >= (1 - SLACK) * reach.max())
         near = near[np.argsort(covered[near], kind="stable")][:PER_ROUND]
@@ -167,23 +164,17 @@ def sequences(plan: Plan) -> int:
     return sum(n for _, n in plan)
 
 
-def _by_program(left: dict[int, int], capacity: int, start: int) -> Plan | None:
-    """The program's packing; None once its lower bound proves that ``start``
-    sequences are within ``GAP`` (and one sequence) of the least."""
-    enough = (start - 1) / (1 + GAP)
+def _by_program(left: dict[int, int], capacity: int) -> Plan:
+    """The program's packing."""
     tokens = sum(n * c for n, c in left.items())
-    if tokens / capacity >= enough:  # the bound of prices that are the lengths
-        return None
     left, plan = dict(left), []
-    for turn in range(SOLVES):
+    for _ in range(SOLVES):
         large = sorted(n for n in left if n >= capacity * SMALL)
         if not large:
             break
         lengths = np.array(large, np.int64)
         rest = np.array([left[n] for n in large], np.int64)
-        use, covered, bound = solve_fractional(lengths, rest.astype(np.float64), capacity, enough=0.0 if turn else enough)
-        if not turn and bound >= enough:
-            return None
+        use, covered, _ = solve_fractional(lengths, rest.astype(np.float64), capacity)
         before = int(rest.sum())
         fill = {c: int(lengths[list(c)].sum()) for c in use}
         part: dict[tuple[int, ...], float] = {}
@@ -212,14 +203,14 @@ def plan_packing(histogram: dict[int, int], capacity: int) -> Plan:
     """Sequences that hold all pieces: configurations (tuples of lengths) and
     how often each is used.
 
-    The program starts from the configurations of a best-fit packing.  Its lower
-    bound either proves them as good as the best, or its rounded solution takes
-    their place where it needs fewer sequences."""
+    The program is solved and rounded for every histogram.  A best-fit packing is
+    its starting solution, which stands only where the rounded one needs more
+    sequences."""
     left = {n: c for n, c in histogram.items() if n > 0 and c > 0}
     plan: Plan = [((capacity,), left.pop(capacity))] if capacity in left else []
     start = best_fit(left, capacity)
-    found = _by_program(left, capacity, sequences(start))
-    return plan + (found if found is not None and sequences(found) < sequences(start) else start)
+    found = _by_program(left, capacity)
+    return plan + (found if sequences(found) <= sequences(start) else start)
 
 
 class Places:

@@ -46,6 +46,16 @@ def test_the_program_takes_the_place_of_best_fit_where_lengths_must_be_combined(
     assert packing.sequences(packing.plan_packing(given, 2048)) < 0.96 * best_fit
 
 
+@pytest.mark.parametrize("lengths", [np.random.default_rng(4).integers(1, 2049, 20_000), np.full(1_000, 1024), np.array([700, 900])])
+def test_the_program_runs_for_every_histogram(lengths, monkeypatch):
+    """Also where best fit is near the least number of sequences."""
+    given, solved = histogram(lengths, 2048), []
+    real = packing.solve_fractional
+    monkeypatch.setattr(packing, "solve_fractional", lambda *a, **k: solved.append(a) or real(*a, **k))
+    plan = packing.plan_packing(given, 2048)
+    assert solved and packing.sequences(plan) <= packing.sequences(packing.best_fit(given, 2048))
+
+
 def test_bounds_are_bounds():
     """Of a program whose best packing is known: pairs that fill a sequence."""
     lengths, demand = np.array([700, 800, 1200, 1300]), np.array([90.0, 60.0, 60.0, 90.0])
