@@ -64,8 +64,8 @@ _WORTH = re.compile(rb"[\t\n\r -~]{12}|(?:[\t\n\r -~]\x00){11}")
 _NO_TEXT = bytes(c for c in range(256) if c not in b"\t\n\r" and not 32 <= c < 127)
 #: What compressed data holds is scanned in windows of about so many bytes, each
 #: with the end of the one before: an encoded run that goes on, up to LONGEST
-#: bytes (a longer one is cut and the text marked), or OVERLAP.  Blocks are
-#: decompressed at a time.
+#: bytes (a longer one is cut and the text marked; ``find_whole`` then scans it anew
+#: in larger windows), or OVERLAP.  Blocks are decompressed at a time.
 WINDOW, OVERLAP, LONGEST, BLOCK = 1 << 22, 1 << 18, 1 << 24, 1 << 16
 _ENCODED = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\&#;{} \t\r\n"
 #: Compressed data right within compressed data is unpacked so many times in one
@@ -266,18 +266,19 @@ def _content(source: _Source) -> Iterator[bytes]:
         yield got
 
 
-def _windows(blocks: Iterator[bytes], cut: list[bool]) -> Iterator[bytes]:
-    """Blocks put together; every window begins with the end of the last one."""
+def _windows(blocks: Iterator[bytes], cut: list[bool], times: int = 1) -> Iterator[bytes]:
+    """Blocks put together to windows ``times`` as large; every one begins with the
+    end of the last one."""
     parts, size, kept = [], 0, 0
     for got in blocks:
         parts.append(got)
         size += len(got)
-        if size - kept >= max(WINDOW, kept):
+        if size - kept >= max(times * WINDOW, kept):
             window = b"".join(parts)
             yield window
-            kept = max(OVERLAP, size - len(window.rstrip(_ENCODED)))
-            if kept > LONGEST:
-                cut[0], kept = True, OVERLAP
+            kept = max(times * OVERLAP, size - len(window.rstrip(_ENCODED)))
+            if kept > times * LONGEST:
+                cut[0], kept = True, times * OVERLAP
             parts, size = [window[-kept:]], kept
     if size > kept or not kept:
         yield b"".join(parts)
@@ -337,9 +338,20 @@ def find_secrets(text: bytes) -> tuple[list[Span], list[Span]]:
     return find_all(text)[:2]
 
 
-def find_all(text: bytes) -> tuple[list[Span], list[Span], bool]:
+def find_whole(text: bytes) -> tuple[list[Span], list[Span]]:
+    """As ``find_secrets``, without a hard stop: a text that was left at one is
+    scanned anew in ever larger windows until all of it was."""
+    times = 1
+    while True:
+        base, every, cut = find_all(text, times)
+        if not cut:
+            return base, every
+        times *= 16
+
+
+def find_all(text: bytes, times: int = 1) -> tuple[list[Span], list[Span], bool]:
     """As ``find_secrets``, and whether some compressed data was left at a hard
-    stop (see WINDOW)."""
+    stop (see WINDOW); windows and stop are ``times`` as large."""
     place = None
     base: list[Span] = []
     matches = base_matches(text)
@@ -369,7 +381,7 @@ def find_all(text: bytes) -> tuple[list[Span], list[Span], bool]:
             got = next(content, None)
             if got is None or not new(b"packed" + data[begin:], int(s[0]), int(e[-1])):
                 continue
-            for window in _windows(itertools.chain([got], content), cut):
+            for window in _windows(itertools.chain([got], content), cut, times):
                 held = _as_text(window)
                 if held is None and _PACKED.search(window):
                     held = window.decode("latin-1")
@@ -428,7 +440,7 @@ def find_all(text: bytes) -> tuple[list[Span], list[Span], bool]:
         yield from inside(layer.text, layer, raw)
         data = layer.text.encode("latin-1", "replace")
         begins = [m.start() for m in _PACKED.finditer(data)]
-        yield from unpacked(data, begins, lambda s, e: (layer.start[s:e], layer.end[s:e]), len(data) < WINDOW)
+        yield from unpacked(data, begins, lambda s, e: (layer.start[s:e], layer.end[s:e]), len(data) < times * WINDOW)
 
     if b"%" in text or b"\\" in text or b"&#" in text:
         work = [inside(text.decode("utf-8", "replace"), None, text)]
@@ -475,12 +487,12 @@ def _digests() -> RunFn:
     def work(run: list[bytes | None]) -> dict:
         out: dict[str, list] = {f.name: [] for f in SCHEMA.fields}
         for text in run:
-            base, every, cut = find_all(text or b"")
+            base, every = find_whole(text or b"")
             for kind in KINDS:
                 out[f"n_{kind}"].append(sum(x[0] == kind for x in base))
             out["base_sha256"].append(hashlib.sha256(_joined(base).encode()).hexdigest())
             out["spans"].append(_joined(every))
-            out["cut"].append(cut)
+            out["cut"].append(False)
         return out
 
     return work
@@ -489,7 +501,7 @@ def _digests() -> RunFn:
 def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, counts of base spans per kind,
     base_sha256, ``spans``, all spans as kind:start:end, and ``cut``, whether
-    some compressed data was left at a hard stop.
+    some compressed data was left unscanned (none is: see ``find_whole``).
 
     Null and empty texts have none.  Repeated rows, null ids and further
     columns are allowed."""
@@ -501,11 +513,12 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 MASKED = T.StructType([T.StructField("text", T.StringType()), T.StructField("cut", T.BooleanType())])
 
 
-def _masked(mask: str) -> RunFn:
+def _masked(mask: str, whole: bool = False) -> RunFn:
+    """``whole``: without a hard stop; else a text left at one is marked."""
     def work(run: list[bytes | None]) -> dict:
         out: dict[str, list] = {"text": [], "cut": []}
         for t in run:
-            _, every, cut = find_all(t) if t else ([], [], False)
+            _, every, cut = ([], [], False) if not t else (*find_whole(t), False) if whole else find_all(t)
             out["text"].append(masked(t, every, mask) if every else None if t is None else t.decode("utf-8", "replace"))
             out["cut"].append(cut)
         return out
@@ -515,15 +528,14 @@ def _masked(mask: str) -> RunFn:
 
 def masked_text(text: Column, mask: str = "[secret]") -> Column:
     """A struct column: ``text`` with all spans masked (null stays null), and
-    ``cut``, whether some compressed data was left at a hard stop."""
-    return struct_of(text, MASKED, lambda: _masked(mask), filtered=True)
+    ``cut``, whether some compressed data was left unscanned (none is)."""
+    return struct_of(text, MASKED, lambda: _masked(mask, whole=True), filtered=True)
 
 
 def mask_secrets(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with secrets masked in ``text`` and, where there is such a
-    column, ``n_chars`` counted anew; all other columns as they are.  A text with
-    data that could not be scanned to its end is left out: what it holds there is
-    unknown."""
+    column, ``n_chars`` counted anew; all other columns as they are.  Every text is
+    scanned to its end and stays (one that ``masked_text`` marked would not)."""
     name = free_name(docs, "masked")
     out = docs.withColumn(name, masked_text(F.col(f"`{text}`"))).where(~F.col(f"{name}.cut")).withColumn(text, F.col(f"{name}.text"))
     if n_chars and n_chars in docs.columns:

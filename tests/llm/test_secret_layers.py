@@ -130,3 +130,15 @@ def test_secrets_and_payloads_across_windows(monkeypatch):
     assert not S.find_all(body.encode())[2]
     monkeypatch.setattr(S, "LONGEST", 1 << 17)
     assert S.find_all(body.encode())[2]
+
+
+def test_a_run_longer_than_the_hard_stop_is_scanned_whole(monkeypatch):
+    """The secret lies behind a long encoded run in compressed data; the text stays, masked."""
+    monkeypatch.setattr(S, "WINDOW", 1 << 16)
+    monkeypatch.setattr(S, "OVERLAP", 1 << 10)
+    monkeypatch.setattr(S, "LONGEST", 1 << 17)
+    inner = base64.b64encode(b"A" * (1 << 19) + b" " + LINE.encode() + b" ")
+    text = b"data " + base64.b64encode(gzip.compress(inner)) + b" end"
+    assert S.find_all(text)[2]
+    assert "access" in {k for k, _, _ in S.find_whole(text)[1]}
+    assert S._masked("[secret]", whole=True)([text, b"clean", None]) == {"text": ["data [secret] end", "clean", None], "cut": [False] * 3}
