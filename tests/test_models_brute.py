@@ -1,16 +1,21 @@
 """The library's own models against plain numpy on small tables."""
 
+import pickle
+
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from tessera.models import discriminant as D
 from tessera.models import evaluate as EV
-from tessera.models.blocks import blocks, draw, total
+from tessera.models import trees
+from tessera.models.blocks import Block, blocks, draw, total
 from tessera.models.classifiers import KNNClassifier
 from tessera.models.linear import HINGE, LOGISTIC, Fourier, LinearClassifier, RBFSVM, Setting, fit_linear
 from tessera.models.trees import AdaBoost, Boosted, ExtraTrees
-from tessera.operators.knn import PartitionTree, fit_neighbours, knn_classify
+from tessera.operators import knn
+from tessera.operators.knn import PartitionTree, fit_neighbours, knn_classify, spread_neighbours
 
 COLS = ["a", "b", "c"]
 
@@ -208,6 +213,25 @@ def test_a_bound_on_the_labelled_points_is_kept(spark):
     assert fit_neighbours(train, ["a"], "l", max_points=10).tree.value.count.sum() == 10
 
 
+@pytest.mark.parametrize("weights", ["uniform", "distance"])
+def test_neighbours_in_many_cells_equal_one_tree(spark, monkeypatch, weights):
+    """Also of queries outside all boxes, with a null, and copies; no point leaves the executors."""
+    monkeypatch.setattr(knn, "CELL", 12)
+    rng = np.random.default_rng(8)
+    rows = [(i, *map(float, v), int(v.sum()) % 3) for i, v in enumerate(np.round(rng.normal(0, 2, (400, 3)), 1))]
+    train = spark.createDataFrame(rows + rows[:40], "i int, a double, b double, c double, l int")
+    asked = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(np.round(rng.normal(0, 4, (150, 3)), 1))]
+                                  + [(150, None, 1.0, 1.0), (151, 90.0, -90.0, 0.0)], "i int, a double, b double, c double")
+    fitted = spread_neighbours(train, COLS, "l")
+    assert fitted.borders.cells > 20 and fitted.points.agg(F.sum("n")).first()[0] == 440
+    ks = [1, 4, 9]
+    got = {r.i: tuple(r.s) if r.s else None for r in fitted.search(asked, [F.col(c) for c in COLS], ks, weights, "s").collect()}
+    one = fit_neighbours(train, COLS, "l").predict(ks, weights)
+    want = {r.i: tuple(r.s) for r in asked.select("i", one.alias("s")).collect()}
+    assert got.pop(150) is None and set(want.pop(150)) == {None}
+    assert got == want
+
+
 def test_searches_equal_separate_fits(table):
     df, *_ = table
     spark, ks = df.sparkSession, [1, 4, 9]
@@ -297,6 +321,48 @@ def test_extra_trees_draw_thresholds_and_grow_again_alike(table):
     assert np.array_equal(folds[1].trees.threshold, alone.trees.threshold)
 
 
+def test_going_down_a_tree_equals_looking_up_each_row():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 9, (500, 3)).astype(float)
+    x[rng.random(x.shape) < 0.05] = np.nan
+    tree = trees.Trees(6, 4)
+    tree.feature, tree.threshold = rng.integers(0, 3, tree.feature.shape), rng.choice([1.5, 4.5, 6.5, np.inf], tree.threshold.shape)
+    tree.value = rng.normal(size=tree.value.shape)
+    edges = [np.arange(0.5, 9)] * 3
+    held = trees._Running.of(Block(x, np.zeros(500), np.full(500, -1, np.int32), np.arange(500)), edges, 1, False)
+    bins = np.where(np.isinf(tree.threshold), np.inf, tree.threshold - 0.5)
+    got, total = tree.nodes(x, 4), np.zeros(500)
+    for t in range(6):
+        node = np.zeros(500, int)
+        for _ in range(4):
+            node = 2 * node + 1 + (x[np.arange(500), tree.feature[t, node]] > tree.threshold[t, node])
+        assert np.array_equal(got[:, t], node)
+        assert np.array_equal(trees._descend(held.route, tree.feature[t], bins[t], 4) + 15, node)
+        total += tree.value[t, node]
+    assert np.allclose(trees._added(held.route, (tree.feature, bins, tree.value), 4), total)
+
+
+def test_what_boosting_keeps_of_a_row_is_small(spark):
+    """Bins, label, fold and score, not the values; a block has a bounded number of rows."""
+    cols = [f"c{i}" for i in range(10)]
+    df = spark.range(20_000).select(*[((F.col("id") * (i + 3)) % 97).cast("double").alias(c) for i, c in enumerate(cols)],
+                                    (F.col("id") % 2).cast("double").alias("label")).coalesce(1)
+    got = blocks(df, cols, "label", kept=False).collect()
+    assert max(len(b.y) for b in got) <= 10_000 and sum(len(b.y) for b in got) == 20_000
+    held = trees._Running.of(got[0], [np.arange(64.0)] * 10, 1, False)
+    assert len(pickle.dumps(held)) < 25 * len(got[0].y)
+
+
+def test_large_sums_come_to_the_driver_from_few_tasks(spark, monkeypatch):
+    rdd = spark.sparkContext.parallelize(range(24), 12)
+    seen = []
+    real = RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: seen.append(self.getNumPartitions()) or real(self))
+    assert total(rdd, lambda i: [np.full(10, float(i))], size=1 << 19)[0].tolist() == [276.0] * 10
+    assert total(rdd, lambda i: [np.full(10, float(i))], size=10)[0].tolist() == [276.0] * 10
+    assert seen == [2, 12]
+
+
 def brute_adaboost(x, y, rounds, rate):
     w, out = np.full(len(y), 1 / len(y)), []
     for _ in range(rounds):
