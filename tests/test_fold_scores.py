@@ -1,4 +1,4 @@
-"""Ensembles of all folds are grown over cells of several features and scored together."""
+"""Ensembles of all folds are grown and scored together."""
 
 
 import numpy as np
@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tessera.models import evaluate as EV
 from tessera.models import stacking as ST
-from tessera.models.blocks import Block
+from tessera.models import trees
 from tessera.models.features import FEATURES
-from tessera.models.trees import AdaBoost, Boosted, _Cells, _Running
+from tessera.models.trees import AdaBoost, Boosted, _Cells
 
 MADE = {"ada": lambda: AdaBoost(FEATURES, n_estimators=12), "gbt": lambda: Boosted(FEATURES, n_rounds=6, max_depth=2)}
 
@@ -22,26 +22,24 @@ def rows(spark, n=300):
         + ", label double, fold int").coalesce(3).persist()
 
 
-def test_bins_counted_together_are_those_of_each_feature():
-    rng = np.random.default_rng(1)
-    edges = [np.arange(k) + 0.5 for k in (1, 63, 4, 2, 1, 6, 5, 300)]
-    codes = np.stack([rng.integers(0, len(e) + 1, 500) for e in edges])
+def test_a_row_of_real_bins_has_each_features_in_place():
+    edges = [np.arange(k) + 0.5 for k in (1, 63, 4)]
     cells = _Cells(edges)
-    assert max(cells.many[:-1]) <= 256 and len(cells.groups) < len(edges)
-    weight = rng.random(500)
-    got = cells.wide(cells.each([np.bincount(c, weight, m) for c, m in zip(cells.codes(codes), cells.many)]))
-    for f, e in enumerate(edges):
-        assert np.allclose(got[f, :len(e) + 1], np.bincount(codes[f], weight, len(e) + 1)) and not got[f, len(e) + 1:].any()
-
-
-def test_runs_hold_each_row_once_with_held_out_rows_together():
-    rng = np.random.default_rng(1)
-    parts = [Block(rng.random((20, 1)), rng.integers(0, 2, 20).astype(float), rng.integers(-1, 3, 20).astype(np.int32), np.arange(20) + 20 * i) for i in range(3)]
-    run, = _Running.runs(iter(parts), [np.array([0.5])], 2, True)
-    assert sorted(run.key.tolist()) == list(range(60))
-    for f in range(3):
-        assert (run.fold[run.held(f)] == f).all() and run.outside(f) == (run.fold != f).sum()
-    assert run.outside(-1) == 60
+    got = cells.wide(np.arange(float(cells.total)))
+    assert cells.total == 71 and got.shape == (3, 64)
+    assert got[0, :2].tolist() == [0, 1] and got[1].tolist() == list(range(2, 66)) and got[2, :5].tolist() == list(range(66, 71))
+    assert not got[0, 2:].any() and not got[2, 5:].any()
+
+
+def test_few_rows_are_one_task_and_give_the_same_trees(spark, monkeypatch):
+    data, seen = rows(spark).filter("label is not null").repartition(6).persist(), []
+    monkeypatch.setattr(trees.Boosted, "_grown", lambda self, df, rdd, folds, old=trees.Boosted._grown: seen.append(rdd.getNumPartitions()) or old(self, df, rdd, folds))
+    one = MADE["gbt"]().fit_folds(data, "fold", [0, 1])
+    monkeypatch.setattr(trees, "TASK_ROWS", 1)
+    six = MADE["gbt"]().fit_folds(data, "fold", [0, 1])
+    assert seen == [1, 6]
+    for a, b in zip(one, six):
+        assert np.array_equal(a.trees.feature, b.trees.feature) and np.allclose(a.trees.value, b.trees.value)
 
 
 def test_scores_of_all_folds_equal_those_of_each_model(spark, monkeypatch):
